@@ -48,31 +48,33 @@ def rolling_ladder(ladder: DataFrame, days: int = rules.HORIZON_DAYS) -> DataFra
 
 
 def rolling_outflow(
-    liabilities: DataFrame, branches: DataFrame | None = None, days: int = rules.HORIZON_DAYS
+    liabilities: DataFrame, days: int = rules.HORIZON_DAYS, ladder_rows: int | None = None
 ) -> DataFrame:
     """Adds ``projected_outflow`` and ``rolling_30d_outflow`` to every liability.
 
     The window runs on the ladder, never on the rows, so no task holds a whole
-    branch. The result returns to the rows by a join on branch and day. The
-    ladder has at most one row per branch and day: when ``branches`` is given,
-    its row count proves that bound, and a ladder within
-    ``LADDER_BROADCAST_ROWS`` is broadcast, which leaves the rows unshuffled.
-    Otherwise the join shuffles, and adaptive execution splits hot days.
+    branch. The result returns to the rows by a join on branch and day.
+    ``ladder_rows`` is a proven bound on the ladder, for which see
+    ``ladder_bound``: within ``LADDER_BROADCAST_ROWS`` the ladder is broadcast
+    and the rows are not shuffled. Without such a bound the join is left to
+    Catalyst, and a shuffled join has its hot days split by adaptive execution.
     """
     rolled = rolling_ladder(outflow_ladder(liabilities), days).select(
         F.col("branch_id").alias("ladder_branch"),
         F.col("maturity_days").alias("ladder_day"),
         "rolling_30d_outflow",
     )
-    if branches is not None and _ladder_bound(branches) <= LADDER_BROADCAST_ROWS:
+    if ladder_rows is not None and ladder_rows <= LADDER_BROADCAST_ROWS:
         rolled = F.broadcast(rolled)
+    same_branch = F.col("branch_id").eqNullSafe(F.col("ladder_branch"))
+    same_day = F.col("maturity_days").eqNullSafe(F.col("ladder_day"))
     rows = with_outflow(liabilities)
-    same_step = F.col("branch_id").eqNullSafe(F.col("ladder_branch")) & F.col("maturity_days").eqNullSafe(
-        F.col("ladder_day")
-    )
-    return rows.join(rolled, same_step, "left").drop("ladder_branch", "ladder_day")
+    return rows.join(rolled, same_branch & same_day, "left").drop("ladder_branch", "ladder_day")
+
 
+def ladder_bound(branches: DataFrame, span: int = rules.MATURITY_SPAN_DAYS) -> int:
+    """Most rows a ladder can have when maturities lie in 0 to span - 1.
 
-def _ladder_bound(branches: DataFrame) -> int:
-    # One step more per branch for NULL days, one branch more for a NULL branch.
-    return (branches.count() + 1) * (rules.MATURITY_SPAN_DAYS + 1)
+    Counts the branch table; a NULL branch and NULL days add one step each.
+    """
+    return (branches.count() + 1) * (span + 1)

@@ -6,9 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def to_metric_rows(wide: DataFrame, ids: list[str], names: list[str], value: str = "metric_value") -> DataFrame:
-    """One row per id and metric; a NULL metric gives no row."""
-    return wide.unpivot(ids, list(names), "metric_name", value).where(F.col(value).isNotNull())
+def stack(wide: DataFrame, ids: list[str], names, value: str) -> DataFrame:
+    """One row per id and metric."""
+    return wide.unpivot(ids, list(names), "metric_name", value)
+
+
+def to_metric_rows(wide: DataFrame, ids: list[str], names) -> DataFrame:
+    """One row per id and metric; a metric that could not be computed gives no row."""
+    return stack(wide, ids, names, "metric_value").where(F.col("metric_value").isNotNull())
 
 
 def one_metric(df: DataFrame, name: str) -> DataFrame:

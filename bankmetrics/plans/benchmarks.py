@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from bankmetrics.functions import measures, rules
 from bankmetrics.operators import ranking
-from bankmetrics.operators.reshape import to_metric_rows
+from bankmetrics.operators.reshape import stack
 from bankmetrics.schemas import STORED_METRIC
 
 # The report date, asset threshold and row limit of the benchmark query.
@@ -62,7 +62,7 @@ def benchmark_table(averages: DataFrame, fetched_at: dt.datetime | None = None)
         *fixed,
         (F.current_timestamp() if fetched_at is None else F.lit(fetched_at)).alias("fetched_at"),
     )
-    return to_metric_rows(wide, ["report_period", "fetched_at"], list(rules.METRICS), "industry_average")
+    return stack(wide, ["report_period", "fetched_at"], rules.METRICS, "industry_average")
 
 
 def compare(bank: DataFrame, benchmarks: DataFrame) -> DataFrame:
@@ -73,6 +73,7 @@ def compare(bank: DataFrame, benchmarks: DataFrame) -> DataFrame:
 
 
 def compare_latest(metrics: DataFrame, benchmarks: DataFrame) -> DataFrame:
+    """The stored metrics of the latest run against the stored benchmarks of the latest period."""
     return compare(ranking.latest_run(metrics), ranking.latest_period(benchmarks))
 
 

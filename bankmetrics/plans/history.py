@@ -21,13 +21,11 @@ def snapshot(wide: DataFrame, run_id: str, computed_at: dt.datetime | None = Non
         (F.current_timestamp() if computed_at is None else F.lit(computed_at)).alias("computation_date"),
         *[F.col(name).cast(STORED_METRIC).alias(name) for name in rules.METRICS],
     )
-    return to_metric_rows(stamped, ["run_id", "computation_date"], list(rules.METRICS))
+    return run_metrics(stamped)
 
 
-def metrics_by_run(
-    assets: DataFrame, liabilities: DataFrame, capital: DataFrame, risk_config: DataFrame
-) -> DataFrame:
-    """Metric rows of every run, where assets and liabilities carry run_id and as_of.
+def runs(assets: DataFrame, liabilities: DataFrame, capital: DataFrame, risk_config: DataFrame) -> DataFrame:
+    """One row per run with its ratios, where assets and liabilities carry run_id and as_of.
 
     Each table is read once and reduced to one row per run; the rows then meet
     in a union and a group by run, so a run found in one table only is kept
@@ -43,11 +41,26 @@ def metrics_by_run(
     both = asset_side.unionByName(funding_side, allowMissingColumns=True)
     parts = [name for name in both.columns if name != "run_id"]
     # One row per run and side, so max only passes the single value through.
-    runs = both.groupBy("run_id").agg(*[F.max(name).alias(name) for name in parts])
-    wide = ratios.with_ratios(runs.crossJoin(ratios.tier1_capital(capital)))
-    stored = wide.select(
+    joined = both.groupBy("run_id").agg(*[F.max(name).alias(name) for name in parts])
+    wide = ratios.with_ratios(joined.crossJoin(ratios.tier1_capital(capital)))
+    return wide.select(
         "run_id",
         F.col("as_of").alias("computation_date"),
         *[F.col(name).cast(STORED_METRIC).alias(name) for name in rules.METRICS],
     )
-    return to_metric_rows(stored, ["run_id", "computation_date"], list(rules.METRICS))
+
+
+def run_metrics(wide: DataFrame) -> DataFrame:
+    """Metric rows of ``runs``."""
+    return to_metric_rows(wide, ["run_id", "computation_date"], rules.METRICS)
+
+
+def newest_run(wide: DataFrame) -> DataFrame:
+    """The newest of ``runs``, for a history that is being computed.
+
+    Taken before the metrics are stacked, from one row per run, so the tables
+    behind the history are read once. A stored history is better served by
+    ``ranking.latest_run``.
+    """
+    computed = wide.where(F.coalesce(*rules.METRICS).isNotNull())
+    return computed.orderBy(F.col("computation_date").desc_nulls_last(), F.col("run_id").desc()).limit(1)

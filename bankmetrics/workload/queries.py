@@ -157,7 +157,8 @@ def rolling_ladder(spark, folder):
 
 @query
 def rolling_outflow(spark, folder):
-    rolled = funding.rolling_outflow(star.liabilities(spark, folder), star.branches(spark, folder))
+    bound = funding.ladder_bound(star.branches(spark, folder))
+    rolled = funding.rolling_outflow(star.liabilities(spark, folder), ladder_rows=bound)
     return rolled.select(
         "liability_id",
         "branch_id",
@@ -251,8 +252,8 @@ def metric_snapshot(spark, folder):
     return history.snapshot(_bank_ratios(spark, folder), SNAPSHOT_RUN, dt.datetime(2024, 2, 1))
 
 
-def _history(spark, folder):
-    return history.metrics_by_run(
+def _runs(spark, folder):
+    return history.runs(
         star.assets(spark, folder, placed=False),
         star.liabilities(spark, folder, placed=False),
         star.capital(spark, folder),
@@ -262,23 +263,30 @@ def _history(spark, folder):
 
 @query
 def metric_history(spark, folder):
-    return _history(spark, folder)
+    return history.run_metrics(_runs(spark, folder))
+
+
+def _newest(spark, folder):
+    return history.run_metrics(history.newest_run(_runs(spark, folder)))
 
 
 @query
 def latest_run(spark, folder):
-    return ranking.latest_run(_history(spark, folder)).select("metric_name", "metric_value")
+    return _newest(spark, folder).select("metric_name", "metric_value")
+
+
+def _compared(spark, folder):
+    return benchmarks.compare(_newest(spark, folder), ranking.latest_period(_benchmarks(spark, folder)))
 
 
 @query
 def bank_vs_benchmark(spark, folder):
-    return benchmarks.compare_latest(_history(spark, folder), _benchmarks(spark, folder))
+    return _compared(spark, folder)
 
 
 @query
 def benchmark_delta(spark, folder):
-    compared = benchmarks.compare_latest(_history(spark, folder), _benchmarks(spark, folder))
-    return benchmarks.with_delta(compared)
+    return benchmarks.with_delta(_compared(spark, folder))
 
 
 @query
