@@ -24,6 +24,20 @@ def snapshot(wide: DataFrame, run_id: str, computed_at: dt.datetime | None = Non
     return run_metrics(stamped)
 
 
+def staged_snapshot(
+    staged: DataFrame, run_id: str, computed_at: dt.datetime | None = None, missing: float | None = None
+) -> DataFrame:
+    """The same rows from staged (metric_name, metric_value) results.
+
+    A metric that was not staged gives no row, or ``missing`` as its value.
+    """
+    values = [
+        F.max(F.when(F.col("metric_name") == name, F.col("metric_value"))).alias(name) for name in rules.METRICS
+    ]
+    wide = staged.agg(*values)
+    return snapshot(wide if missing is None else wide.fillna(missing), run_id, computed_at)
+
+
 def runs(assets: DataFrame, liabilities: DataFrame, capital: DataFrame, risk_config: DataFrame) -> DataFrame:
     """One row per run with its ratios, where assets and liabilities carry run_id and as_of.
 
