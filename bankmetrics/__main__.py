@@ -11,6 +11,7 @@ from bankmetrics.functions import rules
 from bankmetrics.operators import funding
 from bankmetrics.operators.reshape import one_metric
 from bankmetrics.plans import history, ratios
+from bankmetrics.plans.benchmarks import REPORT_DATE
 from bankmetrics.sinks import files, tables
 from bankmetrics.sources import synthetic
 from bankmetrics.sources.files import read_financials, read_input, read_staged_metrics
@@ -44,6 +45,8 @@ def _parser() -> argparse.ArgumentParser:
     industry = command("benchmarks", "average a financials document and replace the benchmarks", data=False)
     industry.add_argument("--json", required=True)
     industry.add_argument("--copy", help="folder for the CSV copy")
+    industry.add_argument("--report-date", default=REPORT_DATE)
+    industry.add_argument("--limit", type=int, help="use the first so many institutions only")
     command("run", "compute and store all metrics in one pass")
     command("report", "latest run against latest benchmarks", data=False)
     return parser
@@ -90,7 +93,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         staged = read_staged_metrics(spark, args.data)
         monthly.store(history.staged_snapshot(staged, run_id), run_id, args.database)
     elif args.command == "benchmarks":
-        monthly.load_benchmarks(read_financials(spark, args.json), args.copy, args.database)
+        financials = read_financials(spark, args.json)
+        monthly.load_benchmarks(financials, args.report_date, args.copy, args.database, args.limit)
     elif args.command == "run":
         monthly.run(spark, args.data, args.format, args.database, seed=args.seed)
     else:

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Asset type, risk weight, HQLA level.
 ASSET_RULES = (
@@ -52,19 +53,23 @@ FIXED_BENCHMARKS = (
 METRICS = ("CAR", "LCR", "NPL")
 
 
+# A rule table up to this length is broadcast whatever the session's threshold:
+# a shuffled join on asset type would put all rows into a handful of tasks.
+BROADCAST_RULES = 10_000
+
+
 def risk_config(spark: SparkSession, rows=None) -> DataFrame:
     """The risk-weight table, one row per asset type.
 
     ``rows`` replaces the standard list with other (type, weight) pairs. The
-    rows travel as an Arrow table, so the plan holds a local relation of known
-    size and Catalyst itself decides whether it is small enough to broadcast.
+    rows travel as an Arrow table, so the plan holds a local relation.
     """
     pairs = rows if rows is not None else [(kind, weight) for kind, weight, _ in ASSET_RULES]
-    return spark.createDataFrame(
-        pa.table(
-            {
-                "asset_type": pa.array([kind for kind, _ in pairs], pa.string()),
-                "rule_weight": pa.array([Decimal(str(weight)) for _, weight in pairs], pa.decimal128(5, 2)),
-            }
-        )
+    weights = pa.table(
+        {
+            "asset_type": pa.array([kind for kind, _ in pairs], pa.string()),
+            "rule_weight": pa.array([Decimal(str(weight)) for _, weight in pairs], pa.decimal128(5, 2)),
+        }
     )
+    config = spark.createDataFrame(weights)
+    return F.broadcast(config) if len(pairs) <= BROADCAST_RULES else config

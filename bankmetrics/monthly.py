@@ -11,6 +11,7 @@ from bankmetrics.functions import rules
 from bankmetrics.operators import funding
 from bankmetrics.plans import benchmarks, history, ratios
 from bankmetrics.sinks import files, tables
+from bankmetrics.sinks.settle import settled
 from bankmetrics.sources.files import read_inputs
 
 
@@ -33,19 +34,18 @@ def store(metrics: DataFrame, run_id: str, database: str | None = None) -> None:
 
 def load_benchmarks(
     financials: DataFrame,
+    report_date: str = benchmarks.REPORT_DATE,
     folder: str | None = None,
     database: str | None = None,
-    fetched_at: dt.datetime | None = None,
-    **choice,
+    limit: int | None = None,
 ) -> None:
     """Averages the observations, keeps a CSV copy in ``folder`` and replaces the benchmark table."""
-    table = benchmarks.benchmark_table(
-        benchmarks.average_of(benchmarks.observations(financials, **choice), choice.get("report_date", benchmarks.REPORT_DATE)),
-        fetched_at or dt.datetime.now(),
-    )
+    observed = benchmarks.observations(financials, report_date, limit=limit)
+    averages = benchmarks.average_of(observed, report_date)
+    rows = settled(benchmarks.benchmark_table(averages, dt.datetime.now()))
     if folder:
-        files.write_small_csv(table, f"{folder}/fdic_benchmarks.csv")
-    tables.replace_benchmarks(table, database)
+        files.write_small_csv(rows, f"{folder}/fdic_benchmarks.csv")
+    tables.replace_benchmarks(rows, database)
 
 
 def run(

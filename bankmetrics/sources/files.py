@@ -49,6 +49,3 @@ def read_financials(spark: SparkSession, path: str, multi_line: bool = True) ->
     envelopes = spark.read.schema(schemas.FINANCIALS).json(path, multiLine=multi_line)
     return envelopes.select(F.explode("data").alias("entry")).select("entry.data.*")
 
-
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.read.table(name)

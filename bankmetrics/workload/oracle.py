@@ -40,7 +40,7 @@ VIEWS = {
                CAST(o_totalprice AS DECIMAL(18,2)) AS balance,
                CAST(CASE o_orderpriority WHEN '1-URGENT' THEN 1.00 WHEN '2-HIGH' THEN 0.40
                     ELSE 0.05 END AS DECIMAL(5,2)) AS outflow_rate,
-               date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) % 60 AS maturity_days,
+               CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) % 60 AS INTEGER) AS maturity_days,
                o_orderdate AS due_date,
                CAST(year(o_orderdate) AS VARCHAR) AS run_id,
                CAST(o_orderdate AS DATE) AS as_of
@@ -310,6 +310,12 @@ QUERIES = {
         ["last_run"],
         "SELECT metric_name, CAST(metric_value AS DOUBLE) AS metric_value FROM last_run",
     ),
+    "latest_run_balances": (
+        ["assets"],
+        """SELECT run_id, asset_type, CAST(sum(balance) AS DOUBLE) AS balance, count(*) AS positions FROM assets
+        WHERE run_id = (SELECT run_id FROM assets ORDER BY as_of DESC NULLS LAST, run_id DESC LIMIT 1)
+        GROUP BY run_id, asset_type""",
+    ),
     "bank_vs_benchmark": (
         ["compared"],
         """SELECT metric_name, CAST(bank_metric AS DOUBLE) AS bank_metric,

@@ -24,6 +24,7 @@ RATIO_DIGITS = 6
 MIN_OBSERVED_ASSETS = 10
 DUE_AS_OF = dt.datetime(1998, 1, 1)
 SNAPSHOT_RUN = "run-0001"
+SNAPSHOT_TIME = dt.datetime(2024, 2, 1, 12)
 UNRULED_TYPE = "Consumer Loan"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,7 +219,7 @@ def _observed(spark, folder):
 
 
 def _benchmarks(spark, folder):
-    return benchmarks.benchmark_table(benchmarks.average_by_period(_observed(spark, folder)), dt.datetime(2024, 2, 1))
+    return benchmarks.benchmark_table(benchmarks.average_by_period(_observed(spark, folder)), SNAPSHOT_TIME)
 
 
 @query
@@ -249,7 +250,7 @@ def latest_benchmarks(spark, folder):
 
 @query
 def metric_snapshot(spark, folder):
-    return history.snapshot(_bank_ratios(spark, folder), SNAPSHOT_RUN, dt.datetime(2024, 2, 1))
+    return history.snapshot(_bank_ratios(spark, folder), SNAPSHOT_RUN, SNAPSHOT_TIME)
 
 
 def _runs(spark, folder):
@@ -275,6 +276,12 @@ def latest_run(spark, folder):
     return _newest(spark, folder).select("metric_name", "metric_value")
 
 
+@query
+def latest_run_balances(spark, folder):
+    rows = star.assets(spark, folder, placed=False).withColumnRenamed("as_of", "computation_date")
+    return positions.balances_by(ranking.latest_run(rows), "run_id", "asset_type")
+
+
 def _compared(spark, folder):
     return benchmarks.compare(_newest(spark, folder), ranking.latest_period(_benchmarks(spark, folder)))
 
