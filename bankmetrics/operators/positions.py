@@ -18,13 +18,14 @@ TRAITS = ("asset_type", "hqla_level", "loan_status")
 
 
 def balances_by(rows: DataFrame, *keys: str, newest: str | None = None) -> DataFrame:
-    """Total balance and row count per key combination, and the newest value of a date column."""
+    """Total balance and row count per key combination, and the newest value of a date column.
+
+    ``rows`` may be such totals themselves, for finer keys: sums of sums are
+    exact, and their ``positions`` add up.
+    """
     dated = [F.max(newest).alias(newest)] if newest else []
-    return rows.groupBy(*keys).agg(
-        F.sum("balance").alias("balance"),
-        F.count(F.lit(1)).alias("positions"),
-        *dated,
-    )
+    counted = F.sum("positions") if "positions" in rows.columns else F.count(F.lit(1))
+    return rows.groupBy(*keys).agg(F.sum("balance").alias("balance"), counted.alias("positions"), *dated)
 
 
 def with_rule_weight(rows: DataFrame, risk_config: DataFrame) -> DataFrame:

@@ -12,6 +12,10 @@ bound, so the joins carry no broadcast hint: Catalyst broadcasts the lookup
 while its size is under the session's threshold and otherwise shuffles both
 sides, where adaptive execution splits a hot key. Queries that need no branch
 ask for the unplaced rows and have no join at all.
+
+Totals per branch go through ``asset_positions``: a supplier has many line
+items, so beyond broadcast size they are summed before the join. A customer
+has few orders, where summing first would only shuffle them twice.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankmetrics.functions import rules
+from bankmetrics.operators.lookups import positions_through
 from bankmetrics.schemas import MONEY, RATE
 
 MATURITY_EPOCH = dt.date(1995, 1, 1)
@@ -44,11 +49,23 @@ def branches(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _sites(spark: SparkSession, folder: str) -> DataFrame:
+    """The branch of each supplier."""
+    return table(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("site"), F.col("s_nationkey").cast("string").alias("branch_id")
+    )
+
+
+def asset_positions(spark: SparkSession, folder: str, *traits: str) -> DataFrame:
+    """Balances per branch and trait, as rows or partly summed."""
+    return positions_through(assets(spark, folder, placed=False), _sites(spark, folder), "site", *traits)
+
+
 def assets(spark: SparkSession, folder: str, placed: bool = True) -> DataFrame:
-    rows = table(spark, folder, "lineitem")
+    """One asset per line item, with its branch or, if not placed, its supplier as ``site``."""
+    rows = table(spark, folder, "lineitem").withColumnRenamed("l_suppkey", "site")
     if placed:
-        supplier = table(spark, folder, "supplier")
-        rows = rows.join(supplier, rows.l_suppkey == supplier.s_suppkey)
+        rows = rows.join(_sites(spark, folder), "site")
     kinds, weights, levels = zip(*rules.ASSET_RULES)
     kind = F.col("l_partkey") % len(rules.ASSET_RULES)
     bad = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
@@ -59,7 +76,7 @@ def assets(spark: SparkSession, folder: str, placed: bool = True) -> DataFrame:
     )
     return rows.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("asset_id"),
-        *([F.col("s_nationkey").cast("string").alias("branch_id")] if placed else []),
+        "branch_id" if placed else "site",
         _listed(kinds, kind).alias("asset_type"),
         F.col("l_extendedprice").cast(MONEY).alias("balance"),
         _listed(weights, kind).cast(RATE).alias("risk_weight"),

@@ -62,7 +62,7 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
 
 @query
 def npl_by_branch(spark, folder):
-    return ratios.npl_by_branch(star.assets(spark, folder))
+    return ratios.npl_by_branch(star.asset_positions(spark, folder, "loan_status"))
 
 
 @query
@@ -72,7 +72,7 @@ def npl_bank(spark, folder):
 
 @query
 def npl_top5(spark, folder):
-    return ratios.worst_branches(ratios.npl_by_branch(star.assets(spark, folder)))
+    return ratios.worst_branches(ratios.npl_by_branch(star.asset_positions(spark, folder, "loan_status")))
 
 
 # Capital adequacy
@@ -183,12 +183,14 @@ def due_within(spark, folder):
 
 @query
 def fused_branch_measures(spark, folder):
-    return ratios.branch_measures(star.assets(spark, folder), rules.risk_config(spark))
+    placed = star.asset_positions(spark, folder, *positions.TRAITS)
+    return ratios.branch_measures(placed, rules.risk_config(spark))
 
 
 @query
 def fused_bank_ratios(spark, folder):
-    by_branch = positions.asset_measures(star.assets(spark, folder), rules.risk_config(spark), "branch_id")
+    placed = star.asset_positions(spark, folder, *positions.TRAITS)
+    by_branch = positions.asset_measures(placed, rules.risk_config(spark), "branch_id")
     outflow = funding.horizon_outflow(star.liabilities(spark, folder, placed=False))
     wide = ratios.bank_ratios(positions.roll_up(by_branch), outflow, star.capital(spark, folder))
     return _rounded(wide, "CAR", "LCR")
@@ -205,7 +207,8 @@ def _bank_ratios(spark, folder):
 
 @query
 def branch_report(spark, folder):
-    measured = ratios.branch_measures(star.assets(spark, folder), rules.risk_config(spark))
+    placed = star.asset_positions(spark, folder, *positions.TRAITS)
+    measured = ratios.branch_measures(placed, rules.risk_config(spark))
     return star.branches(spark, folder).join(measured, "branch_id").select(
         "branch_name", "region", "total_loan_balance", "npl_balance", "npl_ratio_percent"
     )

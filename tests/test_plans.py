@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 import __spark_entry__ as driver
 from bankmetrics.functions import rules
-from bankmetrics.operators import funding, positions, ranking
+from bankmetrics.operators import funding, lookups, positions, ranking
 from bankmetrics.plans import history, ratios
 from bankmetrics.sinks import tables
 from bankmetrics.sources import star, synthetic
@@ -85,6 +85,19 @@ def test_rules_are_joined_after_aggregation(spark, star_folder):
     assert any("Exchange hashpartitioning(asset_type" in line for line in lines[join:])
 
 
+@pytest.mark.parametrize("name", ["npl_by_branch", "npl_top5", "fused_branch_measures", "fused_bank_ratios"])
+def test_a_large_lookup_is_joined_after_summing(spark, star_folder, setting, monkeypatch, name):
+    query = driver.queries()[name]
+    expected = sorted(query(spark, star_folder).collect())
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 0)
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    summed = query(spark, star_folder)
+    plan = plan_of(summed)
+    join = plan.index("SortMergeJoin [site")
+    assert plan.index("HashAggregate(keys=[site", join) > join
+    assert sorted(summed.collect()) == expected
+
+
 def test_lookup_is_broadcast_only_under_the_threshold(spark, star_folder, setting):
     assert "BroadcastHashJoin" in plan_of(ratios.npl_by_branch(star.assets(spark, star_folder)))
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -110,22 +123,21 @@ def split_hot_partitions(setting):
 
 
 def test_a_hot_lookup_key_is_split(spark, tmp_path, setting):
-    """A third of all rows on one supplier, with a lookup too large to broadcast."""
+    """A third of all orders from one customer, with a lookup too large to broadcast."""
     key = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 997).cast("long")
     spark.range(0, 120_000, 1, 6).select(
-        key.alias("l_suppkey"),
-        F.col("id").alias("l_partkey"),
-        (F.col("id") % 1000 / 4).alias("l_extendedprice"),
-        F.lit("R").alias("l_returnflag"),
-        F.when(F.col("id") % 11 == 0, "F").otherwise("O").alias("l_linestatus"),
-        F.lit(1).alias("l_linenumber"),
-        F.col("id").alias("l_orderkey"),
-        F.lit("1998-01-01").cast("timestamp_ntz").alias("l_shipdate"),
-    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+        key.alias("o_custkey"),
+        F.col("id").alias("o_orderkey"),
+        (F.col("id") % 1000 / 4).alias("o_totalprice"),
+        F.lit("2-HIGH").alias("o_orderpriority"),
+        F.date_add(F.lit("1998-01-01").cast("date"), (F.col("id") % 90).cast("int"))
+        .cast("timestamp_ntz")
+        .alias("o_orderdate"),
+    ).write.parquet(str(tmp_path / "orders.parquet"))
     spark.range(997).select(
-        F.col("id").alias("s_suppkey"), (F.col("id") % 25).cast("int").alias("s_nationkey")
-    ).write.parquet(str(tmp_path / "supplier.parquet"))
-    query = driver.queries()["npl_by_branch"]
+        F.col("id").alias("c_custkey"), (F.col("id") % 25).cast("int").alias("c_nationkey")
+    ).write.parquet(str(tmp_path / "customer.parquet"))
+    query = driver.queries()["rolling_ladder"]
     expected = sorted(query(spark, str(tmp_path)).collect())
     split_hot_partitions(setting)
     split = query(spark, str(tmp_path))
