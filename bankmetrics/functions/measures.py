@@ -17,6 +17,11 @@ def decimal_rate(value: str) -> Column:
     return F.lit(value).cast(RATE)
 
 
+def listed(values, position: Column) -> Column:
+    """The value at a position counted from 0."""
+    return F.element_at(F.array(*[F.lit(value) for value in values]), position.cast("int") + 1)
+
+
 def risk_weighted(balance: Column, weight: Column) -> Column:
     """Balance times weight; NULL where the weight is unknown."""
     return balance * weight

@@ -22,8 +22,6 @@ LIABILITIES = (
 
 CAPITAL = f"capital_id STRING, capital_type STRING, balance {MONEY}"
 
-RISK_CONFIG = f"asset_type STRING, rule_weight {RATE}"
-
 STAGED_METRIC = "metric_name STRING, metric_value DOUBLE"
 
 FINANCIALS = (

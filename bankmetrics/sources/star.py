@@ -22,10 +22,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankmetrics.functions import rules
+from bankmetrics.functions.measures import listed
 from bankmetrics.operators.lookups import positions_through
 from bankmetrics.schemas import MONEY, RATE
 
@@ -36,10 +37,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _listed(values, position: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(value) for value in values]), position.cast("int") + 1)
-
-
 def branches(spark: SparkSession, folder: str) -> DataFrame:
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
@@ -77,10 +74,10 @@ def assets(spark: SparkSession, folder: str, placed: bool = True) -> DataFrame:
     return rows.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("asset_id"),
         "branch_id" if placed else "site",
-        _listed(kinds, kind).alias("asset_type"),
+        listed(kinds, kind).alias("asset_type"),
         F.col("l_extendedprice").cast(MONEY).alias("balance"),
-        _listed(weights, kind).cast(RATE).alias("risk_weight"),
-        _listed(levels, kind).alias("hqla_level"),
+        listed(weights, kind).cast(RATE).alias("risk_weight"),
+        listed(levels, kind).alias("hqla_level"),
         status.alias("loan_status"),
         F.year("l_shipdate").cast("string").alias("run_id"),
         F.col("l_shipdate").cast("date").alias("as_of"),
@@ -104,9 +101,9 @@ def liabilities(spark: SparkSession, folder: str, placed: bool = True) -> DataFr
     return rows.select(
         F.col("o_orderkey").cast("string").alias("liability_id"),
         *([F.col("c_nationkey").cast("string").alias("branch_id")] if placed else []),
-        _listed(kinds, kind).alias("liability_type"),
+        listed(kinds, kind).alias("liability_type"),
         F.col("o_totalprice").cast(MONEY).alias("balance"),
-        _listed(rates, kind).cast(RATE).alias("outflow_rate"),
+        listed(rates, kind).cast(RATE).alias("outflow_rate"),
         F.pmod(elapsed, F.lit(rules.MATURITY_SPAN_DAYS)).alias("maturity_days"),
         F.col("o_orderdate").alias("due_date"),
         F.year("o_orderdate").cast("string").alias("run_id"),

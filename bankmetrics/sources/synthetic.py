@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankmetrics.functions import rules
-from bankmetrics.functions.measures import is_loan_type
+from bankmetrics.functions.measures import is_loan_type, listed
 from bankmetrics.functions.seeded import draw, hash_uuid, pick, uniform_money
 from bankmetrics.schemas import RATE
 
@@ -27,10 +27,6 @@ NON_PERFORMING_SHARE = 0.03
 AREAS = ("North", "South", "East", "West", "Central")
 
 
-def _listed(values, position: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(value) for value in values]), position + 1)
-
-
 def _branch_id(seed: int, number: Column) -> Column:
     return hash_uuid(seed, "branch", number)
 
@@ -40,7 +36,7 @@ def branches(spark: SparkSession, count: int = BRANCHES, seed: int = 0) -> DataF
     return spark.range(count).select(
         _branch_id(seed, number).alias("branch_id"),
         F.format_string("Office %05d Branch", number).alias("branch_name"),
-        _listed(AREAS, pick(seed, "region", number, len(AREAS))).alias("region"),
+        listed(AREAS, pick(seed, "region", number, len(AREAS))).alias("region"),
     )
 
 
@@ -56,14 +52,14 @@ def assets(spark: SparkSession, count: int = ASSETS, branch_count: int = BRANCHE
     return (
         spark.range(count)
         .withColumn("rule", rule)
-        .withColumn("asset_type", _listed(kinds, F.col("rule")))
+        .withColumn("asset_type", listed(kinds, F.col("rule")))
         .select(
             hash_uuid(seed, "asset", number).alias("asset_id"),
             _branch_id(seed, pick(seed, "asset_branch", number, branch_count)).alias("branch_id"),
             "asset_type",
             uniform_money(seed, "asset_balance", number, *ASSET_BALANCE).alias("balance"),
-            _listed(weights, F.col("rule")).cast(RATE).alias("risk_weight"),
-            _listed(levels, F.col("rule")).alias("hqla_level"),
+            listed(weights, F.col("rule")).cast(RATE).alias("risk_weight"),
+            listed(levels, F.col("rule")).alias("hqla_level"),
             status.alias("loan_status"),
         )
     )
@@ -80,9 +76,9 @@ def liabilities(
         .select(
             hash_uuid(seed, "liability", number).alias("liability_id"),
             _branch_id(seed, pick(seed, "liability_branch", number, branch_count)).alias("branch_id"),
-            _listed(kinds, F.col("rule")).alias("liability_type"),
+            listed(kinds, F.col("rule")).alias("liability_type"),
             uniform_money(seed, "liability_balance", number, *LIABILITY_BALANCE).alias("balance"),
-            _listed(rates, F.col("rule")).cast(RATE).alias("outflow_rate"),
+            listed(rates, F.col("rule")).cast(RATE).alias("outflow_rate"),
         )
     )
 

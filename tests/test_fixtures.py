@@ -162,7 +162,8 @@ def test_npl_rounds_to_two_digits(spark):
 
 
 def observed(spark, *values):
-    return spark.createDataFrame([("20231231", i, v) for i, v in enumerate(values)], "REPDTE STRING, CERT LONG, EQVWCOR DOUBLE")
+    rows = [("20231231", i, value) for i, value in enumerate(values)]
+    return spark.createDataFrame(rows, "REPDTE STRING, CERT LONG, EQVWCOR DOUBLE")
 
 
 def test_benchmark_average_skips_nulls(spark):

@@ -4,12 +4,13 @@ from decimal import Decimal as D
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from bankmetrics import __main__ as command_line
 from bankmetrics import monthly
 from bankmetrics.functions import rules
-from bankmetrics.plans import history, ratios
 from bankmetrics.operators import funding
+from bankmetrics.plans import history, ratios
 from bankmetrics.sinks import tables
 from bankmetrics.sources import synthetic
 
@@ -61,7 +62,8 @@ def test_a_run_is_stored_once(spark, database):
 
 def test_column_limits(spark, database):
     tables.append_metrics(snapshot(spark, "r1", car=1.23455), database)
-    assert spark.table(f"{database}.regulatory_metrics").where("metric_name = 'CAR'").first().metric_value == D("1.2346")
+    stored = spark.table(f"{database}.regulatory_metrics")
+    assert stored.where("metric_name = 'CAR'").first().metric_value == D("1.2346")
     with pytest.raises(PySparkException):
         tables.append_metrics(snapshot(spark, "r2", car=1e9), database)
     with pytest.raises(PySparkException):
@@ -74,15 +76,16 @@ BENCHMARK_ROWS = "report_period STRING, metric_name STRING, industry_average DEC
 def test_benchmarks_are_replaced(spark, database):
     first = spark.createDataFrame([("20230930", "CAR", D(1), NOW), ("20230930", "NPL", D(2), NOW)], BENCHMARK_ROWS)
     tables.replace_benchmarks(first, database)
-    stored = spark.table(f"{database}.fdic_benchmarks")
     # Even from the table's own rows.
-    tables.replace_benchmarks(stored.where("metric_name = 'CAR'").selectExpr("'20231231' AS report_period", "metric_name", "industry_average", "fetched_at"), database)
+    own = spark.table(f"{database}.fdic_benchmarks").where("metric_name = 'CAR'")
+    tables.replace_benchmarks(own.withColumn("report_period", F.lit("20231231")), database)
     rows = spark.table(f"{database}.fdic_benchmarks").collect()
     assert [(r.report_period, r.metric_name, r.industry_average) for r in rows] == [("20231231", "CAR", D(1))]
     with pytest.raises(tables.DuplicateKey):
         tables.replace_benchmarks(first.unionAll(first), database)
+    failing = F.raise_error(F.lit("lost")).cast("decimal(10,4)")
     with pytest.raises(PySparkException):
-        tables.replace_benchmarks(first.selectExpr("report_period", "metric_name", "raise_error('lost') AS industry_average", "fetched_at"), database)
+        tables.replace_benchmarks(first.withColumn("industry_average", failing), database)
     assert spark.table(f"{database}.fdic_benchmarks").count() == 1
 
 
