@@ -80,4 +80,4 @@ def compare_latest(metrics: DataFrame, benchmarks: DataFrame) -> DataFrame:
 def with_delta(compared: DataFrame) -> DataFrame:
     """Adds the difference to the benchmark and whether the bank is above it."""
     difference = measures.delta(F.col("bank_metric"), F.col("benchmark"))
-    return compared.withColumn("delta", difference).withColumn("status", measures.benchmark_status(F.col("delta")))
+    return compared.withColumns({"delta": difference, "status": measures.benchmark_status(difference)})

@@ -6,7 +6,7 @@ in a cross join of single rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankmetrics.functions import measures, rules
@@ -57,17 +57,15 @@ def lcr(assets: DataFrame, liabilities: DataFrame) -> DataFrame:
     return sides.withColumn("LCR", measures.percent(F.col("total_hqla"), F.col("net_outflow")))
 
 
-def _with_npl(totals: DataFrame) -> DataFrame:
-    ratio = F.round(measures.percent(F.col("npl_balance"), F.col("total_loan_balance")), 2)
-    return totals.withColumn("npl_ratio_percent", ratio)
+def _npl_ratio() -> Column:
+    return F.round(measures.percent(F.col("npl_balance"), F.col("total_loan_balance")), 2)
 
 
 def _npl(assets: DataFrame, *keys: str) -> DataFrame:
     loans = assets.where(measures.is_loan(F.col("loan_status")))
     bad = measures.non_performing(F.col("loan_status"), F.col("balance"))
-    return _with_npl(
-        loans.groupBy(*keys).agg(F.sum("balance").alias("total_loan_balance"), F.sum(bad).alias("npl_balance"))
-    )
+    totals = loans.groupBy(*keys).agg(F.sum("balance").alias("total_loan_balance"), F.sum(bad).alias("npl_balance"))
+    return totals.withColumn("npl_ratio_percent", _npl_ratio())
 
 
 def npl_by_branch(assets: DataFrame) -> DataFrame:
@@ -87,7 +85,7 @@ def worst_branches(by_branch: DataFrame, count: int = 5) -> DataFrame:
 
 def branch_measures(assets: DataFrame, risk_config: DataFrame) -> DataFrame:
     """All asset measures per branch from one scan."""
-    return _with_npl(positions.asset_measures(assets, risk_config, "branch_id"))
+    return positions.asset_measures(assets, risk_config, "branch_id").withColumn("npl_ratio_percent", _npl_ratio())
 
 
 def bank_ratios(measured: DataFrame, outflow: DataFrame, capital: DataFrame) -> DataFrame:
@@ -101,11 +99,13 @@ def bank_ratios(measured: DataFrame, outflow: DataFrame, capital: DataFrame) ->
 
 
 def with_ratios(sides: DataFrame) -> DataFrame:
-    return (
-        _with_npl(sides)
-        .withColumn("CAR", measures.percent(F.col("tier1_capital"), F.col("total_rwa")))
-        .withColumn("LCR", measures.percent(F.col("total_hqla"), F.col("net_outflow")))
-        .withColumnRenamed("npl_ratio_percent", "NPL")
+    """Adds CAR, LCR and NPL to rows that hold their parts."""
+    return sides.withColumns(
+        {
+            "CAR": measures.percent(F.col("tier1_capital"), F.col("total_rwa")),
+            "LCR": measures.percent(F.col("total_hqla"), F.col("net_outflow")),
+            "NPL": _npl_ratio(),
+        }
     )
 
 

@@ -23,17 +23,25 @@ LIABILITY_BALANCE = (5_000, 10_000_000)
 CAPITAL_BALANCE = (500_000_000, 1_000_000_000)
 NON_PERFORMING_SHARE = 0.03
 
+# Rows per task, so that generating any number of rows stays in short tasks.
+ROWS_PER_TASK = 2_000_000
+
 # Region names are made up from a rule: five areas.
 AREAS = ("North", "South", "East", "West", "Central")
 
 
+def _numbers(spark: SparkSession, count: int) -> DataFrame:
+    tasks = max(spark.sparkContext.defaultParallelism, -(-count // ROWS_PER_TASK))
+    return spark.range(0, count, 1, tasks)
+
+
 def _branch_id(seed: int, number: Column) -> Column:
     return hash_uuid(seed, "branch", number)
 
 
 def branches(spark: SparkSession, count: int = BRANCHES, seed: int = 0) -> DataFrame:
     number = F.col("id")
-    return spark.range(count).select(
+    return _numbers(spark, count).select(
         _branch_id(seed, number).alias("branch_id"),
         F.format_string("Office %05d Branch", number).alias("branch_name"),
         listed(AREAS, pick(seed, "region", number, len(AREAS))).alias("region"),
@@ -50,7 +58,7 @@ def assets(spark: SparkSession, count: int = ASSETS, branch_count: int = BRANCHE
         .otherwise(rules.PERFORMING)
     )
     return (
-        spark.range(count)
+        _numbers(spark, count)
         .withColumn("rule", rule)
         .withColumn("asset_type", listed(kinds, F.col("rule")))
         .select(
@@ -71,7 +79,7 @@ def liabilities(
     number = F.col("id")
     kinds, rates = zip(*rules.LIABILITY_RULES)
     return (
-        spark.range(count)
+        _numbers(spark, count)
         .withColumn("rule", pick(seed, "liability_rule", number, len(rules.LIABILITY_RULES)))
         .select(
             hash_uuid(seed, "liability", number).alias("liability_id"),
