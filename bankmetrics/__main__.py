@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit`` this file or ``python -m bankmetrics COMMAND``."""
+"""Command line: ``python -m bankmetrics COMMAND`` or ``spark-submit submit.py COMMAND``."""
 
 from __future__ import annotations
 
@@ -6,9 +6,9 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from bankmetrics import monthly
+from bankmetrics import monthly, schemas
 from bankmetrics.functions import rules
-from bankmetrics.operators import funding
+from bankmetrics.operators import checks, funding
 from bankmetrics.operators.reshape import one_metric
 from bankmetrics.plans import history, ratios
 from bankmetrics.plans.benchmarks import REPORT_DATE
@@ -41,6 +41,7 @@ def _parser() -> argparse.ArgumentParser:
     rolling.add_argument("--out", required=True)
     create = command("create-tables", "create the result tables", data=False)
     create.add_argument("--location", help="shared folder for the table files")
+    command("check", "show input rows that the ratios would lose or count twice")
     command("load", "store the staged metrics with an audit row")
     industry = command("benchmarks", "average a financials document and replace the benchmarks", data=False)
     industry.add_argument("--json", required=True)
@@ -65,6 +66,15 @@ def _compute(spark: SparkSession, name: str, args) -> None:
     files.stage_metric(one_metric(result, name), args.data, name)
 
 
+def _check(spark: SparkSession, args) -> None:
+    for name, columns in schemas.REQUIRED.items():
+        rows = read_input(spark, args.data, name, args.format)
+        checks.null_keys(rows, *columns).show()
+        checks.duplicate_keys(rows, columns[0]).show()
+    assets = read_input(spark, args.data, "assets", args.format)
+    checks.unmapped_types(assets, rules.risk_config(spark)).show()
+
+
 def _rolling(spark: SparkSession, args):
     liabilities = read_input(spark, args.data, "liabilities", args.format)
     # Only drawn maturities have a known span; stored ones may lie anywhere.
@@ -84,6 +94,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         _compute(spark, args.command.upper(), args)
     elif args.command == "worst-branches":
         ratios.worst_branches(ratios.npl_by_branch(read_input(spark, args.data, "assets", args.format))).show()
+    elif args.command == "check":
+        _check(spark, args)
     elif args.command == "rolling":
         _rolling(spark, args).write.mode("overwrite").parquet(args.out)
     elif args.command == "create-tables":

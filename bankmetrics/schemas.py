@@ -24,10 +24,15 @@ CAPITAL = f"capital_id STRING, capital_type STRING, balance {MONEY}"
 
 STAGED_METRIC = "metric_name STRING, metric_value DOUBLE"
 
-FINANCIALS = (
-    "data ARRAY<STRUCT<data: STRUCT<REPDTE: STRING, CERT: BIGINT, NAME: STRING, "
-    "EQVWCOR: DOUBLE, ASSET: DOUBLE>>>"
+LIABILITIES_WITH_MATURITY = f"{LIABILITIES}, maturity_days INT"
+
+# Fields arrive as JSON numbers or as quoted numbers, so they are read as text
+# and then given the types of FINANCIALS: with a numeric type in the envelope,
+# one quoted number would turn the whole document into NULL.
+FINANCIALS_ENVELOPE = (
+    "data ARRAY<STRUCT<data: STRUCT<REPDTE: STRING, CERT: STRING, NAME: STRING, EQVWCOR: STRING, ASSET: STRING>>>"
 )
+FINANCIALS = {"REPDTE": "string", "CERT": "bigint", "NAME": "string", "EQVWCOR": "double", "ASSET": "double"}
 
 INPUTS = {
     "branches": BRANCHES,

@@ -9,18 +9,21 @@ from pyspark.sql import functions as F
 from bankmetrics import schemas
 
 
-def read_input(spark: SparkSession, folder: str, table: str, fmt: str = "csv", infer: bool = False) -> DataFrame:
+def read_input(
+    spark: SparkSession, folder: str, table: str, fmt: str = "csv", schema: str | None = None, infer: bool = False
+) -> DataFrame:
     """One of ``branches``, ``assets``, ``liabilities``, ``capital``.
 
-    CSV is read with the declared schema: no inference pass over the data, and
-    a malformed number becomes NULL in its own row instead of turning the
-    whole column into text. ``infer=True`` asks for Spark's inference. Columnar
-    formats carry their own schema.
+    CSV is read with the declared schema, or with ``schema``: no inference
+    pass over the data, and a malformed number becomes NULL in its own row
+    instead of turning the whole column into text. Columns go by position.
+    ``infer=True`` asks for Spark's inference. Columnar formats carry their
+    own schema.
     """
     if fmt != "csv":
         return spark.read.format(fmt).load(f"{folder}/{table}")
     reader = spark.read.option("header", True)
-    reader = reader.option("inferSchema", True) if infer else reader.schema(schemas.INPUTS[table])
+    reader = reader.option("inferSchema", True) if infer else reader.schema(schema or schemas.INPUTS[table])
     return reader.csv(f"{folder}/{table}.csv")
 
 
@@ -43,9 +46,13 @@ def read_staged_metrics(spark: SparkSession, folder: str, names=("CAR", "LCR", "
 def read_financials(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Institution financials from JSON envelopes ``{data: [{data: {...}}]}``.
 
+    Text that is not JSON fails the read; a field that is not a number is NULL.
     A multi-line document cannot be split, so bulk extracts should hold one
     envelope per line and be read with ``multi_line=False``.
     """
-    envelopes = spark.read.schema(schemas.FINANCIALS).json(path, multiLine=multi_line)
-    return envelopes.select(F.explode("data").alias("entry")).select("entry.data.*")
+    reader = spark.read.schema(schemas.FINANCIALS_ENVELOPE).option("mode", "FAILFAST")
+    entries = reader.json(path, multiLine=multi_line).select(F.explode("data").alias("entry"))
+    return entries.select(
+        *[F.col(f"entry.data.{name}").try_cast(kind).alias(name) for name, kind in schemas.FINANCIALS.items()]
+    )
 

@@ -1,0 +1,54 @@
+"""Ratios of a generated balance sheet against loops over its rows."""
+
+from collections import defaultdict
+from decimal import Decimal as D
+
+import pytest
+
+from bankmetrics.functions import rules
+from bankmetrics.operators import funding
+from bankmetrics.plans import ratios
+from bankmetrics.sources import synthetic
+
+WEIGHTS = {kind: D(weight) for kind, weight, _ in rules.ASSET_RULES}
+FACTORS = {level: D(factor) for level, factor in rules.HQLA_FACTORS}
+
+
+@pytest.fixture(scope="module")
+def sheet(spark):
+    tables = synthetic.balance_sheet(spark, 3000, 3000, branch_count=6, seed=11)
+    tables["liabilities"] = funding.with_maturity(tables["liabilities"], seed=11)
+    return tables
+
+
+@pytest.fixture(scope="module")
+def rows(sheet):
+    return {name: df.collect() for name, df in sheet.items()}
+
+
+def test_bank_ratios(spark, sheet, rows):
+    found = ratios.ratios_of(
+        sheet["assets"], sheet["liabilities"], sheet["capital"], rules.risk_config(spark)
+    ).first()
+    assets, loans = rows["assets"], [a for a in rows["assets"] if a.loan_status != "N/A"]
+    bad = sum(a.balance for a in loans if a.loan_status == "Non-Performing")
+    rwa = sum(a.balance * WEIGHTS[a.asset_type] for a in assets)
+    hqla = sum(a.balance * FACTORS.get(a.hqla_level, D(0)) for a in assets)
+    outflow = sum(x.balance * x.outflow_rate for x in rows["liabilities"] if x.maturity_days <= 30)
+    tier1 = rows["capital"][0].balance
+    assert (found.total_rwa, found.total_hqla, found.net_outflow, found.npl_balance) == (rwa, hqla, outflow, bad)
+    assert found.loans == len(loans)
+    assert found.CAR == pytest.approx(float(tier1 / rwa * 100), rel=1e-14)
+    assert found.LCR == pytest.approx(float(hqla / outflow * 100), rel=1e-14)
+    assert found.NPL == float(round(bad / sum(a.balance for a in loans) * 100, 2))
+
+
+def test_rolling_outflow(sheet, rows):
+    due = defaultdict(list)
+    for x in rows["liabilities"]:
+        due[x.branch_id].append((x.maturity_days, x.balance * x.outflow_rate))
+    found = funding.rolling_outflow(sheet["liabilities"]).collect()
+    assert len(found) == len(rows["liabilities"])
+    for x in found:
+        ahead = sum(amount for day, amount in due[x.branch_id] if 0 <= day - x.maturity_days <= 30)
+        assert x.rolling_30d_outflow == ahead

@@ -11,7 +11,6 @@ from bankmetrics.functions import measures, rules
 from bankmetrics.operators import checks, funding, positions, ranking
 from bankmetrics.plans import benchmarks, history, ratios
 
-LIABILITIES = f"{schemas.LIABILITIES}, maturity_days INT"
 
 
 def make_assets(spark, *rows):
@@ -26,7 +25,7 @@ def make_assets(spark, *rows):
 def make_liabilities(spark, *rows):
     """Rows of (branch, maturity, outflow); the rate is 1."""
     full = [(f"L{i}", b, "Wholesale Funding", D(o), D("1.00"), m) for i, (b, m, o) in enumerate(rows)]
-    return spark.createDataFrame(full, LIABILITIES)
+    return spark.createDataFrame(full, schemas.LIABILITIES_WITH_MATURITY)
 
 
 def make_capital(spark, *rows):

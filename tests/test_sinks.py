@@ -115,6 +115,7 @@ def test_monthly_run_equals_the_staged_path(spark, database, tmp_path):
     run("rolling", *common, "--out", str(tmp_path / "rolled"))
     assert spark.read.parquet(str(tmp_path / "rolled")).count() == 3000
     run("worst-branches", *common)
+    run("check", *common)
     run("report", "--database", database)
     run("create-tables", "--database", database)
 

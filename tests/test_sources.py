@@ -1,9 +1,11 @@
 import json
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from bankmetrics import schemas
+from bankmetrics.operators import funding
 from bankmetrics.operators.checks import null_keys
 from bankmetrics.plans import benchmarks, ratios
 from bankmetrics.sinks import files
@@ -73,7 +75,8 @@ def financials_json(*entries):
 ENTRIES = (
     {"REPDTE": "20231231", "CERT": 1, "NAME": "One", "EQVWCOR": 10.5, "ASSET": 2e8},
     {"REPDTE": "20231231", "CERT": 2, "NAME": "Two", "EQVWCOR": None, "ASSET": 2e8},
-    {"REPDTE": "20231231", "CERT": 3, "NAME": "Three", "EQVWCOR": 12, "ASSET": 100000000},
+    {"REPDTE": 20231231, "CERT": "3", "NAME": "Three", "EQVWCOR": "12", "ASSET": "100000000"},
+    {"REPDTE": "20231231", "CERT": 5, "NAME": "Text", "EQVWCOR": "n/a", "ASSET": 3e8},
     {"REPDTE": "20231231", "CERT": 4, "NAME": "Small", "EQVWCOR": 99, "ASSET": 5},
 )
 
@@ -90,4 +93,23 @@ def test_financials_lines(spark, tmp_path):
     lines = [json.dumps(financials_json(entry)) for entry in ENTRIES]
     (tmp_path / "many.json").write_text("\n".join(lines))
     financials = read_financials(spark, str(tmp_path / "many.json"), multi_line=False)
-    assert financials.agg(F.count("*"), F.sum("CERT")).first()[:] == (4, 10)
+    assert financials.agg(F.count("*"), F.sum("CERT")).first()[:] == (5, 15)
+
+
+def test_financials_without_entries(spark, tmp_path):
+    (tmp_path / "none.json").write_text("{}")
+    assert read_financials(spark, str(tmp_path / "none.json")).count() == 0
+
+
+def test_broken_financials_fail(spark, tmp_path):
+    (tmp_path / "broken.json").write_text('{"data": [')
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST"):
+        read_financials(spark, str(tmp_path / "broken.json")).collect()
+
+
+def test_liabilities_with_their_own_maturity(spark, tmp_path):
+    (tmp_path / "liabilities.csv").write_text("a,b,c,d,e,maturity_days\nL1,B1,Retail Savings,5.00,0.05,12\n")
+    drawn = funding.with_maturity(read_input(spark, str(tmp_path), "liabilities"))
+    own = read_input(spark, str(tmp_path), "liabilities", schema=schemas.LIABILITIES_WITH_MATURITY)
+    assert drawn.columns == own.columns
+    assert funding.with_maturity(own).first()["maturity_days"] == 12
