@@ -1,5 +1,5 @@
 """Bank regulatory ratios as lazy Spark DataFrame queries.
 
-Every function takes DataFrames and returns a DataFrame. Nothing here starts a
-session, and only the functions in ``sinks`` run a job.
+Functions take DataFrames and return DataFrames. Nothing but the command line
+starts a session, and jobs run only to write or to check a size.
 """

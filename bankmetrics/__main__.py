@@ -76,12 +76,8 @@ def _check(spark: SparkSession, args) -> None:
 
 
 def _rolling(spark: SparkSession, args):
-    liabilities = read_input(spark, args.data, "liabilities", args.format)
-    # Only drawn maturities have a known span; stored ones may lie anywhere.
-    bound = None
-    if "maturity_days" not in liabilities.columns:
-        bound = funding.ladder_bound(read_input(spark, args.data, "branches", args.format))
-    return funding.rolling_outflow(funding.with_maturity(liabilities, args.seed), ladder_rows=bound)
+    liabilities = funding.with_maturity(read_input(spark, args.data, "liabilities", args.format), args.seed)
+    return funding.rolling_outflow(liabilities, ladder=funding.checked_ladder(liabilities))
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:

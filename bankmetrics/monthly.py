@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from bankmetrics.functions import rules
 from bankmetrics.operators import funding
 from bankmetrics.plans import benchmarks, history, ratios
+from bankmetrics.settle import settled
 from bankmetrics.sinks import files, tables
-from bankmetrics.sinks.settle import settled
 from bankmetrics.sources.files import read_inputs
 
 

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bankmetrics.functions import measures, rules
+from bankmetrics.settle import settled
 
-# Bound on the rows of a rolling ladder that is sent to every executor. A row
-# holds a branch, a day and one decimal, so a full ladder is some tens of MB.
+# Most rows of a rolling ladder that is sent to every executor. A row holds a
+# branch, a day and one decimal, so such a ladder is some tens of MB.
 LADDER_BROADCAST_ROWS = 300_000
 
 
@@ -47,34 +48,29 @@ def rolling_ladder(ladder: DataFrame, days: int = rules.HORIZON_DAYS) -> DataFra
     return ladder.withColumn("rolling_30d_outflow", F.sum("projected_outflow").over(ahead))
 
 
+def checked_ladder(liabilities: DataFrame, days: int = rules.HORIZON_DAYS) -> DataFrame:
+    """The rolling ladder, computed once, counted, and broadcast if the count allows."""
+    ladder = settled(rolling_ladder(outflow_ladder(liabilities), days))
+    return F.broadcast(ladder) if ladder.count() <= LADDER_BROADCAST_ROWS else ladder
+
+
 def rolling_outflow(
-    liabilities: DataFrame, days: int = rules.HORIZON_DAYS, ladder_rows: int | None = None
+    liabilities: DataFrame, days: int = rules.HORIZON_DAYS, ladder: DataFrame | None = None
 ) -> DataFrame:
     """Adds ``projected_outflow`` and ``rolling_30d_outflow`` to every liability.
 
     The window runs on the ladder, never on the rows, so no task holds a whole
-    branch. The result returns to the rows by a join on branch and day.
-    ``ladder_rows`` is a proven bound on the ladder, for which see
-    ``ladder_bound``: within ``LADDER_BROADCAST_ROWS`` the ladder is broadcast
-    and the rows are not shuffled. Without such a bound the join is left to
+    branch. The result returns to the rows by a join on branch and day. With a
+    ``checked_ladder`` the rows are not shuffled unless it is too large to
+    broadcast. Without one the whole query stays lazy, the join is left to
     Catalyst, and a shuffled join has its hot days split by adaptive execution.
     """
-    rolled = rolling_ladder(outflow_ladder(liabilities), days).select(
+    rolled = (rolling_ladder(outflow_ladder(liabilities), days) if ladder is None else ladder).select(
         F.col("branch_id").alias("ladder_branch"),
         F.col("maturity_days").alias("ladder_day"),
         "rolling_30d_outflow",
     )
-    if ladder_rows is not None and ladder_rows <= LADDER_BROADCAST_ROWS:
-        rolled = F.broadcast(rolled)
     same_branch = F.col("branch_id").eqNullSafe(F.col("ladder_branch"))
     same_day = F.col("maturity_days").eqNullSafe(F.col("ladder_day"))
     rows = with_outflow(liabilities)
     return rows.join(rolled, same_branch & same_day, "left").drop("ladder_branch", "ladder_day")
-
-
-def ladder_bound(branches: DataFrame, span: int = rules.MATURITY_SPAN_DAYS) -> int:
-    """Most rows a ladder can have when maturities lie in 0 to span - 1.
-
-    Counts the branch table; a NULL branch and NULL days add one step each.
-    """
-    return (branches.count() + 1) * (span + 1)

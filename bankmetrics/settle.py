@@ -1,4 +1,4 @@
-"""Computing a result once before it is checked and written."""
+"""Computing a result once, before it is checked, written or broadcast."""
 
 from __future__ import annotations
 
@@ -7,23 +7,24 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
+def checkpoint_folder(spark: SparkSession) -> str | None:
     """The shared folder named in spark.checkpoint.dir.
 
     Only a local session may go without it and gets a temporary folder: on a
     cluster the folder must outlive any single machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("Set spark.checkpoint.dir to a folder that all executors can reach")
-    return tempfile.mkdtemp(prefix="bankmetrics-")
+    if folder is None and spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="bankmetrics-")
+    return folder
 
 
 def settled(df: DataFrame) -> DataFrame:
     """``df`` computed and stored, so later steps neither repeat nor change it."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_folder(df.sparkSession))
+        folder = checkpoint_folder(df.sparkSession)
+        if folder is None:
+            raise ValueError("Set spark.checkpoint.dir to a folder that all executors can reach")
+        context.setCheckpointDir(folder)
     return df.checkpoint()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bankmetrics.functions import rules
 from bankmetrics.operators.checks import duplicate_keys
-from bankmetrics.sinks.settle import settled
+from bankmetrics.settle import settled
 
 METRICS = "regulatory_metrics"
 BENCHMARKS = "fdic_benchmarks"

@@ -158,8 +158,8 @@ def rolling_ladder(spark, folder):
 
 @query
 def rolling_outflow(spark, folder):
-    bound = funding.ladder_bound(star.branches(spark, folder))
-    rolled = funding.rolling_outflow(star.liabilities(spark, folder), ladder_rows=bound)
+    liabilities = star.liabilities(spark, folder)
+    rolled = funding.rolling_outflow(liabilities, ladder=funding.checked_ladder(liabilities))
     return rolled.select(
         "liability_id",
         "branch_id",

@@ -128,9 +128,10 @@ def test_lcr(spark):
 WINDOW = [("B1", 0, "1"), ("B1", 0, "2"), ("B1", 30, "4"), ("B1", 31, "8"), ("B1", 59, "16")]
 
 
-@pytest.mark.parametrize("bound", [None, 100, 10**9])
-def test_rolling_window_includes_peers_and_both_ends(spark, bound):
-    rolled = funding.rolling_outflow(make_liabilities(spark, *WINDOW), ladder_rows=bound)
+@pytest.mark.parametrize("checked", [False, True])
+def test_rolling_window_includes_peers_and_both_ends(spark, checked):
+    liabilities = make_liabilities(spark, *WINDOW)
+    rolled = funding.rolling_outflow(liabilities, ladder=funding.checked_ladder(liabilities) if checked else None)
     rows = rolled.orderBy("liability_id").collect()
     assert [int(r.rolling_30d_outflow) for r in rows] == [7, 7, 28, 24, 16]
 

@@ -105,13 +105,14 @@ def test_lookup_is_broadcast_only_under_the_threshold(spark, star_folder, settin
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
-def test_ladder_is_broadcast_only_with_a_bound(spark, setting):
+def test_ladder_is_broadcast_only_after_counting(spark, setting, monkeypatch):
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     rows = funding.with_maturity(synthetic.liabilities(spark, 1000, 5))
-    assert funding.ladder_bound(synthetic.branches(spark, 5)) == 6 * 61
-    assert "BroadcastHashJoin" in plan_of(funding.rolling_outflow(rows, ladder_rows=6 * 61))
-    for unproven in (None, funding.LADDER_BROADCAST_ROWS + 1):
-        assert "SortMergeJoin" in plan_of(funding.rolling_outflow(rows, ladder_rows=unproven))
+    ladder = funding.checked_ladder(rows)
+    assert "BroadcastHashJoin" in plan_of(funding.rolling_outflow(rows, ladder=ladder))
+    assert "SortMergeJoin" in plan_of(funding.rolling_outflow(rows))
+    monkeypatch.setattr(funding, "LADDER_BROADCAST_ROWS", ladder.count() - 1)
+    assert "SortMergeJoin" in plan_of(funding.rolling_outflow(rows, ladder=funding.checked_ladder(rows)))
 
 
 def split_hot_partitions(setting):
@@ -148,7 +149,7 @@ def test_a_hot_lookup_key_is_split(spark, tmp_path, setting):
 def test_a_hot_branch_reaches_the_window_as_a_ladder(spark):
     """The window sorts one row per day, however many rows a branch has."""
     rows = synthetic.liabilities(spark, 20_000, 1)
-    plan = plan_of(funding.rolling_outflow(funding.with_maturity(rows), ladder_rows=100))
+    plan = plan_of(funding.rolling_outflow(funding.with_maturity(rows)))
     window = plan[plan.index("Window [") :]
     assert "HashAggregate" in window[: window.index(" Range (")]
 
@@ -161,8 +162,8 @@ def direct_window(rows):
     )
 
 
-@pytest.mark.parametrize("bound", [None, 10_000])
-def test_ladder_equals_the_direct_window(spark, bound):
+@pytest.mark.parametrize("checked", [False, True])
+def test_ladder_equals_the_direct_window(spark, checked):
     rows = funding.with_maturity(synthetic.liabilities(spark, 5000, 7)).withColumns(
         {
             "branch_id": F.when(F.rand(1) > 0.05, F.col("branch_id")),
@@ -171,7 +172,8 @@ def test_ladder_equals_the_direct_window(spark, bound):
         }
     )
     names = ["liability_id", "projected_outflow", "rolling_30d_outflow"]
-    ladder = funding.rolling_outflow(rows, ladder_rows=bound).select(*names)
+    checked_ladder = funding.checked_ladder(rows) if checked else None
+    ladder = funding.rolling_outflow(rows, ladder=checked_ladder).select(*names)
     direct = direct_window(rows).select(*names)
     assert ladder.count() == 5000
     assert sorted(ladder.collect(), key=repr) == sorted(direct.collect(), key=repr)
