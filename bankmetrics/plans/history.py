@@ -56,7 +56,7 @@ def runs(assets: DataFrame, liabilities: DataFrame, capital: DataFrame, risk_con
     parts = [name for name in both.columns if name != "run_id"]
     # One row per run and side, so max only passes the single value through.
     joined = both.groupBy("run_id").agg(*[F.max(name).alias(name) for name in parts])
-    wide = ratios.with_ratios(joined.crossJoin(ratios.tier1_capital(capital)))
+    wide = ratios.with_ratios(joined.withColumn("tier1_capital", ratios.tier1_capital(capital).scalar()))
     return wide.select(
         "run_id",
         F.col("as_of").alias("computation_date"),

@@ -1,7 +1,7 @@
 """The three ratios, alone and together.
 
-Each bank-wide side is a global aggregate of exactly one row, so the sides meet
-in a cross join of single rows.
+A bank-wide total of another table enters as a scalar subquery: one value, no
+join.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ def total_hqla(assets: DataFrame) -> DataFrame:
 
 def car(assets: DataFrame, capital: DataFrame, risk_config: DataFrame) -> DataFrame:
     """Capital adequacy: Tier 1 capital over risk-weighted assets, in percent."""
-    sides = total_rwa(assets, risk_config).crossJoin(tier1_capital(capital))
+    sides = total_rwa(assets, risk_config).withColumn("tier1_capital", tier1_capital(capital).scalar())
     return sides.withColumn("CAR", measures.percent(F.col("tier1_capital"), F.col("total_rwa")))
 
 
@@ -53,7 +53,7 @@ def lcr(assets: DataFrame, liabilities: DataFrame) -> DataFrame:
 
     There is no cap on Level 2 assets and no offset for inflows.
     """
-    sides = total_hqla(assets).crossJoin(funding.horizon_outflow(liabilities))
+    sides = total_hqla(assets).withColumn("net_outflow", funding.horizon_outflow(liabilities).scalar())
     return sides.withColumn("LCR", measures.percent(F.col("total_hqla"), F.col("net_outflow")))
 
 
@@ -91,11 +91,12 @@ def branch_measures(assets: DataFrame, risk_config: DataFrame) -> DataFrame:
 def bank_ratios(measured: DataFrame, outflow: DataFrame, capital: DataFrame) -> DataFrame:
     """CAR, LCR and NPL with their parts in one row.
 
-    ``measured`` is one row of asset measures and ``outflow`` one row of
-    horizon outflow, so each large table is read once for all three ratios.
+    ``measured`` is one row of asset measures and ``outflow`` the horizon
+    outflow, so each large table is read once for all three ratios.
     """
-    sides = measured.crossJoin(outflow).crossJoin(tier1_capital(capital))
-    return with_ratios(sides)
+    return with_ratios(
+        measured.withColumns({"net_outflow": outflow.scalar(), "tier1_capital": tier1_capital(capital).scalar()})
+    )
 
 
 def with_ratios(sides: DataFrame) -> DataFrame:

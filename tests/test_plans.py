@@ -41,16 +41,16 @@ def setting(spark):
 def test_no_python_and_no_cartesian_product(spark, star_folder, name):
     plan = plan_of(driver.queries()[name](spark, star_folder))
     assert "Python" not in plan and "ArrowEval" not in plan
-    assert "CartesianProduct" not in plan
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
 @pytest.mark.parametrize("name", sorted(driver.queries()))
 def test_single_partition_steps_are_global_aggregates(spark, star_folder, name):
     """One task only ever merges the one partial row per task of a global aggregate."""
     lines = plan_of(driver.queries()[name](spark, star_folder)).splitlines()
-    for above, line, below in zip(lines, lines[1:], lines[2:]):
+    for line, below in zip(lines, lines[1:]):
         if "SinglePartition" in line:
-            assert re.search(r"Aggregate\(keys?=\[\]", above) and re.search(r"Aggregate\(keys?=\[\]", below)
+            assert re.search(r"Aggregate\(keys?=\[\]", below)
 
 
 @pytest.mark.parametrize("name", ["scorecard", "metric_snapshot", "metric_history", "latest_run", "fused_bank_ratios"])
