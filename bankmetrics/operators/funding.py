@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bankmetrics.functions import measures, rules
-from bankmetrics.settle import settled
+from bankmetrics.settle import can_settle, settled
 
 # Most rows of a rolling ladder that is sent to every executor. A row holds a
 # branch, a day and one decimal, so such a ladder is some tens of MB.
@@ -49,8 +49,14 @@ def rolling_ladder(ladder: DataFrame, days: int = rules.HORIZON_DAYS) -> DataFra
 
 
 def checked_ladder(liabilities: DataFrame, days: int = rules.HORIZON_DAYS) -> DataFrame:
-    """The rolling ladder, computed once, counted, and broadcast if the count allows."""
-    ladder = settled(rolling_ladder(outflow_ladder(liabilities), days))
+    """The rolling ladder, computed once, counted, and broadcast if the count allows.
+
+    Where there is no folder to keep it in, it stays lazy and is not broadcast.
+    """
+    ladder = rolling_ladder(outflow_ladder(liabilities), days)
+    if not can_settle(liabilities.sparkSession):
+        return ladder
+    ladder = settled(ladder)
     return F.broadcast(ladder) if ladder.count() <= LADDER_BROADCAST_ROWS else ladder
 
 

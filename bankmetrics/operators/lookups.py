@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bankmetrics.operators.positions import balances_by
 
 # Largest lookup sent to every executor: two narrow columns, some tens of MB.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 500_000
 
 
 def fits_broadcast(lookup: DataFrame) -> bool:

@@ -1,4 +1,9 @@
-"""Computing a result once, before it is checked, written or broadcast."""
+"""Computing a result once, before it is checked, written or broadcast.
+
+Results are kept in the shared folder that the session names in
+spark.checkpoint.dir. Only a local session may go without the setting and gets
+a temporary folder: on a cluster the folder must outlive any single machine.
+"""
 
 from __future__ import annotations
 
@@ -7,24 +12,19 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint_folder(spark: SparkSession) -> str | None:
-    """The shared folder named in spark.checkpoint.dir.
+def _named_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
 
-    Only a local session may go without it and gets a temporary folder: on a
-    cluster the folder must outlive any single machine.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None and spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="bankmetrics-")
-    return folder
+def can_settle(spark: SparkSession) -> bool:
+    return _named_folder(spark) is not None or spark.sparkContext.master.startswith("local")
 
 
 def settled(df: DataFrame) -> DataFrame:
     """``df`` computed and stored, so later steps neither repeat nor change it."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = checkpoint_folder(df.sparkSession)
-        if folder is None:
-            raise ValueError("Set spark.checkpoint.dir to a folder that all executors can reach")
-        context.setCheckpointDir(folder)
+    spark = df.sparkSession
+    if not can_settle(spark):
+        raise ValueError("Set spark.checkpoint.dir to a folder that all executors can reach")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(_named_folder(spark) or tempfile.mkdtemp(prefix="bankmetrics-"))
     return df.checkpoint()

@@ -113,6 +113,8 @@ def test_ladder_is_broadcast_only_after_counting(spark, setting, monkeypatch):
     assert "SortMergeJoin" in plan_of(funding.rolling_outflow(rows))
     monkeypatch.setattr(funding, "LADDER_BROADCAST_ROWS", ladder.count() - 1)
     assert "SortMergeJoin" in plan_of(funding.rolling_outflow(rows, ladder=funding.checked_ladder(rows)))
+    monkeypatch.setattr(funding, "can_settle", lambda spark: False)
+    assert "SortMergeJoin" in plan_of(funding.rolling_outflow(rows, ladder=funding.checked_ladder(rows)))
 
 
 def split_hot_partitions(setting):

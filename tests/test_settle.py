@@ -1,0 +1,43 @@
+from types import SimpleNamespace
+
+import pytest
+
+from bankmetrics import settle
+
+
+class FakeContext:
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def frame(master, setting=None, folder=None):
+    conf = SimpleNamespace(get=lambda key, default: setting if key == "spark.checkpoint.dir" else default)
+    session = SimpleNamespace(conf=conf, sparkContext=FakeContext(master, folder))
+    return SimpleNamespace(sparkSession=session, checkpoint=lambda: session.sparkContext.folder)
+
+
+def test_the_setting_of_the_session_is_used():
+    assert settle.settled(frame("yarn", setting="hdfs:/shared")) == "hdfs:/shared"
+    assert settle.settled(frame("yarn", folder="hdfs:/set-before")) == "hdfs:/set-before"
+
+
+def test_a_cluster_without_the_setting_gets_no_machine_local_folder():
+    assert not settle.can_settle(frame("yarn").sparkSession)
+    with pytest.raises(ValueError):
+        settle.settled(frame("yarn"))
+
+
+def test_a_local_session_gets_a_temporary_folder():
+    assert "bankmetrics-" in settle.settled(frame("local[2]"))
+
+
+def test_a_settled_frame_is_not_computed_again(spark):
+    drawn = spark.range(100).selectExpr("uuid() AS value")
+    kept = settle.settled(drawn)
+    assert kept.exceptAll(kept).count() == 0 and sorted(kept.collect()) == sorted(kept.collect())
