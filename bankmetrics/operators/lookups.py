@@ -19,11 +19,12 @@ def fits_broadcast(lookup: DataFrame) -> bool:
 def positions_through(rows: DataFrame, lookup: DataFrame, key: str, *traits: str) -> DataFrame:
     """``balance`` per trait, with the lookup's columns in place of ``key``.
 
-    With a small lookup the rows meet a broadcast and are not shuffled. With a
-    large one they are first summed per key and trait, which cuts the rows to
-    be joined, and leaves a key that holds a third of them with one row per
+    A key that the lookup does not know keeps its balance, with NULLs. With a
+    small lookup the rows meet a broadcast and are not shuffled. With a large
+    one they are first summed per key and trait, which cuts the rows to be
+    joined, and leaves a key that holds a third of them with one row per
     trait. Either result goes into ``balances_by``.
     """
     if fits_broadcast(lookup):
-        return rows.select(key, "balance", *traits).join(F.broadcast(lookup), key).drop(key)
-    return balances_by(rows, key, *traits).join(lookup, key).drop(key)
+        return rows.select(key, "balance", *traits).join(F.broadcast(lookup), key, "left").drop(key)
+    return balances_by(rows, key, *traits).join(lookup, key, "left").drop(key)

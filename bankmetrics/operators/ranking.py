@@ -27,7 +27,7 @@ def latest_run(metrics: DataFrame) -> DataFrame:
     return metrics.where(F.col("run_id") == newest.scalar())
 
 
-def latest_period(benchmarks: DataFrame) -> DataFrame:
-    """Rows of the largest report period."""
-    newest = benchmarks.agg(F.max("report_period"))
-    return benchmarks.where(F.col("report_period") == newest.scalar())
+def latest_period(rows: DataFrame, period: str = "report_period") -> DataFrame:
+    """Rows of the largest report period: benchmarks, or the observations behind them."""
+    newest = rows.agg(F.max(period))
+    return rows.where(F.col(period) == newest.scalar())

@@ -6,6 +6,9 @@
     financials   events
     branches     nation and region
 
+A row whose supplier or customer is unknown stays in, with a NULL branch, so
+branch totals always add up to the bank's.
+
 Rows are joined while still narrow and named afterwards, so a shuffled join
 carries keys and codes rather than text. Neither lookup table has a size
 bound, so the joins carry no broadcast hint: Catalyst broadcasts the lookup
@@ -52,7 +55,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def branches(spark: SparkSession, folder: str) -> DataFrame:
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+    return nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
         F.col("n_nationkey").cast("string").alias("branch_id"),
         F.col("n_name").alias("branch_name"),
         F.col("r_name").alias("region"),
@@ -75,7 +78,7 @@ def assets(spark: SparkSession, folder: str, placed: bool = True) -> DataFrame:
     """One asset per line item, with its branch or, if not placed, its supplier as ``site``."""
     rows = table(spark, folder, "lineitem").withColumnRenamed("l_suppkey", "site")
     if placed:
-        rows = rows.join(_sites(spark, folder), "site")
+        rows = rows.join(_sites(spark, folder), "site", "left")
     kinds, weights, levels = zip(*rules.ASSET_RULES)
     kind = F.col("l_partkey") % len(rules.ASSET_RULES)
     bad = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
@@ -84,8 +87,9 @@ def assets(spark: SparkSession, folder: str, placed: bool = True) -> DataFrame:
         .when(bad, rules.NON_PERFORMING)
         .otherwise(rules.PERFORMING)
     )
+    asset_id = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
     return rows.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("asset_id"),
+        asset_id.alias("asset_id"),
         "branch_id" if placed else "site",
         listed(kinds, kind).alias("asset_type"),
         F.col("l_extendedprice").cast(MONEY).alias("balance"),
@@ -101,7 +105,7 @@ def liabilities(spark: SparkSession, folder: str, placed: bool = True) -> DataFr
     rows = table(spark, folder, "orders")
     if placed:
         customer = table(spark, folder, "customer")
-        rows = rows.join(customer, rows.o_custkey == customer.c_custkey)
+        rows = rows.join(customer, rows.o_custkey == customer.c_custkey, "left")
     priority = F.col("o_orderpriority")
     kind = (
         F.when(priority == "1-URGENT", 3)

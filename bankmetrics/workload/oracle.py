@@ -15,7 +15,7 @@ VIEWS = {
         ) AS t(asset_type, rule_weight)""",
     "short_config": "SELECT * FROM risk_config WHERE asset_type <> 'Consumer Loan'",
     "assets": """
-        SELECT concat(l_orderkey, '-', l_linenumber) AS asset_id,
+        SELECT l_orderkey || '-' || l_linenumber AS asset_id,
                CAST(s_nationkey AS VARCHAR) AS branch_id,
                CASE l_partkey % 7 WHEN 0 THEN 'Cash' WHEN 1 THEN 'Government Bonds'
                     WHEN 2 THEN 'Corporate Bonds' WHEN 3 THEN 'Residential Mortgage'
@@ -25,13 +25,13 @@ VIEWS = {
                CAST(CASE l_partkey % 7 WHEN 0 THEN 0.00 WHEN 1 THEN 0.00 WHEN 2 THEN 0.50 WHEN 3 THEN 0.35
                     WHEN 4 THEN 1.00 WHEN 5 THEN 1.00 WHEN 6 THEN 0.75 END AS DECIMAL(5,2)) AS risk_weight,
                CASE WHEN l_partkey % 7 IN (0, 1) THEN 'Level 1' WHEN l_partkey % 7 = 2 THEN 'Level 2A'
-                    ELSE 'Non-HQLA' END AS hqla_level,
+                    WHEN l_partkey % 7 IN (3, 4, 5, 6) THEN 'Non-HQLA' END AS hqla_level,
                CASE WHEN l_partkey % 7 NOT IN (3, 5, 6) THEN 'N/A'
                     WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'Non-Performing'
                     ELSE 'Performing' END AS loan_status,
                CAST(year(l_shipdate) AS VARCHAR) AS run_id,
                CAST(l_shipdate AS DATE) AS as_of
-        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
+        FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey""",
     "liabilities": """
         SELECT CAST(o_orderkey AS VARCHAR) AS liability_id,
                CAST(c_nationkey AS VARCHAR) AS branch_id,
@@ -44,7 +44,7 @@ VIEWS = {
                o_orderdate AS due_date,
                CAST(year(o_orderdate) AS VARCHAR) AS run_id,
                CAST(o_orderdate AS DATE) AS as_of
-        FROM orders JOIN customer ON o_custkey = c_custkey""",
+        FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
     "capital": """
         SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN 'Tier 1 Capital' ELSE 'Tier 2 Capital' END AS capital_type,
                CAST(c_acctbal AS DECIMAL(18,2)) AS balance
@@ -70,7 +70,8 @@ VIEWS = {
                sum(CASE hqla_level WHEN 'Level 1' THEN balance WHEN 'Level 2A' THEN balance * 0.85 ELSE 0 END)
                    AS total_hqla,
                sum(CASE WHEN loan_status <> 'N/A' THEN balance END) AS total_loan_balance,
-               sum(CASE loan_status WHEN 'Non-Performing' THEN balance ELSE 0 END) AS npl_balance,
+               sum(CASE WHEN loan_status <> 'N/A' THEN
+                   CASE loan_status WHEN 'Non-Performing' THEN balance ELSE 0 END END) AS npl_balance,
                count(CASE WHEN loan_status <> 'N/A' THEN 1 END) AS loans
         FROM assets LEFT JOIN risk_config USING (asset_type)""",
     "funding": """
@@ -98,12 +99,12 @@ VIEWS = {
                sum(CASE WHEN maturity_days <= 30 THEN balance * outflow_rate END) AS net_outflow
         FROM liabilities GROUP BY run_id""",
     "years": """
-        SELECT run_id, greatest(asset_date, funding_date) AS computation_date,
+        SELECT coalesce(a.run_id, f.run_id) AS run_id, greatest(asset_date, funding_date) AS computation_date,
                CAST(tier1_capital AS DOUBLE) / nullif(CAST(total_rwa AS DOUBLE), 0) * 100 AS car,
                CAST(total_hqla AS DOUBLE) / nullif(CAST(net_outflow AS DOUBLE), 0) * 100 AS lcr,
                round(CAST(CAST(npl_balance AS DOUBLE) / nullif(CAST(total_loan_balance AS DOUBLE), 0) * 100
                    AS DECIMAL(18,9)), 2) AS npl
-        FROM year_assets FULL JOIN year_funding USING (run_id) CROSS JOIN tier1""",
+        FROM year_assets a FULL JOIN year_funding f ON a.run_id IS NOT DISTINCT FROM f.run_id CROSS JOIN tier1""",
     "history": """
         SELECT * FROM (
             SELECT run_id, computation_date, 'CAR' AS metric_name, CAST(car AS DECIMAL(10,4)) AS metric_value
@@ -121,6 +122,11 @@ VIEWS = {
         SELECT branch_id, sum(balance) AS total_loan_balance,
                sum(CASE loan_status WHEN 'Non-Performing' THEN balance ELSE 0 END) AS npl_balance
         FROM assets WHERE loan_status <> 'N/A' GROUP BY branch_id""",
+    "branch_loans": """
+        SELECT branch_id, sum(CASE WHEN loan_status <> 'N/A' THEN balance END) AS total_loan_balance,
+               sum(CASE WHEN loan_status <> 'N/A' THEN
+                   CASE loan_status WHEN 'Non-Performing' THEN balance ELSE 0 END END) AS npl_balance
+        FROM assets GROUP BY branch_id""",
 }
 
 # Views each view reads, so that a query carries only the ones it needs.
@@ -141,6 +147,7 @@ NEEDS = {
     "last_run": ["history"],
     "compared": ["last_run", "last_benchmarks"],
     "npl_branches": ["assets"],
+    "branch_loans": ["assets"],
 }
 
 NPL_RATIO = """round(CAST(CAST(npl_balance AS DOUBLE) / nullif(CAST(total_loan_balance AS DOUBLE), 0) * 100
@@ -227,15 +234,13 @@ QUERIES = {
     ),
     "rolling_ladder": (
         ["liabilities"],
-        """SELECT a.branch_id, a.maturity_days,
-               CAST(any_value(a.projected_outflow) AS DOUBLE) AS projected_outflow,
-               CAST(sum(b.projected_outflow) AS DOUBLE) AS rolling_30d_outflow
-        FROM (SELECT branch_id, maturity_days, sum(balance * outflow_rate) AS projected_outflow
-              FROM liabilities GROUP BY ALL) a
-        JOIN (SELECT branch_id, maturity_days, sum(balance * outflow_rate) AS projected_outflow
-              FROM liabilities GROUP BY ALL) b
-          ON a.branch_id = b.branch_id AND b.maturity_days BETWEEN a.maturity_days AND a.maturity_days + 30
-        GROUP BY a.branch_id, a.maturity_days""",
+        """SELECT branch_id, maturity_days, CAST(sum(outflow) AS DOUBLE) AS projected_outflow,
+               CAST(any_value(rolling) AS DOUBLE) AS rolling_30d_outflow
+        FROM (SELECT branch_id, maturity_days, balance * outflow_rate AS outflow,
+                     sum(balance * outflow_rate) OVER (PARTITION BY branch_id ORDER BY maturity_days
+                         RANGE BETWEEN CURRENT ROW AND 30 FOLLOWING) AS rolling
+              FROM liabilities)
+        GROUP BY branch_id, maturity_days""",
     ),
     "rolling_outflow": (
         ["liabilities"],
@@ -259,7 +264,8 @@ QUERIES = {
                    sum(CASE hqla_level WHEN 'Level 1' THEN balance WHEN 'Level 2A' THEN balance * 0.85 ELSE 0 END)
                        AS total_hqla,
                    sum(CASE WHEN loan_status <> 'N/A' THEN balance END) AS total_loan_balance,
-                   sum(CASE loan_status WHEN 'Non-Performing' THEN balance ELSE 0 END) AS npl_balance,
+                   sum(CASE WHEN loan_status <> 'N/A' THEN
+                       CASE loan_status WHEN 'Non-Performing' THEN balance ELSE 0 END END) AS npl_balance,
                    count(CASE WHEN loan_status <> 'N/A' THEN 1 END) AS loans
             FROM assets LEFT JOIN risk_config USING (asset_type) GROUP BY branch_id)""",
     ),
@@ -271,10 +277,10 @@ QUERIES = {
                round(car, 6) AS "CAR", round(lcr, 6) AS "LCR", CAST(npl AS DOUBLE) AS "NPL" FROM ratios""",
     ),
     "branch_report": (
-        ["npl_branches"],
+        ["branch_loans"],
         f"""SELECT n_name AS branch_name, r_name AS region, {NPL_COLUMNS}
-        FROM npl_branches JOIN nation ON branch_id = CAST(n_nationkey AS VARCHAR)
-        JOIN region ON n_regionkey = r_regionkey""",
+        FROM branch_loans LEFT JOIN nation ON branch_id = CAST(n_nationkey AS VARCHAR)
+        LEFT JOIN region ON n_regionkey = r_regionkey""",
     ),
     "benchmark_avg": (
         ["averages"],

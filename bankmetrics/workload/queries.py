@@ -209,7 +209,7 @@ def _bank_ratios(spark, folder):
 def branch_report(spark, folder):
     placed = star.asset_positions(spark, folder, *positions.TRAITS)
     measured = ratios.branch_measures(placed, rules.risk_config(spark))
-    return star.branches(spark, folder).join(measured, "branch_id").select(
+    return measured.join(star.branches(spark, folder), "branch_id", "left").select(
         "branch_name", "region", "total_loan_balance", "npl_balance", "npl_ratio_percent"
     )
 
@@ -221,8 +221,12 @@ def _observed(spark, folder):
     return benchmarks.observations(star.financials(spark, folder), None, MIN_OBSERVED_ASSETS)
 
 
-def _benchmarks(spark, folder):
-    return benchmarks.benchmark_table(benchmarks.average_by_period(_observed(spark, folder)), SNAPSHOT_TIME)
+def _benchmarks(observed):
+    return benchmarks.benchmark_table(benchmarks.average_by_period(observed), SNAPSHOT_TIME)
+
+
+def _latest_benchmarks(spark, folder):
+    return _benchmarks(ranking.latest_period(_observed(spark, folder), "REPDTE"))
 
 
 @query
@@ -240,12 +244,12 @@ def benchmark_first_100(spark, folder):
 
 @query
 def benchmark_table(spark, folder):
-    return _benchmarks(spark, folder)
+    return _benchmarks(_observed(spark, folder))
 
 
 @query
 def latest_benchmarks(spark, folder):
-    return ranking.latest_period(_benchmarks(spark, folder)).select("metric_name", "industry_average")
+    return _latest_benchmarks(spark, folder).select("metric_name", "industry_average")
 
 
 # Runs
@@ -286,7 +290,7 @@ def latest_run_balances(spark, folder):
 
 
 def _compared(spark, folder):
-    return benchmarks.compare(_newest(spark, folder), ranking.latest_period(_benchmarks(spark, folder)))
+    return benchmarks.compare(_newest(spark, folder), _latest_benchmarks(spark, folder))
 
 
 @query
@@ -302,8 +306,7 @@ def benchmark_delta(spark, folder):
 @query
 def scorecard(spark, folder):
     current = history.snapshot(_bank_ratios(spark, folder), SNAPSHOT_RUN)
-    latest = ranking.latest_period(_benchmarks(spark, folder))
-    return benchmarks.with_delta(benchmarks.compare(current, latest))
+    return benchmarks.with_delta(benchmarks.compare(current, _latest_benchmarks(spark, folder)))
 
 
 # Checks
