@@ -20,11 +20,10 @@ def decimal_rate(value: str) -> Column:
 def listed(values, position: Column) -> Column:
     """The value at a position counted from 0; NULL for a NULL position.
 
-    The guard is needed: in ANSI mode ``element_at`` on an array without NULLs
-    is taken as never NULL, whatever the position.
+    ``get`` and not ``element_at``: in ANSI mode the latter is taken as never
+    NULL on an array without NULLs, whatever the position.
     """
-    found = F.element_at(F.array(*[F.lit(value) for value in values]), position.cast("int") + 1)
-    return F.when(position.isNotNull(), found)
+    return F.get(F.array(*[F.lit(value) for value in values]), position.cast("int"))
 
 
 def risk_weighted(balance: Column, weight: Column) -> Column:
