@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from bankmetrics.functions import rules
 from bankmetrics.operators import funding
 from bankmetrics.plans import benchmarks, history, ratios
-from bankmetrics.settle import settled
 from bankmetrics.sinks import files, tables
 from bankmetrics.sources.files import read_inputs
 
@@ -39,13 +38,13 @@ def load_benchmarks(
     database: str | None = None,
     limit: int | None = None,
 ) -> None:
-    """Averages the observations, keeps a CSV copy in ``folder`` and replaces the benchmark table."""
+    """Averages the observations, replaces the benchmark table and keeps a CSV copy of it in ``folder``."""
     observed = benchmarks.observations(financials, report_date, limit=limit)
     averages = benchmarks.average_of(observed, report_date)
-    rows = settled(benchmarks.benchmark_table(averages, dt.datetime.now()))
+    tables.replace_benchmarks(benchmarks.benchmark_table(averages, dt.datetime.now()), database)
     if folder:
-        files.write_small_csv(rows, f"{folder}/fdic_benchmarks.csv")
-    tables.replace_benchmarks(rows, database)
+        stored = tables.read(financials.sparkSession, tables.BENCHMARKS, database)
+        files.write_small_csv(stored, f"{folder}/fdic_benchmarks.csv")
 
 
 def run(
@@ -65,10 +64,6 @@ def run(
 
 def report(spark: SparkSession, database: str | None = None) -> DataFrame:
     """Latest run against latest benchmarks, with difference and status."""
-    prefix = f"{database}." if database else ""
-    return benchmarks.with_delta(
-        benchmarks.compare_latest(
-            spark.table(prefix + tables.METRICS),
-            spark.table(prefix + tables.BENCHMARKS),
-        )
-    )
+    metrics = tables.read(spark, tables.METRICS, database)
+    industry = tables.read(spark, tables.BENCHMARKS, database)
+    return benchmarks.with_delta(benchmarks.compare_latest(metrics, industry))

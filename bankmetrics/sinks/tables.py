@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +53,10 @@ def create_tables(spark: SparkSession, database: str | None = None, location: st
         )
 
 
+def read(spark: SparkSession, table: str, database: str | None = None) -> DataFrame:
+    return spark.table(_qualified(table, database))
+
+
 def _refuse_duplicates(rows: DataFrame, table: str) -> None:
     repeated = duplicate_keys(rows, *KEYS[table]).limit(3).collect()
     if repeated:
@@ -99,7 +105,7 @@ def audit_row(stored: DataFrame, run_id: str) -> DataFrame:
 
 def append_audit(spark: SparkSession, run_id: str, database: str | None = None) -> None:
     """Appends the audit row of a stored run; time is the table's default."""
-    rows = audit_row(spark.table(_qualified(METRICS, database)), run_id)
+    rows = audit_row(read(spark, METRICS, database), run_id)
     spark.sql(
         f"INSERT INTO {_qualified(AUDIT, database)} (log_id, run_id, pipeline_step, status, message) "
         "SELECT log_id, run_id, pipeline_step, status, message FROM {rows}",
@@ -107,17 +113,31 @@ def append_audit(spark: SparkSession, run_id: str, database: str | None = None)
     )
 
 
+def _location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+    return described.where(F.col("col_name") == "Location").first()["data_type"]
+
+
 def replace_benchmarks(benchmarks: DataFrame, database: str | None = None) -> None:
-    """Replaces all benchmarks.
+    """Replaces all benchmarks in one step.
 
-    The new rows are computed and stored before the old ones go, so a failure
-    in computing them leaves the table as it was.
+    The new rows go to a folder of their own, under the limits of the table,
+    and the table then points to that folder. Until then it holds the old
+    rows, whatever fails. Folders of earlier versions stay where they are.
     """
     spark = benchmarks.sparkSession
-    rows = settled(benchmarks.select("report_period", "metric_name", "industry_average", "fetched_at"))
-    _refuse_duplicates(rows, BENCHMARKS)
-    spark.sql(
-        f"INSERT OVERWRITE {_qualified(BENCHMARKS, database)} "
-        "SELECT report_period, metric_name, industry_average, fetched_at FROM {rows}",
-        rows=rows.coalesce(1),
-    )
+    name, version = _qualified(BENCHMARKS, database), uuid.uuid4().hex
+    folder = f"{_location(spark, name).rsplit('/', 1)[0]}/{BENCHMARKS}-{version}"
+    staging = _qualified(f"{BENCHMARKS}_{version}", database)
+    spark.sql(f"CREATE TABLE {staging} ({COLUMNS[BENCHMARKS]}) USING parquet LOCATION '{folder}'")
+    try:
+        spark.sql(
+            f"INSERT INTO {staging} (report_period, metric_name, industry_average, fetched_at) "
+            "SELECT report_period, metric_name, industry_average, fetched_at FROM {rows}",
+            rows=benchmarks,
+        )
+        _refuse_duplicates(spark.table(staging), BENCHMARKS)
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+    finally:
+        # The staging table is external, so its files stay.
+        spark.sql(f"DROP TABLE {staging}")

@@ -86,7 +86,10 @@ def test_benchmarks_are_replaced(spark, database):
     failing = F.raise_error(F.lit("lost")).cast("decimal(10,4)")
     with pytest.raises(PySparkException):
         tables.replace_benchmarks(first.withColumn("industry_average", failing), database)
+    with pytest.raises(PySparkException):
+        tables.replace_benchmarks(first.withColumn("report_period", F.lit("9" * 21)), database)
     assert spark.table(f"{database}.fdic_benchmarks").count() == 1
+    assert spark.sql(f"SHOW TABLES IN {database}").count() == 3
 
 
 def test_monthly_run_equals_the_staged_path(spark, database, tmp_path):
