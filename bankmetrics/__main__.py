@@ -42,7 +42,8 @@ def _parser() -> argparse.ArgumentParser:
     create = command("create-tables", "create the result tables", data=False)
     create.add_argument("--location", help="shared folder for the table files")
     command("check", "show input rows that the ratios would lose or count twice")
-    command("load", "store the staged metrics with an audit row")
+    load = command("load", "store the staged metrics with an audit row")
+    load.add_argument("--missing", type=float, help="value of a metric that was not staged (default: no row)")
     industry = command("benchmarks", "average a financials document and replace the benchmarks", data=False)
     industry.add_argument("--json", required=True)
     industry.add_argument("--copy", help="folder for the CSV copy")
@@ -99,7 +100,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif args.command == "load":
         run_id = monthly.new_run_id()
         staged = read_staged_metrics(spark, args.data)
-        monthly.store(history.staged_snapshot(staged, run_id), run_id, args.database)
+        monthly.store(history.staged_snapshot(staged, run_id, missing=args.missing), run_id, args.database)
     elif args.command == "benchmarks":
         financials = read_financials(spark, args.json)
         monthly.load_benchmarks(financials, args.report_date, args.copy, args.database, args.limit)

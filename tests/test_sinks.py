@@ -7,11 +7,11 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from bankmetrics import __main__ as command_line
-from bankmetrics import monthly
+from bankmetrics import monthly, schemas
 from bankmetrics.functions import rules
 from bankmetrics.operators import funding
 from bankmetrics.plans import history, ratios
-from bankmetrics.sinks import tables
+from bankmetrics.sinks import files, tables
 from bankmetrics.sources import synthetic
 
 NOW = dt.datetime(2024, 1, 1)
@@ -123,6 +123,16 @@ def test_monthly_run_equals_the_staged_path(spark, database, tmp_path):
     run("create-tables", "--database", database)
 
 
+def test_loading_with_a_metric_not_staged(spark, database, tmp_path):
+    files.stage_metric(spark.createDataFrame([("CAR", 0.5)], schemas.STAGED_METRIC), str(tmp_path), "CAR")
+    empty = spark.createDataFrame([("LCR", None)], schemas.STAGED_METRIC)
+    files.stage_metric(empty, str(tmp_path), "LCR")
+    command_line.main(["load", "--data", str(tmp_path), "--database", database], spark)
+    command_line.main(["load", "--data", str(tmp_path), "--database", database, "--missing", "0"], spark)
+    audit = {r.status: r.message for r in spark.table(f"{database}.audit_log").collect()}
+    assert audit == {"FAILED": "Missing LCR, NPL", "SUCCESS": "Loaded CAR:0.5000, LCR:0.0000, NPL:0.0000"}
+
+
 def test_generated_ratios_are_where_the_parameters_put_them(spark):
     sheet = synthetic.balance_sheet(spark, 100_000, 100_000, seed=1)
     liabilities = funding.with_maturity(sheet["liabilities"], 1)
