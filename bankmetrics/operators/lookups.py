@@ -24,6 +24,9 @@ def positions_through(rows: DataFrame, lookup: DataFrame, key: str, *traits: str
     one they are first summed per key and trait, which cuts the rows to be
     joined, and leaves a key that holds a third of them with one row per
     trait. Either result goes into ``balances_by``.
+
+    Meant for keys with many rows each. With only a few rows per key and trait
+    the sums are hardly fewer than the rows, and a plain join is cheaper.
     """
     if fits_broadcast(lookup):
         return rows.select(key, "balance", *traits).join(F.broadcast(lookup), key, "left").drop(key)
