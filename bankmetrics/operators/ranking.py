@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def top(df: DataFrame, measure: str, tie: str, count: int) -> DataFrame:
     """The ``count`` largest rows; each task keeps only its own best ``count``."""
-    return df.orderBy(F.col(measure).desc_nulls_last(), F.col(tie)).limit(count)
+    return df.orderBy(F.col(measure).desc_nulls_last(), F.col(tie).asc_nulls_last()).limit(count)
 
 
 def latest_run(metrics: DataFrame) -> DataFrame:

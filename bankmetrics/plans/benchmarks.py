@@ -32,7 +32,9 @@ def observations(
     if report_date is not None:
         kept = kept.where(F.col("REPDTE") == report_date)
     kept = kept.select("REPDTE", "CERT", *[name for name in ("NAME",) if name in kept.columns], "EQVWCOR")
-    return kept if limit is None else kept.orderBy("REPDTE", "CERT", "EQVWCOR").limit(limit)
+    if limit is None:
+        return kept
+    return kept.orderBy(*[F.col(name).asc_nulls_last() for name in ("REPDTE", "CERT", "EQVWCOR")]).limit(limit)
 
 
 def _average() -> Column:

@@ -172,7 +172,7 @@ QUERIES = {
     "npl_top5": (
         ["npl_branches"],
         f"""SELECT branch_id, {NPL_COLUMNS} FROM npl_branches
-        ORDER BY {NPL_RATIO} DESC NULLS LAST, branch_id LIMIT 5""",
+        ORDER BY {NPL_RATIO} DESC NULLS LAST, branch_id NULLS LAST LIMIT 5""",
     ),
     "asset_rwa": (
         ["assets", "risk_config"],
@@ -291,7 +291,7 @@ QUERIES = {
         """SELECT '20240115' AS report_period,
                CAST(round(CAST(coalesce(avg(eqvwcor), 0.0) AS DECIMAL(18,9)), 2) AS DOUBLE) AS "CAR",
                count(eqvwcor) AS institutions
-        FROM (SELECT * FROM financials WHERE report_period = '20240115' ORDER BY cert, eqvwcor LIMIT 100)""",
+        FROM (SELECT * FROM financials WHERE report_period = '20240115' ORDER BY cert NULLS LAST, eqvwcor NULLS LAST LIMIT 100)""",
     ),
     "benchmark_table": (
         ["benchmarks"],
