@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankmetrics.llm import token_files
+from bankmetrics.llm import packing, token_files
 from bankmetrics.llm.common import work_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,6 +25,12 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Packs all documents into windows of 2048 ids; the ids of a piece are told by their checksum."""
+    pieces = packing.token_pieces(table(spark, folder, "documents"), BYTE_BPE, end_id=1, window=2048)
+    return packing.assign(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), window=2048)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: q for name, q in sorted(globals().items()) if name.startswith("op") and name[2].isdigit()
