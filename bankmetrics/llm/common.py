@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that a task holds at once, besides one whole text.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 3 << 20
 
 
 def work_folder(spark: SparkSession, name: str) -> str:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: A space before anything but a printable ASCII sign, a letter or a digit: white space may then form one token
-#: with it, so the text is encoded as a whole.
-UNSAFE = r" (?:[^!-~\p{L}\p{N}]|$)"
+#: A space or line end before anything but a printable ASCII sign, a letter or a digit, or other white space before a
+#: line end: white space may then form one token with it, so the text is encoded as a whole.
+UNSAFE = r"[ \n](?:[^!-~\p{L}\p{N}]|$)|[^!-~\p{L}\p{N}]\n"
 
 #: Marks that form a token of their own after a word.
 MARKS = ".,;:!?"
@@ -17,7 +19,7 @@ MARKS = ".,;:!?"
 LATIN = "\u024f"
 
 #: Words a worker remembers at most; it then starts anew.
-WORDS = 400_000
+WORDS = 500_000
 
 
 def byte_signs() -> list[str]:
@@ -42,10 +44,10 @@ class Encoder:
     """Encodes Arrow arrays of texts.
 
     A byte-level tokenizer always starts a new pre-token at a space that a visible sign follows, so the ids of a text
-    are those of its pieces between spaces, each but the first with its space. Each different piece is encoded once
-    and remembered (at most ``words`` of them). A piece of Latin letters is one pre-token and goes straight to the
-    library's model; other pieces, texts with other white space after a space, and all texts of tokenizers that are
-    not byte-level, go through the whole tokenizer.
+    are those of its pieces between spaces, each but the first with its space. A single line end is one pre-token
+    and the word after it has no space; a mark after Latin letters ends their pre-token. Each different word is encoded once and remembered (at most ``words`` of them). Words of Latin
+    letters go straight to the library's model; other pieces, texts with other white space after a space, and all
+    texts of tokenizers that are not byte-level, go through the whole tokenizer.
     """
 
     def __init__(self, path: str, words: int = WORDS):
@@ -66,62 +68,73 @@ class Encoder:
             and pre.get("use_regex", True)
             and not pre.get("add_prefix_space")
         )
+        # A mark that is more than one id is no mark here.
+        alone = {m: self.whole([m])[0] for m in MARKS}
+        self.marks = "".join(m for m, ids in alone.items() if len(ids) == 1)
+        line = self.whole(["\n"])[0]
+        self.by_word = self.by_word and len(line) == 1
+        self.line = line[0] if line else -1
+        self.mark_ids = np.full(256, -1, np.int64)
+        for m in self.marks:
+            self.mark_ids[ord(m)] = alone[m][0]
         self.signs = Signs()
         self.words = words
-        self.marks = {m: self.whole([m])[0] for m in MARKS}
         self._clear()
 
     def _clear(self) -> None:
+        #: Words with a space before them, and the first words of lines, which have none.
         self.known: dict[str, int] = {}
-        self.stems: dict[str, list[int]] = {}
+        self.first: dict[str, int] = {}
+        self.used = 0
         self.flat = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 14, np.int64)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _letters(self, piece: str) -> list[int]:
-        """Ids of a piece of letters with or without its space."""
-        ids = self.stems.get(piece)
-        if ids is None:
-            ids = self.stems[piece] = [x.id for x in self.model.tokenize(piece.translate(self.signs))]
-        return ids
-
-    def _pieces(self, pieces: list[str]) -> list[list[int]]:
-        out: list = [None] * len(pieces)
+    def _new(self, words: list[str], space: str) -> list[list[int]]:
+        """Ids of words after ``space``."""
+        tokenize, signs = self.model.tokenize, self.signs
+        sign = space.translate(signs)
+        out: list = [None] * len(words)
         rest = []
-        for i, piece in enumerate(pieces):
-            body = piece[1:] if piece[0] == " " else piece
-            if body.isalpha() and max(body) <= LATIN:
-                out[i] = self._letters(piece)
-            elif body and body[-1] in self.marks and (stem := body[:-1]).isalpha() and max(stem) <= LATIN:
-                out[i] = self._letters(piece[:-1]) + self.marks[body[-1]]
+        for i, word in enumerate(words):
+            if word.isalpha() and word.isascii():
+                out[i] = [x.id for x in tokenize(sign + word)]
+            elif word.isalpha() and max(word) <= LATIN:
+                out[i] = [x.id for x in tokenize(sign + word.translate(signs))]
             else:
                 rest.append(i)
-        for i, ids in zip(rest, self.whole([pieces[i] for i in rest])):
+        for i, ids in zip(rest, self.whole([space + words[i] for i in rest])):
             out[i] = ids
         return out
 
-    def _codes(self, pieces: list[str]) -> np.ndarray:
-        """The place of each of the different pieces in the memory."""
-        known = self.known
-        new = [x for x in pieces if x not in known]
+    def _learn(self, known: dict[str, int], words: list[str], space: str) -> None:
+        ids = self._new(words, space)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        old, total = len(self.known) + len(self.first), int(sizes.sum())
+        if self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.used], np.zeros(max(self.used, total) * 2, np.uint32)])
+        if old + len(words) > len(self.ends):
+            self.ends = np.concatenate([self.ends[:old], np.zeros(max(old, len(words)) * 2, np.int64)])
+        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
+        self.ends[old : old + len(words)] = self.used + np.cumsum(sizes)
+        self.used += total
+        known.update(zip(words, range(old, old + len(words))))
+
+    def _codes(self, words: list[str], first: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The places in the memory of different words, and of different first words."""
+        new, new_first = [x for x in words if x not in self.known], [x for x in first if x not in self.first]
+        held = len(self.known) + len(self.first)
+        if held and held + len(new) + len(new_first) > self.words:
+            self._clear()
+            new, new_first = words, first
         if new:
-            if len(known) + len(new) > self.words and known:
-                self._clear()
-                return self._codes(pieces)
-            ids = self._pieces(new)
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            old, used = len(known), int(self.ends[len(known) - 1]) if known else 0
-            total = int(sizes.sum())
-            if used + total > len(self.flat):
-                self.flat = np.concatenate([self.flat[:used], np.zeros(max(used, total) * 2, np.uint32)])
-            if old + len(new) > len(self.ends):
-                self.ends = np.concatenate([self.ends[:old], np.zeros(max(old, len(new)) * 2, np.int64)])
-            self.flat[used : used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
-            self.ends[old : old + len(new)] = used + np.cumsum(sizes)
-            known.update(zip(new, range(old, old + len(new))))
-        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+            self._learn(self.known, new, " ")
+        if new_first:
+            self._learn(self.first, new_first, "")
+        a = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        return a, np.fromiter(map(self.first.__getitem__, first), np.int64, len(first))
 
     def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where those of each text start (one more than texts). Null is the empty text."""
@@ -130,48 +143,67 @@ class Encoder:
         if not n:
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
         if self.by_word:
-            unsafe = pc.match_substring_regex(texts, UNSAFE).to_numpy(zero_copy_only=False)
+            odd = pc.match_substring_regex(texts, UNSAFE).to_numpy(zero_copy_only=False)
         else:
-            unsafe = np.ones(n, bool)
-        split = pc.split_pattern(pc.if_else(pa.array(unsafe), "", texts), " ")
+            odd = np.ones(n, bool)
+        lines = pc.replace_substring(pc.if_else(pa.array(odd), "", texts), "\n", " \n")
+        split = pc.split_pattern(lines, " ")
         bounds = split.offsets.to_numpy()
         bounds = bounds - bounds[0]
-        pieces = split.flatten().dictionary_encode()
-        spaced = self._spaced(pieces, bounds)
-        whole = self.whole(texts.filter(pa.array(unsafe)).to_pylist()) if unsafe.any() else []
-        codes, sizes = spaced
-        per_text = np.add.reduceat(np.append(sizes, 0), bounds[:-1])
-        for i, ids in zip(np.flatnonzero(unsafe), whole):
-            per_text[i] = len(ids)
+        code, line, mark = self._pieces(split.flatten().dictionary_encode(), bounds)
+        size = self.ends[code] - np.where(code > 0, self.ends[np.maximum(code, 1) - 1], 0)
+        size[code < 0] = 0
+        total = line + size + (mark >= 0)
+        whole = self.whole(texts.filter(pa.array(odd)).to_pylist()) if odd.any() else []
+        per_text = np.add.reduceat(total, bounds[:-1])
+        per_text[np.flatnonzero(odd)] = [len(ids) for ids in whole]
         closing = end is not None
         starts = np.concatenate([[0], np.cumsum(per_text + closing)])
         out = np.empty(int(starts[-1]), np.uint32)
         if closing:
             out[starts[1:] - 1] = end
-        # Ids of piece p of text t go to starts[t] + (ids of the text's pieces before p).
-        before = np.cumsum(sizes) - sizes
-        owner = np.repeat(np.arange(n), np.diff(bounds))
-        place = before - before[bounds[:-1]][owner] + starts[:-1][owner]
-        source = self.ends[codes] - sizes
-        run = np.arange(int(sizes.sum())) - np.repeat(before, sizes)
-        out[np.repeat(place, sizes) + run] = self.flat[np.repeat(source, sizes) + run]
-        for i, ids in zip(np.flatnonzero(unsafe), whole):
+        # The ids of a piece go after those of the text's pieces before it.
+        before = np.cumsum(total) - total
+        place = before + np.repeat(starts[:-1] - before[bounds[:-1]], np.diff(bounds))
+        out[place[line]] = self.line
+        place += line
+        marked = np.flatnonzero(mark >= 0)
+        out[(place + size)[marked]] = mark[marked]
+        sums = np.cumsum(size) - size
+        run = np.arange(int(size.sum()), dtype=np.int64)
+        source = run + np.repeat(self.ends[code] - size - sums, size)
+        run += np.repeat(place - sums, size)
+        out[run] = self.flat[source]
+        for i, ids in zip(np.flatnonzero(odd), whole):
             out[starts[i] : starts[i] + len(ids)] = ids
         return out, starts
 
-    def _spaced(self, pieces: pa.DictionaryArray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Memory places and id counts of all pieces, the first of each text without a space."""
-        words = pieces.dictionary.to_pylist()
+    def _pieces(self, pieces: pa.DictionaryArray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each piece its word's place in the memory, whether it opens a line, its mark's id; -1 for none."""
+        units = pieces.dictionary
         index = pieces.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        first = [i for i in np.unique(index[bounds[:-1]]).tolist() if words[i]]
-        # No piece holds a space, so all names differ.
-        codes = self._codes([" " + w for w in words] + [words[i] for i in first])
-        spaced = codes[: len(words)]
-        bare = np.full(len(words), -1, np.int64)
-        bare[first] = codes[len(words) :]
-        place = spaced[index]
-        place[bounds[:-1]] = bare[index[bounds[:-1]]]
-        known = np.maximum(place, 0)
-        starts = np.where(known > 0, self.ends[np.maximum(known - 1, 0)], 0)
-        sizes = np.where(place >= 0, self.ends[known] - starts, 0)
-        return known, sizes
+        opens = pc.starts_with(units, "\n")
+        line = opens.to_numpy(zero_copy_only=False)
+        units = pc.if_else(opens, pc.utf8_slice_codeunits(units, 1), units)
+        stems = pc.utf8_rtrim(units, self.marks)
+        ended = pc.equal(pc.subtract(pc.binary_length(units), pc.binary_length(stems)), 1)
+        latin = pc.match_substring_regex(stems, "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+$")
+        ended = pc.and_(ended, latin)
+        marks = np.full(len(units), -1, np.int64)
+        at = np.flatnonzero(ended.to_numpy(zero_copy_only=False))
+        if len(at):
+            last = pc.utf8_slice_codeunits(units.take(pa.array(at)), -1).to_pylist()
+            marks[at] = self.mark_ids[np.frombuffer("".join(last).encode("latin-1"), np.uint8)]
+        words = pc.if_else(ended, stems, units).dictionary_encode()
+        own = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        names = words.dictionary.to_pylist()
+        spaced = np.unique(own[~line])
+        bare = np.unique(np.concatenate([own[line], own[index[bounds[:-1]]]]))
+        bare = np.array([i for i in bare.tolist() if names[i]], np.int64)
+        a, b = self._codes([names[i] for i in spaced.tolist()], [names[i] for i in bare.tolist()])
+        place = np.full((2, len(names)), -1, np.int64)
+        place[0, spaced], place[1, bare] = a, b
+        code = place[line.astype(np.int64), own][index]
+        head = bounds[:-1]
+        code[head] = place[1, own[index[head]]]
+        return code, line[index], marks[index]

@@ -203,6 +203,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     """The documents of the files: doc_id, shard, place in it, start (ids of all documents before), ids (binary, u32).
 
     ``start`` adds up the ids of the files before, which the heads of the segments tell, and those before in the file.
+    The sums, one number for each file and so one for each shuffle partition of the writer at most, are broadcast.
     """
     stored = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
 
@@ -251,6 +252,6 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     offsets = totals.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     kind = "doc_id long, shard long, place long, local long, n_tokens long, ids binary"
     found = stored.select("content").mapInArrow(documents, kind)
-    return found.join(offsets, "shard").select(
+    return found.join(F.broadcast(offsets), "shard").select(
         "doc_id", "shard", "place", (F.col("before") + F.col("local")).alias("start"), "n_tokens", "ids"
     )
