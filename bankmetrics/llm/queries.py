@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankmetrics.llm import packing, token_files
+from bankmetrics.llm import language, packing, token_files
 from bankmetrics.llm.common import work_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -31,6 +31,15 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.assign(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), window=2048)
 
 
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Learns from three quarters of the labelled documents and predicts the language of all."""
+    docs = table(spark, folder, "documents")
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+    samples = language.sample(docs.where(~held).select("text", "lang"))
+    judged = language.with_language(docs.select("doc_id", "text", held.alias("held_out")), samples)
+    return judged.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: q for name, q in sorted(globals().items()) if name.startswith("op") and name[2].isdigit()
