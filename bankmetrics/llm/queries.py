@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankmetrics.llm import language, packing, secret_scan, spans, token_files
+from bankmetrics.llm import language, packing, pii, secret_scan, spans, token_files
 from bankmetrics.llm.common import work_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -31,6 +31,18 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.assign(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), window=2048)
 
 
+def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of all documents: base patterns, and terms that the corpus shows to give a value away."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.with_personal_data(docs, work_folder(spark, "op4"))
+    return found.select(
+        "doc_id",
+        *(spans.counted(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS),
+        F.sha2(spans.listed(F.col("base")), 256).alias("base_sha256"),
+        spans.listed(F.col("personal")).alias("spans"),
+    )
+
+
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of all documents: base patterns, and random tokens by the limits that the corpus gives."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
