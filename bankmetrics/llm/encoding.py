@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from itertools import chain
 
 import numpy as np
@@ -19,7 +21,15 @@ MARKS = ".,;:!?"
 LATIN = "\u024f"
 
 #: Words a worker remembers at most; it then starts anew.
-WORDS = 500_000
+WORDS = 700_000
+
+
+def worker_encoder(path: str, words: int = WORDS) -> Encoder:
+    """The encoder of this Python worker, which later tasks of the worker find with all it remembers."""
+    held = sys.modules.setdefault("_bankmetrics_worker", types.ModuleType("_bankmetrics_worker")).__dict__
+    if (path, words) not in held:
+        held[path, words] = Encoder(path, words)
+    return held[path, words]
 
 
 def byte_signs() -> list[str]:
@@ -74,7 +84,7 @@ class Encoder:
         line = self.whole(["\n"])[0]
         self.by_word = self.by_word and len(line) == 1
         self.line = line[0] if line else -1
-        self.mark_ids = np.full(256, -1, np.int64)
+        self.mark_ids = np.full(256, -1, np.int32)
         for m in self.marks:
             self.mark_ids[ord(m)] = alone[m][0]
         self.signs = Signs()
@@ -87,7 +97,7 @@ class Encoder:
         self.first: dict[str, int] = {}
         self.used = 0
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(1 << 14, np.int64)
+        self.ends = np.zeros(1 << 14, np.int32)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -116,7 +126,7 @@ class Encoder:
         if self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat[: self.used], np.zeros(max(self.used, total) * 2, np.uint32)])
         if old + len(words) > len(self.ends):
-            self.ends = np.concatenate([self.ends[:old], np.zeros(max(old, len(words)) * 2, np.int64)])
+            self.ends = np.concatenate([self.ends[:old], np.zeros(max(old, len(words)) * 2, np.int32)])
         self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
         self.ends[old : old + len(words)] = self.used + np.cumsum(sizes)
         self.used += total
@@ -153,9 +163,9 @@ class Encoder:
         code, line, mark = self._pieces(split.flatten().dictionary_encode(), bounds)
         size = self.ends[code] - np.where(code > 0, self.ends[np.maximum(code, 1) - 1], 0)
         size[code < 0] = 0
-        total = line + size + (mark >= 0)
+        total = size + line + (mark >= 0)
         whole = self.whole(texts.filter(pa.array(odd)).to_pylist()) if odd.any() else []
-        per_text = np.add.reduceat(total, bounds[:-1])
+        per_text = np.add.reduceat(total, bounds[:-1]).astype(np.int64)
         per_text[np.flatnonzero(odd)] = [len(ids) for ids in whole]
         closing = end is not None
         starts = np.concatenate([[0], np.cumsum(per_text + closing)])
@@ -163,14 +173,14 @@ class Encoder:
         if closing:
             out[starts[1:] - 1] = end
         # The ids of a piece go after those of the text's pieces before it.
-        before = np.cumsum(total) - total
-        place = before + np.repeat(starts[:-1] - before[bounds[:-1]], np.diff(bounds))
+        before = np.cumsum(total, dtype=np.int32) - total
+        place = before + np.repeat((starts[:-1] - before[bounds[:-1]]).astype(np.int32), np.diff(bounds))
         out[place[line]] = self.line
         place += line
         marked = np.flatnonzero(mark >= 0)
         out[(place + size)[marked]] = mark[marked]
-        sums = np.cumsum(size) - size
-        run = np.arange(int(size.sum()), dtype=np.int64)
+        sums = np.cumsum(size, dtype=np.int32) - size
+        run = np.arange(int(size.sum()), dtype=np.int32)
         source = run + np.repeat(self.ends[code] - size - sums, size)
         run += np.repeat(place - sums, size)
         out[run] = self.flat[source]
@@ -189,7 +199,7 @@ class Encoder:
         ended = pc.equal(pc.subtract(pc.binary_length(units), pc.binary_length(stems)), 1)
         latin = pc.match_substring_regex(stems, "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+$")
         ended = pc.and_(ended, latin)
-        marks = np.full(len(units), -1, np.int64)
+        marks = np.full(len(units), -1, np.int32)
         at = np.flatnonzero(ended.to_numpy(zero_copy_only=False))
         if len(at):
             last = pc.utf8_slice_codeunits(units.take(pa.array(at)), -1).to_pylist()
@@ -197,13 +207,15 @@ class Encoder:
         words = pc.if_else(ended, stems, units).dictionary_encode()
         own = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         names = words.dictionary.to_pylist()
-        spaced = np.unique(own[~line])
-        bare = np.unique(np.concatenate([own[line], own[index[bounds[:-1]]]]))
-        bare = np.array([i for i in bare.tolist() if names[i]], np.int64)
+        used = np.zeros((2, len(names)), bool)
+        used[line.astype(np.int8), own] = True
+        used[1, own[index[bounds[:-1]]]] = True
+        spaced = np.flatnonzero(used[0])
+        bare = np.array([i for i in np.flatnonzero(used[1]).tolist() if names[i]], np.int64)
         a, b = self._codes([names[i] for i in spaced.tolist()], [names[i] for i in bare.tolist()])
-        place = np.full((2, len(names)), -1, np.int64)
+        place = np.full((2, len(names)), -1, np.int32)
         place[0, spaced], place[1, bare] = a, b
-        code = place[line.astype(np.int64), own][index]
+        code = place[line.astype(np.int8), own][index]
         head = bounds[:-1]
         code[head] = place[1, own[index[head]]]
         return code, line[index], marks[index]

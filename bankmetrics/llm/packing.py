@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from bankmetrics.llm.common import flat_binary, kept, slices, work_folder
-from bankmetrics.llm.encoding import Encoder
+from bankmetrics.llm.encoding import worker_encoder
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2048) -> DataFrame:
@@ -31,7 +31,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = 204
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         for batch in slices(batches, "text"):
             ids, starts = encoder.encode(batch.column("text"), end_id)
             sizes = np.diff(starts)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from bankmetrics.llm.common import slices
-from bankmetrics.llm.encoding import Encoder
+from bankmetrics.llm.encoding import worker_encoder
 
 HEAD = "<4sIIIQIIII"
 MAGIC = b"PFR1"
@@ -168,7 +168,7 @@ def write(
     """
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, number = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, shard, number = worker_encoder(tokenizer), TaskContext.get().partitionId(), 0
         waiting, held = [], []
         have = 0
 
