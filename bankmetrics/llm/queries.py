@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankmetrics.llm import language, packing, pii, secret_scan, spans, token_files
+from bankmetrics.llm import jaccard, language, packing, pii, secret_scan, spans, token_files
 from bankmetrics.llm.common import work_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,6 +43,11 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of all documents under links of 5-word shingle sets of likeness 0.75 or more."""
+    return jaccard.linked_components(table(spark, folder, "documents"), words=5, percent=75)
+
+
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of all documents: base patterns, and random tokens by the limits that the corpus gives."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
