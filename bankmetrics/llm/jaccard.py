@@ -54,11 +54,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 def shingle_sets(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, ascending, and where those of each text start (one more than texts)."""
     n = len(texts)
-    plain = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-    split = pc.ascii_split_whitespace(plain)
+    split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
     bounds = split.offsets.to_numpy()
     coded = split.flatten().dictionary_encode()
-    names = coded.dictionary
+    # Only here, on an array that is no slice: pyarrow's ascii_lower misreads slices.
+    names = pc.ascii_lower(coded.dictionary)
     index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     hashes = pd.util.hash_array(names.to_numpy(zero_copy_only=False), categorize=False) if len(names) else np.zeros(0, np.uint64)
     filled = (pc.binary_length(names).to_numpy(zero_copy_only=False) > 0)[index] if len(index) else np.zeros(0, bool)
