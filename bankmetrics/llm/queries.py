@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankmetrics.llm import jaccard, language, packing, pii, secret_scan, spans, token_files
+from bankmetrics.llm import jaccard, language, metric_search, packing, pii, secret_scan, spans, token_files
 from bankmetrics.llm.common import work_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,6 +25,11 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op2_metric_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 largest inner products of every twentieth embedding with all others."""
+    return metric_search.top_products(table(spark, folder, "embeddings"), F.col("id") % 20 == 0, k=20, scale=64)
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Packs all documents into windows of 2048 ids; the ids of a piece are told by their checksum."""
     pieces = packing.token_pieces(table(spark, folder, "documents"), BYTE_BPE, end_id=1, window=2048)
