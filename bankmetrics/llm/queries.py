@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankmetrics.llm import jaccard, language, metric_search, packing, pii, secret_scan, spans, token_files
+from bankmetrics.llm import jaccard, language, metric_search, packing, pii, prefix_hash, secret_scan, spans, token_files
 from bankmetrics.llm.common import work_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -48,6 +48,15 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents, of their edited texts, and how alike they are."""
+    found = prefix_hash.fingerprints(table(spark, folder, "documents"))
+    in_hex = {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
+    return found.withColumns(in_hex).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "common_prefix"
+    )
+
+
 def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Components of all documents under links of 5-word shingle sets of likeness 0.75 or more."""
     return jaccard.linked_components(table(spark, folder, "documents"), words=5, percent=75)
