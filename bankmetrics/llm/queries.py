@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankmetrics.llm import jaccard, language, metric_search, packing, pii, prefix_hash, secret_scan, spans, token_files
+from bankmetrics.llm import jaccard, language, metric_search, packing, pii, prefix_hash, role_repair, secret_scan, spans, token_files
 from bankmetrics.llm.common import work_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -48,6 +48,11 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_role_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """All turns with repaired roles, and the rendered text of each."""
+    return role_repair.repaired(table(spark, folder, "conversations")).drop("part", "place")
+
+
 def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of all documents, of their edited texts, and how alike they are."""
     found = prefix_hash.fingerprints(table(spark, folder, "documents"))
