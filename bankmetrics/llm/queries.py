@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankmetrics.llm import jaccard, language, metric_search, packing, pii, prefix_hash, role_repair, secret_scan, spans, token_files
+from bankmetrics.llm import jaccard, language, metric_search, packing, pieces, pii, prefix_hash, role_repair, secret_scan, spans, token_files
 from bankmetrics.llm.common import work_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -88,6 +89,18 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Encodes and decodes all documents with a SentencePiece model, and compares with the sentencepiece library."""
+    found = pieces.encoded(table(spark, folder, "documents").select("doc_id", "text"), PIECE_BPE)
+    return found.select(
+        "doc_id",
+        F.size("pieces").cast("long").alias("n_pieces"),
+        F.sha2(F.array_join(F.col("pieces").cast("array<string>"), " "), 256).alias("pieces_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+        "parity",
+    )
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: q for name, q in sorted(globals().items()) if name.startswith("op") and name[2].isdigit()
