@@ -9,12 +9,13 @@ which of its tokens other documents have too, and how many. Tokens that one docu
 only count as that document's leading tokens. Documents with too few shared tokens are done.
 
 Index-level skipping. A list has the sets that a token leads to, in blocks by (size of the set, place of the token in
-it). Sizes and places bound the overlap of any two sets of two blocks, so most pairs of blocks are skipped unread.
+it). Sizes and places bound the overlap of any two sets of two blocks, and a block that no other can go with is skipped.
 
 Answer-level skipping. The set of a list with the token at the first place is its centre, and each set of the list is
-compared with it. That answer bounds those of all others: with o(c, x) known, a set s has at most
-o(c, s) + |x| - o(c, x) tokens of x, as x has no more beyond c. Sets that the centres' answers have joined need no
-comparison with each other; of the rest, only pairs that the bound leaves are compared.
+compared with it. That answer bounds those of all others: sets x and y share at most min(o(c, x), o(c, y)) tokens of c
+and, beyond c, as many as the one has that has fewer there, without those that it alone has. Sets that the centres' answers have joined need no
+comparison with each other; of the rest, only pairs that the bound leaves are compared. A bitmap of each set, in which
+every token flips one bit, bounds them too: sets differ in at least as many tokens as their bitmaps do in bits.
 """
 
 from __future__ import annotations
@@ -43,6 +44,10 @@ BATCH_BYTES = 8 << 20
 
 MANY = 0xFFFF
 
+#: Words of 64 bits of a set's bitmap.
+MAP = 4
+MAPS = [f"map{i}" for i in range(MAP)]
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads all bits."""
@@ -205,7 +210,10 @@ def _shared_tokens(tokens: DataFrame, bits: int) -> DataFrame:
 
 
 def _linkable(scanned: DataFrame, shared: DataFrame, bits: int, percent: int) -> DataFrame:
-    """Documents with enough shared tokens for a link: doc_id, n, unique (tokens no other has), tokens rarest first."""
+    """Documents with enough shared tokens for a link: doc_id, n, unique (tokens no other has), bitmaps, tokens.
+
+    Tokens come rarest first; they and the bitmaps leave out those that no other document has.
+    """
     empty = F.lit(None).cast("binary")
     docs = scanned.select("batch", "ids", "no_id", "n", "shared", "times", "texts", *(empty.alias(c) for c in ("token", "seen", "who")))
     back = shared.select("batch", *(empty.alias(c) for c in ("ids", "no_id", "n", "shared", "times", "texts")), "token", "seen", "who")
@@ -236,22 +244,26 @@ def _linkable(scanned: DataFrame, shared: DataFrame, bits: int, percent: int) ->
         rows = np.flatnonzero(able)
         ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(n)))])
         ends = np.append(ends[rows], ends[-1])
+        row = np.repeat(np.arange(len(rows)), np.diff(ends))
+        flips = np.bincount(row * (64 * MAP) + (mix(tokens) % np.uint64(64 * MAP)).astype(np.int64), minlength=len(rows) * 64 * MAP)
+        maps = np.packbits((flips % 2).astype(np.uint8)).view("<i8").reshape(len(rows), MAP)
         return pa.Table.from_arrays(
             [
                 pa.array(ids[rows]),
                 pa.array(n[rows]),
                 pa.array((n - have)[rows]),
+                *(pa.array(maps[:, i]) for i in range(MAP)),
                 flat_binary(tokens.astype("<u8").tobytes(), ends * 8),
             ],
-            ["doc_id", "n", "unique", "tokens"],
+            ["doc_id", "n", "unique", *MAPS, "tokens"],
         )
 
-    kind = "doc_id long, n long, unique long, tokens binary"
+    kind = f"doc_id long, n long, unique long, {', '.join(f'{m} long' for m in MAPS)}, tokens binary"
     return docs.unionByName(back).groupBy("batch").applyInArrow(order, kind)
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """token, node, n, place for the shared tokens among a set's first n - ceil(percent * n / 100) + 1."""
+    """token, node, n, unique, place for the shared tokens among a set's first n - ceil(percent * n / 100) + 1."""
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,12 +280,14 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
                     pa.array(np.concatenate(tokens).astype(np.int64)),
                     batch.column("node").take(pa.array(row)),
                     pa.array(n[row]),
+                    pa.array(unique[row]),
                     pa.array(place),
                 ],
-                ["token", "node", "n", "place"],
+                ["token", "node", "n", "unique", "place"],
             )
 
-    return sets.select("node", "n", "unique", "tokens").mapInArrow(lead, "token long, node long, n long, place long")
+    kind = "token long, node long, n long, unique long, place long"
+    return sets.select("node", "n", "unique", "tokens").mapInArrow(lead, kind)
 
 
 def _enough(overlap: Column, n: Column, m: Column, percent: int) -> Column:
@@ -394,29 +408,32 @@ def linked_components(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     main = kept(main.where("parts > 1").select("token", F.col("m.component").alias("main")), folder, "main")
     own = own.join(main, "token")
     own = kept(own, folder, "open")
-    block = ["token", "n", "place", "component", "main", "overlap"]
-    blocks = own.groupBy(*block).agg(F.count("*").alias("size"))
-    left = blocks.where("component != main").select("token", *(F.col(c).alias(f"x_{c}") for c in block[1:]))
-    right = blocks.select("token", *(F.col(c).alias(f"y_{c}") for c in block[1:]))
     x, y = (lambda c: F.col(f"x_{c}")), (lambda c: F.col(f"y_{c}"))
-    most = F.least(
-        x("n") - x("place"),
-        y("n") - y("place"),
-    ) + F.least(x("place"), y("place"))
-    by_answer = F.least(x("overlap") + y("n") - y("overlap"), y("overlap") + x("n") - x("overlap"))
-    open_blocks = left.join(right, "token").where(
-        (x("component") != y("component"))
-        & ((y("component") == y("main")) | (x("component") < y("component")))
-        & _enough(F.least(most, by_answer), x("n"), y("n"), percent)
-    )
-    members = own.select("token", "n", "place", "component", "overlap", "node")
-    xs = members.select("token", *(F.col(c).alias(f"x_{c}") for c in block[1:4] + ["overlap"]), F.col("node").alias("a"))
-    ys = members.select("token", *(F.col(c).alias(f"y_{c}") for c in block[1:4] + ["overlap"]), F.col("node").alias("b"))
-    on = lambda side: ["token", f"{side}_n", f"{side}_place", f"{side}_component", f"{side}_overlap"]
-    pairs = open_blocks.join(xs, on("x")).join(ys, on("y")).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("x_n") + F.col("y_n")
-    )
-    pairs = pairs.toDF("a", "b", "n_both").distinct()
+    beyond = F.greatest(F.col("n") - F.col("unique") - F.col("overlap"), F.lit(0))
+    # Tokens that one set alone has come first in it and are in no overlap.
+    by_place = F.least(x("n") - x("place"), y("n") - y("place")) + F.least(x("ahead"), y("ahead"))
+    by_answer = F.least(x("overlap"), y("overlap")) + F.least(x("beyond"), y("beyond"))
+    able = _enough(F.least(by_place, by_answer), x("n"), y("n"), percent)
+    own = own.withColumns({"ahead": F.col("place") - F.col("unique"), "beyond": beyond, "off": F.col("component") != F.col("main")})
+    block = ["token", "n", "place"]
+    best = [F.max(c).alias(c) for c in ("ahead", "overlap", "beyond", "off")]
+    best += [F.min("component").alias("least"), F.max("component").alias("most")]
+    blocks = kept(own.groupBy(*block).agg(*best), folder, "blocks")
+    left = blocks.select("token", *(F.col(c).alias(f"x_{c}") for c in blocks.columns[1:]))
+    right = blocks.select("token", *(F.col(c).alias(f"y_{c}") for c in blocks.columns[1:]))
+    apart = (x("off") | y("off")) & ((x("least") != y("most")) | (x("most") != y("least")))
+    read = left.join(right.withColumnRenamed("token", "y_token"), (F.col("token") == F.col("y_token")) & apart & able, "left_semi")
+    read = read.select("token", F.col("x_n").alias("n"), F.col("x_place").alias("place"))
+    own = kept(own.join(read, block, "left_semi").join(sets.select("node", *MAPS), "node"), folder, "read")
+    xs = own.where("off").select("token", *(F.col(c).alias(f"x_{c}") for c in own.columns if c != "token"))
+    ys = own.select("token", *(F.col(c).alias(f"y_{c}") for c in own.columns if c != "token"))
+    flips = sum((F.bit_count(x(m).bitwiseXOR(y(m))) for m in MAPS), F.lit(0))
+    by_map = (x("n") - x("unique") + y("n") - y("unique") - flips) / 2
+    once = (x("component") < y("component")) | ((x("component") != y("component")) & ~y("off"))
+    pairs = xs.join(ys.withColumnRenamed("token", "y_token"), (F.col("token") == F.col("y_token")) & once & able & _enough(by_map, x("n"), y("n"), percent))
+    pairs = pairs.select(
+        F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"), (x("n") + y("n")).alias("n_both")
+    ).distinct()
     rest = _overlaps(pairs, sets)
     rest = kept(rest.where(100 * F.col("overlap") >= percent * (F.col("n_both") - F.col("overlap"))).select("a", "b"), folder, "rest")
     final = components(near.unionByName(rest), folder, "last")
