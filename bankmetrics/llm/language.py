@@ -32,6 +32,11 @@ LANES = 1 << 15
 
 UNKNOWN = "und"
 
+#: Phrases per character beyond which a text of LEAST_CHARS code points or more is in no learned language. Prose needs
+#: under 0.3, random letters 0.57, random digits and letters 0.75.
+MOST_PHRASES = 0.7
+LEAST_CHARS = 200
+
 
 def automaton(text: str) -> list[dict[str, int]]:
     """Transitions of the suffix automaton of ``text``; state 0 is the start."""
@@ -121,8 +126,8 @@ class Parser:
             np.add.at(out, owner[part], found.T)
         return out
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        """Language and score of each text; ties go to the language first in the alphabet.
+    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and phrases per character of each text; ties go to the language first in the alphabet.
 
         A phrase costs about the bits that name its place in the sample, which makes phrase counts code lengths and
         their differences likelihoods. The score is the language's share of them, each character weighing the less
@@ -134,7 +139,7 @@ class Parser:
         weight = np.sqrt(np.array([len(x) for x in texts], float))[:, None] * 8
         share = np.exp(-(rate - rate.min(axis=1, keepdims=True)) * weight)
         score = share.max(axis=1) / share.sum(axis=1)
-        return [self.languages[i] for i in best], score
+        return [self.languages[i] for i in best], score, rate.min(axis=1)
 
 
 def sample(labelled: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> dict[str, str]:
@@ -161,27 +166,28 @@ def sample(labelled: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_C
 
 
 def with_language(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
-    """Adds lang_pred and lang_score to docs, whose other columns stay (columns of these two names are replaced).
+    """Adds lang_pred, lang_score and lang_rate to docs, whose other columns stay (columns of these names are replaced).
 
-    ``und`` and score 0: null text, text without a letter, or nothing learned. Each row is judged by its text alone.
+    ``und``, score 0 and rate 0: null text, text without a letter, or nothing learned. lang_rate is the number of phrases
+    per character in the language predicted. Each row is judged by its text alone.
     """
     if not samples:
-        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "lang_score": F.lit(0.0)})
+        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "lang_score": F.lit(0.0), "lang_rate": F.lit(0.0)})
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(samples)
 
     def judged(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         parser = Parser(shared.value)
         for part in parts:
-            names, scores = [], []
+            names, scores, rates = [], [], []
             batch = pa.RecordBatch.from_arrays([pa.array(part)], ["text"])
             for piece in slices(iter([batch]), "text"):
-                a, b = parser.predict([x.lower() for x in piece.column("text").to_pylist()])
-                names += a
-                scores += b.tolist()
-            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
+                a, b, c = parser.predict([x.lower() for x in piece.column("text").to_pylist()])
+                names, scores, rates = names + a, scores + b.tolist(), rates + c.tolist()
+            columns = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())]
+            yield pa.StructArray.from_arrays(columns, ["lang", "score", "rate"])
 
-    judge = F.arrow_udf(judged, "lang string, score double")
+    judge = F.arrow_udf(judged, "lang string, score double, rate double")
     text = F.col("text").cast("string")
     known: Column = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
     found = docs.withColumn("_judged", judge(F.when(known, text).otherwise(F.lit(""))))
@@ -189,5 +195,19 @@ def with_language(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
         {
             "lang_pred": F.when(known, F.col("_judged.lang")).otherwise(UNKNOWN),
             "lang_score": F.when(known, F.col("_judged.score")).otherwise(0.0),
+            "lang_rate": F.when(known, F.col("_judged.rate")).otherwise(0.0),
         }
     ).drop("_judged")
+
+
+def accepted(docs: DataFrame, samples: dict[str, str], most: float = MOST_PHRASES, least: int = LEAST_CHARS) -> DataFrame:
+    """The rows of docs, all columns as they are, whose text is in one of the learned languages.
+
+    Rows go whose prediction is ``und``, and texts of at least ``least`` code points that need more than ``most`` phrases
+    per character, as random strings do in every language. Without samples only texts without a letter go.
+    """
+    row = docs.select(F.col("text").cast("string").alias("text"), F.struct("*").alias("_row"))
+    judged = with_language(row, samples)
+    strange = (F.length("text") >= least) & (F.col("lang_rate") > most)
+    known = (F.col("lang_pred") != UNKNOWN) if samples else F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return judged.where(known & ~strange).select(*(F.col(f"_row.`{c}`").alias(c) for c in docs.columns))
