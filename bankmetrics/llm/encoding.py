@@ -83,7 +83,7 @@ class Encoder:
         self.marks = "".join(m for m, ids in alone.items() if len(ids) == 1)
         line = self.whole(["\n"])[0]
         self.by_word = self.by_word and len(line) == 1
-        self.line = line[0] if line else -1
+        self.line = line[0] if line else 0
         self.mark_ids = np.full(256, -1, np.int32)
         for m in self.marks:
             self.mark_ids[ord(m)] = alone[m][0]

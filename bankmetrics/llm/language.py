@@ -33,7 +33,7 @@ LANES = 1 << 15
 UNKNOWN = "und"
 
 #: Phrases per character beyond which a text of LEAST_CHARS code points or more is in no learned language. Prose needs
-#: under 0.3, random letters 0.57, random digits and letters 0.75.
+#: under 0.3, random letters 0.57, random digits and letters more.
 MOST_PHRASES = 0.7
 LEAST_CHARS = 200
 
@@ -101,12 +101,13 @@ class Parser:
             stuck = to < 0
             if stuck.any():
                 language, lane = np.nonzero(stuck)
-                found[language, lane] += 1
-                # The phrase ends before this sign, which opens the next one, or is one by itself if the sample lacks it.
-                fresh = flat[self.roots[language].astype(np.int64) * width + sign[lane]]
-                to[language, lane] = np.where(fresh < 0, self.roots[language], fresh)
+                root = self.roots[language]
+                # An open phrase ends before this sign, which opens the next, or is one by itself if the sample lacks it.
+                fresh = flat[root.astype(np.int64) * width + sign[lane]]
+                found[language, lane] += (state[language, lane] != root).astype(np.int32) + (fresh < 0)
+                to[language, lane] = np.where(fresh < 0, root, fresh)
             state[:, :n] = to
-        return found + (sizes > 0)
+        return found + (state != self.roots[:, None])
 
     def phrases(self, texts: list[str]) -> np.ndarray:
         """Phrases of each text (row) in each language (column)."""

@@ -31,6 +31,9 @@ KINDS = ["assign", "access", "hex"]
 TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}"
 RANDOM = "random"
 
+#: Words and numbers with signs between them, as names of files and variables are; no encoding.
+NAME = r"^(?:[A-Za-z]++|[0-9]{1,8}+)(?:[_/+-]++(?:[A-Za-z]++|[0-9]{1,8}+))++=*$"
+
 #: Encodings by the first that fits: its signs in order, and a pattern of its own signs.
 ENCODINGS = [
     ("0123456789abcdef", "^[0-9a-f]*$"),
@@ -146,8 +149,9 @@ def tested(text: Column, base: Column) -> Column:
             ),
         )
 
-    # Digits alone are numbers, not secrets.
-    tokens = F.filter(spans.located(text, TOKEN, RANDOM), lambda s: s["value"].rlike("[A-Za-z]"))
+    # Digits alone are numbers, and names are no secrets.
+    letters = lambda s: s["value"].rlike("[A-Za-z]") & ~s["value"].rlike(NAME)
+    tokens = F.filter(spans.located(text, TOKEN, RANDOM), letters)
     return F.transform(spans.apart(tokens, base), judge)
 
 
