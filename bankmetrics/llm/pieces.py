@@ -161,6 +161,8 @@ class Encoder:
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
         self.flat, self.ends, self.used = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64), 0
+        #: Whether the library decodes the word's ids to the word.
+        self.exact = np.zeros(1 << 14, bool)
 
     def _codes(self, words: list[str]) -> np.ndarray:
         new = [x for x in words if x not in self.known]
@@ -174,14 +176,21 @@ class Encoder:
             self.flat = np.concatenate([self.flat[: self.used], np.zeros(max(self.used, total) * 2, np.int32)])
         if old + len(new) > len(self.ends):
             self.ends = np.concatenate([self.ends[:old], np.zeros(max(old, len(new)) * 2, np.int64)])
+            self.exact = np.concatenate([self.exact[:old], np.zeros(max(old, len(new)) * 2, bool)])
+        # Decoded in one go: each word's ids begin with a marker, which becomes the space between two words.
+        back = self.tokenizer.decode(list(chain.from_iterable(ids)), skip_special_tokens=False).split(" ")
+        self.exact[old : old + len(new)] = [a == b for a, b in zip(back, new)] if len(back) == len(new) else False
         self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.int32, total)
         self.ends[old : old + len(new)] = self.used + np.cumsum(sizes)
         self.used += total
         self.known.update(zip(new, range(old, old + len(new))))
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and where those of each text start (one more than texts). Null is the empty text."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids; where those of each text start (one more than texts); which texts are known to be decoded exactly.
+
+        Null is the empty text. A text of words that are decoded exactly is so too, as words are joined by one space.
+        """
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         n = len(texts)
         empty = pc.equal(texts, "").to_numpy(zero_copy_only=False)
@@ -193,19 +202,20 @@ class Encoder:
         code = self._codes(pieces.dictionary.to_pylist())[index]
         before = np.where(code > 0, self.ends[np.maximum(code, 1) - 1], 0)
         size = self.ends[code] - before
-        sizes = np.zeros(n, np.int64)
+        sizes, exact = np.zeros(n, np.int64), empty.copy()
         if len(split):
             bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
             sizes[~odd & ~empty] = np.add.reduceat(size, bounds[:-1])
+            exact[~odd & ~empty] = np.logical_and.reduceat(self.exact[code], bounds[:-1])
         sizes[odd] = [len(x) for x in whole]
         starts = np.concatenate([[0], np.cumsum(sizes)])
         ours = self.flat[np.repeat(before - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
         if not odd.any():
-            return ours, starts
+            return ours, starts, exact
         out = np.empty(int(starts[-1]), np.int32)
         out[np.repeat(~odd, sizes)] = ours
         out[np.repeat(odd, sizes)] = np.fromiter(chain.from_iterable(whole), np.int32, int(sizes[odd].sum()))
-        return out, starts
+        return out, starts, exact
 
 
 def worker_encoder(raw: bytes, threads: int) -> Encoder:
@@ -244,12 +254,16 @@ def encoded(docs: DataFrame, model_path: str, threads: int = 2, verify: bool = T
             out = []
             batch = pa.RecordBatch.from_arrays([pa.array(part)], ["text"])
             for piece in slices(iter([batch]), "text"):
-                flat, starts = encoder.encode(piece.column("text"))
-                ids = [x.tolist() for x in np.split(flat, starts[1:-1])]
-                back = encoder.tokenizer.decode_batch(ids, skip_special_tokens=False)
+                back = [x or "" for x in piece.column("text").to_pylist()]
+                flat, starts, exact = encoder.encode(piece.column("text"))
+                every, bounds = flat.tolist(), starts.tolist()
+                ids = [every[a:b] for a, b in zip(bounds, bounds[1:])]
+                theirs = checker.encode(back, num_threads=threads) if checker else []
+                rest = np.flatnonzero(~exact).tolist()
+                for i, text in zip(rest, encoder.tokenizer.decode_batch([ids[i] for i in rest], skip_special_tokens=False)):
+                    back[i] = text
                 parity = [None] * len(ids)
                 if checker:
-                    theirs = checker.encode([x or "" for x in piece.column("text").to_pylist()], num_threads=threads)
                     parity = [x == y and t == u for x, y, t, u in zip(ids, theirs, back, checker.decode(theirs))]
                 lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(flat))
                 columns = [lists, pa.array(back, pa.string()), pa.array(parity, pa.bool_())]
