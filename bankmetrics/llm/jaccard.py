@@ -23,9 +23,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +40,7 @@ PERCENT = 75
 BUCKET_TOKENS = 1 << 20
 
 #: Bytes of text of a batch.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 MANY = 0xFFFF
 
@@ -64,23 +64,23 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.nd
     coded = split.flatten().dictionary_encode()
     # Only here, on an array that is no slice: pyarrow's ascii_lower misreads slices.
     names = pc.ascii_lower(coded.dictionary)
-    index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    hashes = pd.util.hash_array(names.to_numpy(zero_copy_only=False), categorize=False) if len(names) else np.zeros(0, np.uint64)
+    index = coded.indices.to_numpy(zero_copy_only=False)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, names.cast(pa.large_binary()).to_pylist()), np.uint64, len(names))
     filled = (pc.binary_length(names).to_numpy(zero_copy_only=False) > 0)[index] if len(index) else np.zeros(0, bool)
-    owner = np.repeat(np.arange(n), np.diff(bounds))[filled]
+    owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(bounds))[filled]
     word = hashes[index[filled]]
+    del coded, split, index, filled
     count = np.bincount(owner, minlength=n)
     first = np.cumsum(count) - count
     # The hash of a shingle starting at each word; short texts have one of all their words, with their number.
     sizes = np.minimum(count, words)
     value = np.zeros(len(word), np.uint64)
-    for k in range(words):
-        moved = np.zeros(len(word), np.uint64)
-        moved[: len(word) - k] = word[k:]
+    for k in range(min(words, len(word))):
+        moved = value * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k + 1)
+        moved[: len(word) - k] += word[k:]
         inside = k < sizes[owner]
-        value = np.where(inside, mix(value * np.uint64(0x9E3779B97F4A7C15) + moved + np.uint64(k + 1)), value)
-    place = np.arange(len(word)) - first[owner]
-    whole = place <= count[owner] - sizes[owner]
+        value[inside] = mix(moved[inside])
+    whole = np.arange(len(word)) - first[owner] <= (count - sizes)[owner]
     value, owner = value[whole], owner[whole]
     order = np.lexsort((value, owner))
     value, owner = value[order], owner[order]
@@ -101,9 +101,11 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Record
 
 def _once(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Different tokens of a batch, ascending; the text of each, or MANY; and all occurrences sorted alike."""
-    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    owner = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))
     order = np.argsort(values, kind="stable")
-    token, start, count = np.unique(values[order], return_index=True, return_counts=True)
+    ordered = values[order]
+    start = np.flatnonzero(np.concatenate([np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1]]))
+    token, count = ordered[start], np.diff(np.append(start, len(ordered)))
     who = np.where(count == 1, owner[order][start], MANY).astype(np.uint16)
     return token, who, np.stack([start, count])
 
@@ -298,13 +300,14 @@ def _enough(overlap: Column, n: Column, m: Column, percent: int) -> Column:
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Adds ``overlap`` to pairs (a, b) of nodes. Only tokens that both may share are compared."""
 
-    def common(left: pd.Series, right: pd.Series) -> pd.Series:
+    def common(left: pa.Array, right: pa.Array) -> pa.Array:
         out = np.empty(len(left), np.int64)
         for i, (x, y) in enumerate(zip(left, right)):
-            out[i] = len(np.intersect1d(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), assume_unique=True))
-        return pd.Series(out)
+            tokens = (np.frombuffer(v.as_buffer(), "<u8") for v in (x, y))
+            out[i] = len(np.intersect1d(*tokens, assume_unique=True))
+        return pa.array(out)
 
-    both = F.pandas_udf(common, "long")
+    both = F.arrow_udf(common, "long")
     a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_tokens"))
     b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_tokens"))
     found = pairs.join(a, "a").join(b, "b").withColumn("overlap", both("a_tokens", "b_tokens"))

@@ -28,7 +28,7 @@ LANGUAGES = 200
 CHUNK = 256
 
 #: Parses that run side by side in a task.
-LANES = 1 << 15
+LANES = 1 << 13
 
 UNKNOWN = "und"
 
@@ -77,14 +77,16 @@ class Parser:
         signs = sorted(set("".join(samples.values())))
         #: Sign 0 is any code point that no sample has.
         self.code = {ord(c): i + 1 for i, c in enumerate(signs)}
-        built = [automaton(samples[x]) for x in self.languages]
-        sizes = [len(x) for x in built]
-        self.roots = np.cumsum([0, *sizes[:-1]]).astype(np.int32)
-        self.table = np.full((sum(sizes), len(signs) + 1), -1, np.int32)
-        for root, states in zip(self.roots.tolist(), built):
+        roots, tables = [0], []
+        for name in self.languages:
+            states = automaton(samples[name])
+            table = np.full((len(states), len(signs) + 1), -1, np.int32)
             for at, moves in enumerate(states):
                 for sign, to in moves.items():
-                    self.table[root + at, self.code[ord(sign)]] = root + to
+                    table[at, self.code[ord(sign)]] = roots[-1] + to
+            tables.append(table)
+            roots.append(roots[-1] + len(states))
+        self.roots, self.table = np.array(roots[:-1], np.int32), np.concatenate(tables)
         self.codes = np.zeros(0x110000, np.uint8 if len(signs) < 255 else np.uint16)
         for point, code in self.code.items():
             self.codes[point] = code
@@ -122,7 +124,7 @@ class Parser:
         out = np.zeros((len(texts), len(self.languages)), np.int64)
         for a in range(0, len(owner), LANES):
             part = a + np.argsort(-length[a : a + LANES], kind="stable")
-            place = np.minimum(begin[part][None, :] + np.arange(CHUNK)[:, None], max(len(signs) - 1, 0))
+            place = np.minimum(begin[part].astype(np.int32)[None, :] + np.arange(CHUNK, dtype=np.int32)[:, None], len(signs) - 1)
             found = self._phrases(signs[place], length[part])
             np.add.at(out, owner[part], found.T)
         return out
