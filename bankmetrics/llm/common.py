@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that a task holds at once, besides one whole text.
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 2 << 20
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -41,6 +41,16 @@ def forget(spark: SparkSession, folder: str, name: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def give_back() -> None:
+    """Returns freed memory of this Python worker to the system: it stays for tasks of other operators."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that each has at most ``most`` bytes of text, or one row."""
     for batch in batches:
@@ -51,6 +61,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
         starts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for a, b in zip(starts, starts[1:]):
             yield batch.slice(a, b - a)
+        del batch
+        give_back()
 
 
 def flat_binary(payload: bytes | memoryview, bounds: np.ndarray) -> pa.Array:

@@ -21,7 +21,7 @@ MARKS = ".,;:!?"
 LATIN = "\u024f"
 
 #: Words a worker remembers at most; it then starts anew.
-WORDS = 700_000
+WORDS = 600_000
 
 
 def worker_encoder(path: str, words: int = WORDS) -> Encoder:

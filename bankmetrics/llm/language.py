@@ -19,7 +19,7 @@ from bankmetrics.llm.common import slices
 
 #: Bound of the sample: texts of a language, and code points taken of each.
 SAMPLE_TEXTS = 128
-SAMPLE_CHARS = 256
+SAMPLE_CHARS = 160
 
 #: Languages that may be learned; more is an error, as all automata are held at once.
 LANGUAGES = 200

@@ -34,7 +34,7 @@ CHARSMAP, DUMMY_PREFIX, REMOVE_EXTRA, ESCAPE = 2, 3, 4, 5
 SPACE = "▁"
 
 #: Words a worker remembers at most; it then starts anew.
-WORDS = 500_000
+WORDS = 600_000
 
 
 def fields(raw: bytes) -> Iterator[tuple[int, object]]:
