@@ -1,0 +1,36 @@
+"""The registered queries on the given tables."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as driver
+from bankmetrics.llm import oracle, queries
+
+
+def test_ten_operators_and_the_pipeline_are_registered():
+    names = driver.queries()
+    numbers = sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit())
+    assert numbers == list(range(1, 11)) and "pipeline" in names
+    assert set(oracle.all_sql()) < set(driver.oracle_sql()) and set(driver.oracle_sql()) < set(names)
+
+
+@pytest.mark.parametrize("name", sorted(oracle.all_sql()))
+def test_same_rows_as_sql(spark, star_folder, name):
+    with duckdb.connect() as duck:
+        for table in ("documents", "embeddings"):
+            duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{star_folder}/{table}.parquet'")
+        answer = duck.execute(oracle.all_sql()[name])
+        columns = [c[0] for c in answer.description]
+        expected = answer.fetchall()
+    found = queries.all_queries()[name](spark, star_folder)
+    assert sorted(tuple(r) for r in found.select(*columns).collect()) == sorted(expected)
+    assert found.columns == columns
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.all_queries()) - set(oracle.all_sql())))
+def test_queries_cover_the_whole_table(spark, star_folder, name):
+    table = "conversations" if name.startswith("op5") else "documents"
+    found = queries.all_queries()[name](spark, star_folder)
+    key = "conv_id" if name.startswith("op5") else "doc_id"
+    source = spark.read.parquet(f"{star_folder}/{table}.parquet")
+    assert found.select(key).distinct().count() == source.select(key).distinct().count()
