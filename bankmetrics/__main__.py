@@ -41,14 +41,17 @@ def _parser() -> argparse.ArgumentParser:
     rolling.add_argument("--out", required=True)
     create = command("create-tables", "create the result tables", data=False)
     create.add_argument("--location", help="shared folder for the table files")
-    command("check", "show input rows that the ratios would lose or count twice")
+    check = command("check", "write all input rows that the ratios would lose or count twice, and print their number")
+    check.add_argument("--out", required=True, help="folder for one CSV folder per check")
+    audit = command("audit", "add the audit row of a stored run, if a run ended before it", data=False)
+    audit.add_argument("--run-id", required=True)
     load = command("load", "store the staged metrics with an audit row")
     load.add_argument("--missing", type=float, help="value of a metric that was not staged (default: no row)")
     industry = command("benchmarks", "average a financials document and replace the benchmarks", data=False)
     industry.add_argument("--json", required=True)
     industry.add_argument("--copy", help="folder for the CSV copy")
     industry.add_argument("--report-date", default=REPORT_DATE)
-    industry.add_argument("--limit", type=int, help="use the first so many institutions only")
+    industry.add_argument("--multi-line", action="store_true", help="each file is one document, not one per line")
     command("run", "compute and store all metrics in one pass")
     command("report", "latest run against latest benchmarks", data=False)
     return parser
@@ -68,17 +71,23 @@ def _compute(spark: SparkSession, name: str, args) -> None:
 
 
 def _check(spark: SparkSession, args) -> None:
+    def found(name: str, rows) -> None:
+        path = f"{args.out}/{name}"
+        rows.write.mode("overwrite").option("header", True).csv(path)
+        number = spark.read.option("header", True).schema(rows.schema).csv(path).count()
+        print(f"{name}: {number}")
+
     for name, columns in schemas.REQUIRED.items():
         rows = read_input(spark, args.data, name, args.format)
-        checks.null_keys(rows, *columns).show()
-        checks.duplicate_keys(rows, columns[0]).show()
+        found(f"{name}_null_keys", checks.null_keys(rows, *columns).where("null_rows > 0"))
+        found(f"{name}_duplicate_keys", checks.duplicate_keys(rows, columns[0]))
     assets = read_input(spark, args.data, "assets", args.format)
-    checks.unmapped_types(assets, rules.risk_config(spark)).show()
+    found("assets_unmapped_types", checks.unmapped_types(assets, rules.risk_config(spark)))
 
 
 def _rolling(spark: SparkSession, args):
     liabilities = funding.with_maturity(read_input(spark, args.data, "liabilities", args.format), args.seed)
-    return funding.rolling_outflow(liabilities, ladder=funding.checked_ladder(liabilities))
+    return funding.rolling_outflow(liabilities)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
@@ -90,7 +99,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif args.command.upper() in rules.METRICS:
         _compute(spark, args.command.upper(), args)
     elif args.command == "worst-branches":
-        ratios.worst_branches(ratios.npl_by_branch(read_input(spark, args.data, "assets", args.format))).show()
+        by_branch = ratios.npl_by_branch(read_input(spark, args.data, "assets", args.format))
+        ratios.worst_branches(by_branch).show(truncate=False)
     elif args.command == "check":
         _check(spark, args)
     elif args.command == "rolling":
@@ -102,12 +112,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         staged = read_staged_metrics(spark, args.data)
         monthly.store(history.staged_snapshot(staged, run_id, missing=args.missing), run_id, args.database)
     elif args.command == "benchmarks":
-        financials = read_financials(spark, args.json)
-        monthly.load_benchmarks(financials, args.report_date, args.copy, args.database, args.limit)
+        financials = read_financials(spark, args.json, args.multi_line)
+        monthly.load_benchmarks(financials, args.report_date, args.copy, args.database)
+    elif args.command == "audit":
+        tables.append_audit(spark, args.run_id, args.database)
     elif args.command == "run":
         monthly.run(spark, args.data, args.format, args.database, seed=args.seed)
     else:
-        monthly.report(spark, args.database).show()
+        monthly.report(spark, args.database).show(truncate=False)
 
 
 if __name__ == "__main__":

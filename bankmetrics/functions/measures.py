@@ -37,8 +37,8 @@ def hqla_value(level: Column, balance: Column) -> Column:
     An unlisted or NULL level counts for 0, whatever the balance.
     """
     chain = F
-    for listed, factor in rules.HQLA_FACTORS:
-        chain = chain.when(level == listed, balance * decimal_rate(factor))
+    for name, factor in rules.HQLA_FACTORS:
+        chain = chain.when(level == name, balance * decimal_rate(factor))
     return chain.otherwise(F.lit(0))
 
 

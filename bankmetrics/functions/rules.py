@@ -53,16 +53,14 @@ FIXED_BENCHMARKS = (
 METRICS = ("CAR", "LCR", "NPL")
 
 
-# A rule table up to this length is broadcast whatever the session's threshold:
-# a shuffled join on asset type would put all rows into a handful of tasks.
-BROADCAST_RULES = 10_000
-
-
 def risk_config(spark: SparkSession, rows=None) -> DataFrame:
     """The risk-weight table, one row per asset type.
 
     ``rows`` replaces the standard list with other (type, weight) pairs. The
-    rows travel as an Arrow table, so the plan holds a local relation.
+    rows travel as an Arrow table, so the plan holds a local relation. It is
+    broadcast whatever the session's threshold, as a list of codes that is
+    written out in a program is small: a shuffled join on asset type would put
+    all rows into a handful of tasks.
     """
     pairs = rows if rows is not None else [(kind, weight) for kind, weight, _ in ASSET_RULES]
     weights = pa.table(
@@ -71,5 +69,4 @@ def risk_config(spark: SparkSession, rows=None) -> DataFrame:
             "rule_weight": pa.array([Decimal(str(weight)) for _, weight in pairs], pa.decimal128(5, 2)),
         }
     )
-    config = spark.createDataFrame(weights)
-    return F.broadcast(config) if len(pairs) <= BROADCAST_RULES else config
+    return F.broadcast(spark.createDataFrame(weights))

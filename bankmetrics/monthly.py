@@ -26,7 +26,11 @@ def bank_ratios(spark: SparkSession, folder: str, fmt: str = "csv", seed: int =
 
 
 def store(metrics: DataFrame, run_id: str, database: str | None = None) -> None:
-    """Stores the metrics of a run, then its audit row from what was stored."""
+    """Stores the metrics of a run, then its audit row from what was stored.
+
+    If the second write fails, the metrics stay, and ``tables.append_audit``
+    (command ``audit``) adds the audit row; it may be repeated.
+    """
     tables.append_metrics(metrics, database)
     tables.append_audit(metrics.sparkSession, run_id, database)
 
@@ -36,10 +40,9 @@ def load_benchmarks(
     report_date: str = benchmarks.REPORT_DATE,
     folder: str | None = None,
     database: str | None = None,
-    limit: int | None = None,
 ) -> None:
     """Averages the observations, replaces the benchmark table and keeps a CSV copy of it in ``folder``."""
-    observed = benchmarks.observations(financials, report_date, limit=limit)
+    observed = benchmarks.observations(financials, report_date)
     averages = benchmarks.average_of(observed, report_date)
     tables.replace_benchmarks(benchmarks.benchmark_table(averages, dt.datetime.now()), database)
     if folder:

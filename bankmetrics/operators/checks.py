@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankmetrics.operators.positions import balances_by
@@ -19,6 +19,20 @@ def null_keys(df: DataFrame, *columns: str) -> DataFrame:
     return counted.unpivot([], list(columns), "column_name", "null_rows")
 
 
+def null_keys_through(rows: DataFrame, lookup: DataFrame, key: str, found: str, tests: dict[str, Column]) -> DataFrame:
+    """``null_keys`` for rows that get the column ``found`` from a lookup by ``key``.
+
+    ``tests`` has, for each column name, whether a row has no value. Rows are counted per key before the join.
+    """
+    counts = [F.count_if(test).alias(name) for name, test in tests.items()]
+    per_key = rows.groupBy(key).agg(*counts, F.count(F.lit(1)).alias("_rows")).join(lookup, key, "left")
+    unknown = F.sum(F.when(F.col(found).isNull(), F.col("_rows")))
+    totals = per_key.agg(*[F.coalesce(total, F.lit(0)).alias(name) for name, total in [
+        *((name, F.sum(name)) for name in tests), (found, unknown)
+    ]])
+    return totals.unpivot([], [*tests, found], "column_name", "null_rows")
+
+
 def unmapped_types(assets: DataFrame, risk_config: DataFrame) -> DataFrame:
     """Asset types without a risk weight and the balance they hold.
 

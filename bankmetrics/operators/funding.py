@@ -6,11 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bankmetrics.functions import measures, rules
-from bankmetrics.settle import can_settle, settled
 
-# Most rows of a rolling ladder that is sent to every executor. A row holds a
-# branch, a day and one decimal, so such a ladder is some tens of MB.
-LADDER_BROADCAST_ROWS = 300_000
+# Parts that the rows of one branch and day are dealt to when they meet the ladder.
+PARTS = 16
 
 
 def with_maturity(liabilities: DataFrame, seed: int = 0) -> DataFrame:
@@ -48,35 +46,27 @@ def rolling_ladder(ladder: DataFrame, days: int = rules.HORIZON_DAYS) -> DataFra
     return ladder.withColumn("rolling_30d_outflow", F.sum("projected_outflow").over(ahead))
 
 
-def checked_ladder(liabilities: DataFrame, days: int = rules.HORIZON_DAYS) -> DataFrame:
-    """The rolling ladder, computed once, counted, and broadcast if the count allows.
-
-    Where there is no folder to keep it in, it stays lazy and is not broadcast.
-    """
-    ladder = rolling_ladder(outflow_ladder(liabilities), days)
-    if not can_settle(liabilities.sparkSession):
-        return ladder
-    ladder = settled(ladder)
-    return F.broadcast(ladder) if ladder.count() <= LADDER_BROADCAST_ROWS else ladder
-
-
 def rolling_outflow(
     liabilities: DataFrame, days: int = rules.HORIZON_DAYS, ladder: DataFrame | None = None
 ) -> DataFrame:
     """Adds ``projected_outflow`` and ``rolling_30d_outflow`` to every liability.
 
     The window runs on the ladder, never on the rows, so no task holds a whole
-    branch. The result returns to the rows by a join on branch and day. With a
-    ``checked_ladder`` the rows are not shuffled unless it is too large to
-    broadcast. Without one the whole query stays lazy, the join is left to
-    Catalyst, and a shuffled join has its hot days split by adaptive execution.
+    branch. The result returns to the rows by a join on branch and day. As one
+    day of one branch may hold a large share of the rows, they are dealt to
+    PARTS parts by a hash of their id, and the ladder, at most one row per day
+    and branch, is repeated for each part. ``ladder`` passes a rolling ladder
+    that is stored already.
     """
     rolled = (rolling_ladder(outflow_ladder(liabilities), days) if ladder is None else ladder).select(
-        F.col("branch_id").alias("ladder_branch"),
-        F.col("maturity_days").alias("ladder_day"),
+        F.col("branch_id").alias("_branch"),
+        F.col("maturity_days").alias("_day"),
+        F.explode(F.sequence(*(F.lit(i).cast("long") for i in (0, PARTS - 1)))).alias("_part"),
         "rolling_30d_outflow",
     )
-    same_branch = F.col("branch_id").eqNullSafe(F.col("ladder_branch"))
-    same_day = F.col("maturity_days").eqNullSafe(F.col("ladder_day"))
-    rows = with_outflow(liabilities)
-    return rows.join(rolled, same_branch & same_day, "left").drop("ladder_branch", "ladder_day")
+    part = F.pmod(F.xxhash64("liability_id"), F.lit(PARTS))
+    same_branch = F.col("branch_id").eqNullSafe(F.col("_branch"))
+    same_day = F.col("maturity_days").eqNullSafe(F.col("_day"))
+    rows = with_outflow(liabilities).withColumn("_own_part", part)
+    joined = rows.join(rolled, same_branch & same_day & (F.col("_own_part") == F.col("_part")), "left")
+    return joined.drop("_branch", "_day", "_part", "_own_part")

@@ -1,33 +1,17 @@
-"""Joining rows to a lookup table that may or may not be small."""
+"""Sums per key of a lookup table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from bankmetrics.operators.positions import balances_by
 
-# Largest lookup sent to every executor: two narrow columns, some tens of MB.
-BROADCAST_ROWS = 500_000
-
-
-def fits_broadcast(lookup: DataFrame) -> bool:
-    """Counts the lookup; for Parquet that reads file footers, not data."""
-    return lookup.count() <= BROADCAST_ROWS
-
 
 def positions_through(rows: DataFrame, lookup: DataFrame, key: str, *traits: str) -> DataFrame:
-    """``balance`` per trait, with the lookup's columns in place of ``key``.
-
-    A key that the lookup does not know keeps its balance, with NULLs. With a
-    small lookup the rows meet a broadcast and are not shuffled. With a large
-    one they are first summed per key and trait, which cuts the rows to be
-    joined, and leaves a key that holds a third of them with one row per
-    trait. Either result goes into ``balances_by``.
+    """Balances and ``positions`` (row counts) per key and trait, with the lookup's columns in place of ``key``.
 
-    Meant for keys with many rows each. With only a few rows per key and trait
-    the sums are hardly fewer than the rows, and a plain join is cheaper.
+    A key that the lookup does not know keeps its balance, with NULLs. Rows are summed before the join, whatever the
+    size of the lookup: a key that holds a third of them comes to the join with one row per trait, and the join is left
+    to Catalyst. Meant for keys with many rows each; with a few rows per key and trait a plain join is cheaper.
     """
-    if fits_broadcast(lookup):
-        return rows.select(key, "balance", *traits).join(F.broadcast(lookup), key, "left").drop(key)
     return balances_by(rows, key, *traits).join(lookup, key, "left").drop(key)

@@ -17,14 +17,14 @@ from bankmetrics.functions import measures
 TRAITS = ("asset_type", "hqla_level", "loan_status")
 
 
-def balances_by(rows: DataFrame, *keys: str, newest: str | None = None) -> DataFrame:
+def balances_by(rows: DataFrame, *keys: str, newest: str | None = None, counts: str | None = None) -> DataFrame:
     """Total balance and row count per key combination, and the newest value of a date column.
 
     ``rows`` may be such totals themselves, for finer keys: sums of sums are
-    exact, and their ``positions`` add up.
+    exact. ``counts`` then names their column of row counts.
     """
     dated = [F.max(newest).alias(newest)] if newest else []
-    counted = F.sum("positions") if "positions" in rows.columns else F.count(F.lit(1))
+    counted = F.sum(counts) if counts else F.count(F.lit(1))
     return rows.groupBy(*keys).agg(F.sum("balance").alias("balance"), counted.alias("positions"), *dated)
 
 
@@ -56,16 +56,17 @@ def with_hqla(rows: DataFrame) -> DataFrame:
 
 
 def asset_measures(
-    assets: DataFrame, risk_config: DataFrame, *keys: str, newest: str | None = None
+    assets: DataFrame, risk_config: DataFrame, *keys: str, newest: str | None = None, counts: str | None = None
 ) -> DataFrame:
     """Risk-weighted assets, HQLA and loan totals from one scan of the assets.
 
     One row per key combination, or exactly one row without keys. ``loans``
     counts the loan rows behind the loan totals. ``newest`` names a date
-    column whose maximum is carried along.
+    column whose maximum is carried along, ``counts`` the row counts of assets
+    that are sums already.
     """
     dated = [F.max(newest).alias(newest)] if newest else []
-    positions = with_hqla(with_rwa(balances_by(assets, *keys, *TRAITS, newest=newest), risk_config))
+    positions = with_hqla(with_rwa(balances_by(assets, *keys, *TRAITS, newest=newest, counts=counts), risk_config))
     loan = measures.is_loan(F.col("loan_status"))
     bad = measures.non_performing(F.col("loan_status"), F.col("balance"))
     return positions.groupBy(*keys).agg(
@@ -86,3 +87,16 @@ def roll_up(measured: DataFrame) -> DataFrame:
             for name in ("total_rwa", "total_hqla", "total_loan_balance", "npl_balance", "loans")
         ]
     )
+
+
+def newest_run_balances(rows: DataFrame, *keys: str) -> DataFrame:
+    """Balances by key of the run with the newest ``as_of``; the larger run_id wins a tie.
+
+    The rows are read once: they are summed per run and key, a run's few sums are put into one row, and one row is
+    taken. ``keys`` are codes, so a run has few of them.
+    """
+    summed = balances_by(rows.where(F.col("run_id").isNotNull()), "run_id", *keys, newest="as_of")
+    entry = F.struct(*keys, "balance", "positions")
+    runs = summed.groupBy("run_id").agg(F.max("as_of").alias("as_of"), F.collect_list(entry).alias("entries"))
+    newest = runs.orderBy(F.col("as_of").desc_nulls_last(), F.col("run_id").desc()).limit(1)
+    return newest.select("run_id", F.inline("entries"))

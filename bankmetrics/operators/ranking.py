@@ -28,6 +28,11 @@ def latest_run(metrics: DataFrame) -> DataFrame:
 
 
 def latest_period(rows: DataFrame, period: str = "report_period") -> DataFrame:
-    """Rows of the largest report period: benchmarks, or the observations behind them."""
+    """Rows of the largest report period, for stored benchmarks; ``newest_period`` reads a derived table once."""
     newest = rows.agg(F.max(period))
     return rows.where(F.col(period) == newest.scalar())
+
+
+def newest_period(totals: DataFrame, period: str = "report_period") -> DataFrame:
+    """The row of the largest report period, from one row per period; each task keeps only its own best."""
+    return totals.where(F.col(period).isNotNull()).orderBy(F.col(period).desc()).limit(1)

@@ -12,29 +12,21 @@ from bankmetrics.operators import ranking
 from bankmetrics.operators.reshape import stack
 from bankmetrics.schemas import STORED_METRIC
 
-# The report date, asset threshold and row limit of the benchmark query.
+# The report date and asset threshold of the benchmark query.
 REPORT_DATE = "20231231"
 MIN_ASSETS = 100_000_000
-MAX_INSTITUTIONS = 100
 
 
 def observations(
     financials: DataFrame,
     report_date: str | None = REPORT_DATE,
     min_assets: float = MIN_ASSETS,
-    limit: int | None = None,
 ) -> DataFrame:
-    """Institutions of at least ``min_assets``, of one report date or of all.
-
-    ``limit`` keeps the institutions with the smallest certificate numbers.
-    """
+    """All institutions of at least ``min_assets``, of one report date or of all."""
     kept = financials.where(F.col("ASSET") >= min_assets)
     if report_date is not None:
         kept = kept.where(F.col("REPDTE") == report_date)
-    kept = kept.select("REPDTE", "CERT", *[name for name in ("NAME",) if name in kept.columns], "EQVWCOR")
-    if limit is None:
-        return kept
-    return kept.orderBy(*[F.col(name).asc_nulls_last() for name in ("REPDTE", "CERT", "EQVWCOR")]).limit(limit)
+    return kept.select("REPDTE", "CERT", *[name for name in ("NAME",) if name in kept.columns], "EQVWCOR")
 
 
 def _average() -> Column:

@@ -83,9 +83,10 @@ def worst_branches(by_branch: DataFrame, count: int = 5) -> DataFrame:
     return ranking.top(by_branch, "npl_ratio_percent", "branch_id", count)
 
 
-def branch_measures(assets: DataFrame, risk_config: DataFrame) -> DataFrame:
-    """All asset measures per branch from one scan."""
-    return positions.asset_measures(assets, risk_config, "branch_id").withColumn("npl_ratio_percent", _npl_ratio())
+def branch_measures(assets: DataFrame, risk_config: DataFrame, counts: str | None = None) -> DataFrame:
+    """All asset measures per branch from one scan; ``counts`` as in ``asset_measures``."""
+    measured = positions.asset_measures(assets, risk_config, "branch_id", counts=counts)
+    return measured.withColumn("npl_ratio_percent", _npl_ratio())
 
 
 def bank_ratios(measured: DataFrame, outflow: DataFrame, capital: DataFrame) -> DataFrame:

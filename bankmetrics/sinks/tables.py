@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from bankmetrics.functions import rules
 from bankmetrics.operators.checks import duplicate_keys
-from bankmetrics.settle import settled
 
 METRICS = "regulatory_metrics"
 BENCHMARKS = "fdic_benchmarks"
@@ -32,6 +31,7 @@ KEYS = {
     AUDIT: ("log_id",),
 }
 
+# The step's name, and the words of status and message in ``audit_row``.
 LOAD_STEP = "Metrics Load"
 
 
@@ -67,18 +67,23 @@ def append_metrics(metrics: DataFrame, database: str | None = None) -> None:
     """Appends the metric rows of a run; refuses a run and metric already stored.
 
     The table's own types apply: too long a name or too large a value fails.
+    The rows are computed once, into a table of their own in the warehouse,
+    which all executors share. They are checked there, moved, and the table
+    goes.
     """
     spark = metrics.sparkSession
     name = _qualified(METRICS, database)
-    rows = settled(metrics.select("run_id", "metric_name", "metric_value", "computation_date")).coalesce(1)
-    keys = list(KEYS[METRICS])
-    stored = spark.table(name).join(rows.select("run_id").distinct(), "run_id", "left_semi").select(*keys)
-    _refuse_duplicates(stored.unionByName(rows.select(*keys)), METRICS)
-    spark.sql(
-        f"INSERT INTO {name} (run_id, metric_name, metric_value, computation_date) "
-        "SELECT run_id, metric_name, metric_value, computation_date FROM {rows}",
-        rows=rows,
-    )
+    staging = _qualified(f"{METRICS}_{uuid.uuid4().hex}", database)
+    columns = "run_id, metric_name, metric_value, computation_date"
+    spark.sql(f"CREATE TABLE {staging} ({COLUMNS[METRICS]}) USING parquet")
+    try:
+        spark.sql(f"INSERT INTO {staging} ({columns}) SELECT {columns} FROM {{rows}}", rows=metrics)
+        rows, keys = spark.table(staging), list(KEYS[METRICS])
+        stored = spark.table(name).join(rows.select("run_id").distinct(), "run_id", "left_semi").select(*keys)
+        _refuse_duplicates(stored.unionByName(rows.select(*keys)), METRICS)
+        spark.sql(f"INSERT INTO {name} ({columns}) SELECT {columns} FROM {staging} DISTRIBUTE BY run_id")
+    finally:
+        spark.sql(f"DROP TABLE {staging}")
 
 
 def audit_row(stored: DataFrame, run_id: str) -> DataFrame:
@@ -104,8 +109,14 @@ def audit_row(stored: DataFrame, run_id: str) -> DataFrame:
 
 
 def append_audit(spark: SparkSession, run_id: str, database: str | None = None) -> None:
-    """Appends the audit row of a stored run; time is the table's default."""
+    """Appends the audit row of a stored run; time is the table's default.
+
+    A row that says the same of the run is not added again, so a call that may
+    have failed can be repeated.
+    """
+    same = ["run_id", "pipeline_step", "status", "message"]
     rows = audit_row(read(spark, METRICS, database), run_id)
+    rows = rows.join(read(spark, AUDIT, database).select(*same), same, "left_anti")
     spark.sql(
         f"INSERT INTO {_qualified(AUDIT, database)} (log_id, run_id, pipeline_step, status, message) "
         "SELECT log_id, run_id, pipeline_step, status, message FROM {rows}",

@@ -43,12 +43,12 @@ def read_staged_metrics(spark: SparkSession, folder: str, names=("CAR", "LCR", "
         return spark.createDataFrame([], schemas.STAGED_METRIC)
 
 
-def read_financials(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_financials(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Institution financials from JSON envelopes ``{data: [{data: {...}}]}``.
 
     Text that is not JSON fails the read; a field that is not a number is NULL.
-    A multi-line document cannot be split, so bulk extracts should hold one
-    envelope per line and be read with ``multi_line=False``.
+    One envelope per line is the default, as such files are split among tasks;
+    with ``multi_line=True`` a file is one document, read by one task.
     """
     reader = spark.read.schema(schemas.FINANCIALS_ENVELOPE).option("mode", "FAILFAST")
     entries = reader.json(path, multiLine=multi_line).select(F.explode("data").alias("entry"))

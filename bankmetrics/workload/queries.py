@@ -14,15 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bankmetrics.functions import rules
+from bankmetrics.functions import measures, rules
 from bankmetrics.operators import checks, funding, positions, ranking
+from bankmetrics.operators.reshape import one_metric
 from bankmetrics.plans import benchmarks, history, ratios
+from bankmetrics.sinks import tables
 from bankmetrics.sources import star
 
 # Parameters of the registered queries.
 RATIO_DIGITS = 6
 MIN_OBSERVED_ASSETS = 10
 DUE_AS_OF = dt.datetime(1998, 1, 1)
+OBSERVED_DAY = dt.date(2024, 1, 15)
 SNAPSHOT_RUN = "run-0001"
 SNAPSHOT_TIME = dt.datetime(2024, 2, 1, 12)
 UNRULED_TYPE = "Consumer Loan"
@@ -158,9 +161,7 @@ def rolling_ladder(spark, folder):
 
 @query
 def rolling_outflow(spark, folder):
-    liabilities = star.liabilities(spark, folder)
-    rolled = funding.rolling_outflow(liabilities, ladder=funding.checked_ladder(liabilities))
-    return rolled.select(
+    return funding.rolling_outflow(star.liabilities(spark, folder)).select(
         "liability_id",
         "branch_id",
         "liability_type",
@@ -184,16 +185,12 @@ def due_within(spark, folder):
 @query
 def fused_branch_measures(spark, folder):
     placed = star.asset_positions(spark, folder, *positions.TRAITS)
-    return ratios.branch_measures(placed, rules.risk_config(spark))
+    return ratios.branch_measures(placed, rules.risk_config(spark), counts="positions")
 
 
 @query
 def fused_bank_ratios(spark, folder):
-    placed = star.asset_positions(spark, folder, *positions.TRAITS)
-    by_branch = positions.asset_measures(placed, rules.risk_config(spark), "branch_id")
-    outflow = funding.horizon_outflow(star.liabilities(spark, folder, placed=False))
-    wide = ratios.bank_ratios(positions.roll_up(by_branch), outflow, star.capital(spark, folder))
-    return _rounded(wide, "CAR", "LCR")
+    return _rounded(_bank_ratios(spark, folder), "CAR", "LCR")
 
 
 def _bank_ratios(spark, folder):
@@ -208,7 +205,7 @@ def _bank_ratios(spark, folder):
 @query
 def branch_report(spark, folder):
     placed = star.asset_positions(spark, folder, *positions.TRAITS)
-    measured = ratios.branch_measures(placed, rules.risk_config(spark))
+    measured = ratios.branch_measures(placed, rules.risk_config(spark), counts="positions")
     return measured.join(star.branches(spark, folder), "branch_id", "left").select(
         "branch_name", "region", "total_loan_balance", "npl_balance", "npl_ratio_percent"
     )
@@ -226,7 +223,8 @@ def _benchmarks(observed):
 
 
 def _latest_benchmarks(spark, folder):
-    return _benchmarks(ranking.latest_period(_observed(spark, folder), "REPDTE"))
+    averages = benchmarks.average_by_period(_observed(spark, folder))
+    return benchmarks.benchmark_table(ranking.newest_period(averages), SNAPSHOT_TIME)
 
 
 @query
@@ -235,11 +233,9 @@ def benchmark_avg(spark, folder):
 
 
 @query
-def benchmark_first_100(spark, folder):
-    capped = benchmarks.observations(
-        star.financials(spark, folder), "20240115", MIN_OBSERVED_ASSETS, benchmarks.MAX_INSTITUTIONS
-    )
-    return benchmarks.average_of(capped, "20240115")
+def benchmark_one_period(spark, folder):
+    observed = benchmarks.observations(star.financials(spark, folder, OBSERVED_DAY), None, MIN_OBSERVED_ASSETS)
+    return benchmarks.average_of(observed, OBSERVED_DAY.strftime("%Y%m%d"))
 
 
 @query
@@ -285,8 +281,7 @@ def latest_run(spark, folder):
 
 @query
 def latest_run_balances(spark, folder):
-    rows = star.assets(spark, folder, placed=False).withColumnRenamed("as_of", "computation_date")
-    return positions.balances_by(ranking.latest_run(rows), "run_id", "asset_type")
+    return positions.newest_run_balances(star.assets(spark, folder, placed=False), "asset_type")
 
 
 def _compared(spark, folder):
@@ -319,4 +314,40 @@ def duplicate_keys(spark, folder):
 
 @query
 def null_keys(spark, folder):
-    return checks.null_keys(star.assets(spark, folder), "asset_id", "branch_id", "balance")
+    return star.asset_gaps(spark, folder)
+
+
+@query
+def loan_types(spark, folder):
+    types = positions.balances_by(star.assets(spark, folder, placed=False), "asset_type")
+    return types.select("asset_type", "positions", measures.is_loan_type(F.col("asset_type")).alias("is_loan"))
+
+
+# Storing a run
+
+
+@query
+def staged_metrics(spark, folder):
+    """Two of three metrics staged one by one: the missing one gives no row."""
+    wide = _bank_ratios(spark, folder)
+    staged = one_metric(wide, "CAR").unionByName(one_metric(wide, "NPL"))
+    return history.staged_snapshot(staged, SNAPSHOT_RUN, SNAPSHOT_TIME)
+
+
+@query
+def audit_entry(spark, folder):
+    """The audit row of a complete run, without its id and time."""
+    stored = history.snapshot(_bank_ratios(spark, folder), SNAPSHOT_RUN, SNAPSHOT_TIME)
+    return tables.audit_row(stored, SNAPSHOT_RUN).drop("log_id")
+
+
+# Exact money
+
+
+def exact_branch_totals(spark, folder):
+    """Loan totals per branch as exact decimals: no cast to DOUBLE, so cents stay beyond 9e13."""
+    exact = {name: F.col(name).cast("decimal(38,2)") for name in ("total_loan_balance", "npl_balance")}
+    return ratios.npl_by_branch(star.asset_positions(spark, folder, "loan_status")).withColumns(exact)
+
+
+_QUERIES["exact_branch_totals"] = exact_branch_totals

@@ -8,12 +8,14 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-import __spark_entry__ as driver
 from bankmetrics.functions import rules
-from bankmetrics.operators import funding, lookups, positions, ranking
+from bankmetrics.operators import funding, positions, ranking
 from bankmetrics.plans import history, ratios
 from bankmetrics.sinks import tables
 from bankmetrics.sources import star, synthetic
+from bankmetrics.workload import queries
+
+REGISTERED = queries.all_queries()
 
 
 def plan_of(df):
@@ -37,17 +39,17 @@ def setting(spark):
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTERED))
 def test_no_python_and_no_cartesian_product(spark, star_folder, name):
-    plan = plan_of(driver.queries()[name](spark, star_folder))
+    plan = plan_of(REGISTERED[name](spark, star_folder))
     assert "Python" not in plan and "ArrowEval" not in plan
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTERED))
 def test_single_partition_steps_are_global_aggregates(spark, star_folder, name):
     """One task only ever merges the one partial row per task of a global aggregate."""
-    lines = plan_of(driver.queries()[name](spark, star_folder)).splitlines()
+    lines = plan_of(REGISTERED[name](spark, star_folder)).splitlines()
     for line, below in zip(lines, lines[1:]):
         if "SinglePartition" in line:
             assert re.search(r"Aggregate\(keys?=\[\]", below)
@@ -55,27 +57,27 @@ def test_single_partition_steps_are_global_aggregates(spark, star_folder, name):
 
 @pytest.mark.parametrize("name", ["scorecard", "metric_snapshot", "metric_history", "latest_run", "fused_bank_ratios"])
 def test_all_ratios_from_one_scan_of_each_large_table(spark, star_folder, name):
-    df = driver.queries()[name](spark, star_folder)
+    df = REGISTERED[name](spark, star_folder)
     assert scans(df, "lineitem") == 1 and scans(df, "orders") == 1
 
 
 @pytest.mark.parametrize("name", ["car", "npl_bank", "lcr", "scorecard", "metric_history", "hqla_by_level"])
 def test_bank_wide_queries_need_no_placement(spark, star_folder, name):
-    assert scans(driver.queries()[name](spark, star_folder), "supplier") == 0
+    assert scans(REGISTERED[name](spark, star_folder), "supplier") == 0
 
 
 def test_scans_read_only_needed_columns(spark, star_folder):
-    plan = driver.queries()["car"](spark, star_folder)._jdf.queryExecution().toString()
+    plan = REGISTERED["car"](spark, star_folder)._jdf.queryExecution().toString()
     assert "ReadSchema: struct<l_partkey:bigint,l_extendedprice:double>" in plan
     assert "ReadSchema: struct<c_acctbal:double,c_mktsegment:string>" in plan
 
 
 def test_due_date_reaches_the_scan(spark, star_folder):
-    assert "LessThanOrEqual(o_orderdate" in plan_of(driver.queries()["due_within"](spark, star_folder))
+    assert "LessThanOrEqual(o_orderdate" in plan_of(REGISTERED["due_within"](spark, star_folder))
 
 
 def test_top_branches_without_a_full_sort(spark, star_folder):
-    assert "TakeOrderedAndProject" in plan_of(driver.queries()["npl_top5"](spark, star_folder))
+    assert "TakeOrderedAndProject" in plan_of(REGISTERED["npl_top5"](spark, star_folder))
 
 
 def test_rules_are_joined_after_aggregation(spark, star_folder):
@@ -85,11 +87,10 @@ def test_rules_are_joined_after_aggregation(spark, star_folder):
     assert any("Exchange hashpartitioning(asset_type" in line for line in lines[join:])
 
 
-@pytest.mark.parametrize("name", ["npl_by_branch", "npl_top5", "fused_branch_measures", "fused_bank_ratios"])
-def test_a_large_lookup_is_joined_after_summing(spark, star_folder, setting, monkeypatch, name):
-    query = driver.queries()[name]
+@pytest.mark.parametrize("name", ["npl_by_branch", "npl_top5", "fused_branch_measures", "branch_report"])
+def test_rows_are_summed_before_the_lookup(spark, star_folder, setting, name):
+    query = REGISTERED[name]
     expected = sorted(query(spark, star_folder).collect())
-    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 0)
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     summed = query(spark, star_folder)
     plan = plan_of(summed)
@@ -98,6 +99,37 @@ def test_a_large_lookup_is_joined_after_summing(spark, star_folder, setting, mon
     assert sorted(summed.collect()) == expected
 
 
+@pytest.mark.parametrize("name", sorted(REGISTERED))
+def test_no_job_runs_while_a_query_is_built(spark, star_folder, name):
+    spark.sparkContext.setJobGroup(f"build {name}", "")
+    try:
+        REGISTERED[name](spark, star_folder)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(f"build {name}")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize(
+    "name, table",
+    [(q, "events") for q in ("latest_benchmarks", "bank_vs_benchmark", "benchmark_delta", "scorecard")]
+    + [("latest_run_balances", "lineitem")],
+)
+def test_latest_is_found_in_one_read(spark, star_folder, name, table):
+    assert scans(REGISTERED[name](spark, star_folder), table) == 1
+
+
+def test_the_day_of_a_benchmark_reaches_the_scan(spark, star_folder, setting):
+    setting("spark.sql.maxMetadataStringLength", "1000")
+    plan = plan_of(REGISTERED["benchmark_one_period"](spark, star_folder))
+    assert "GreaterThanOrEqual(ts,2024-01-15" in plan and "LessThan(ts,2024-01-16" in plan
+
+
+def test_fused_bank_ratios_and_null_keys_join_no_rows(spark, star_folder):
+    assert scans(REGISTERED["fused_bank_ratios"](spark, star_folder), "supplier") == 0
+    plan = plan_of(REGISTERED["null_keys"](spark, star_folder))
+    assert plan.index("HashAggregate(keys=[site", plan.index("Join")) > 0
+
+
 def test_lookup_is_broadcast_only_under_the_threshold(spark, star_folder, setting):
     assert "BroadcastHashJoin" in plan_of(ratios.npl_by_branch(star.assets(spark, star_folder)))
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -105,16 +137,36 @@ def test_lookup_is_broadcast_only_under_the_threshold(spark, star_folder, settin
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
-def test_ladder_is_broadcast_only_after_counting(spark, setting, monkeypatch):
+def rows_of_tasks(df):
+    """Rows of each partition after the last join."""
+    return sorted((r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()), reverse=True)
+
+
+def test_a_hot_day_of_a_branch_is_dealt_to_several_tasks(spark, setting):
+    """Without adaptive execution and without a broadcast."""
+    setting("spark.sql.adaptive.enabled", "false")
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = synthetic.liabilities(spark, 4000, 1).withColumn("maturity_days", F.lit(7))
+    rolled = funding.rolling_outflow(rows)
+    assert "SortMergeJoin" in plan_of(rolled)
+    tasks = rows_of_tasks(rolled)
+    assert sum(tasks) == 4000 and len(tasks) >= 4 and tasks[0] < 2500
+    assert rolled.select("rolling_30d_outflow").distinct().count() == 1
+
+
+def test_a_hot_supplier_comes_to_its_join_as_sums(spark, tmp_path, setting):
+    setting("spark.sql.adaptive.enabled", "false")
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
-    rows = funding.with_maturity(synthetic.liabilities(spark, 1000, 5))
-    ladder = funding.checked_ladder(rows)
-    assert "BroadcastHashJoin" in plan_of(funding.rolling_outflow(rows, ladder=ladder))
-    assert "SortMergeJoin" in plan_of(funding.rolling_outflow(rows))
-    monkeypatch.setattr(funding, "LADDER_BROADCAST_ROWS", ladder.count() - 1)
-    assert "SortMergeJoin" in plan_of(funding.rolling_outflow(rows, ladder=funding.checked_ladder(rows)))
-    monkeypatch.setattr(funding, "can_settle", lambda spark: False)
-    assert "SortMergeJoin" in plan_of(funding.rolling_outflow(rows, ladder=funding.checked_ladder(rows)))
+    spark.range(0, 6000, 1, 6).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 70).alias("l_partkey"), F.lit(3).cast("long").alias("l_suppkey"),
+        F.lit(1).alias("l_linenumber"), F.lit(2.5).alias("l_extendedprice"), F.lit("R").alias("l_returnflag"),
+        F.lit("F").alias("l_linestatus"), F.lit("1998-01-01").cast("timestamp_ntz").alias("l_shipdate"),
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(5).select(F.col("id").alias("s_suppkey"), F.lit(4).alias("s_nationkey")).write.parquet(str(tmp_path / "supplier.parquet"))
+    placed = star.asset_positions(spark, str(tmp_path), "loan_status")
+    # One row for each supplier and trait, whatever the number of line items.
+    assert placed.count() == 2 and placed.agg(F.sum("positions")).first()[0] == 6000
+    assert REGISTERED["npl_by_branch"](spark, str(tmp_path)).collect()[0].branch_id == "4"
 
 
 def split_hot_partitions(setting):
@@ -140,7 +192,7 @@ def test_a_hot_lookup_key_is_split(spark, tmp_path, setting):
     spark.range(997).select(
         F.col("id").alias("c_custkey"), (F.col("id") % 25).cast("int").alias("c_nationkey")
     ).write.parquet(str(tmp_path / "customer.parquet"))
-    query = driver.queries()["rolling_ladder"]
+    query = REGISTERED["rolling_ladder"]
     expected = sorted(query(spark, str(tmp_path)).collect())
     split_hot_partitions(setting)
     split = query(spark, str(tmp_path))
@@ -164,8 +216,8 @@ def direct_window(rows):
     )
 
 
-@pytest.mark.parametrize("checked", [False, True])
-def test_ladder_equals_the_direct_window(spark, checked):
+@pytest.mark.parametrize("stored", [False, True])
+def test_ladder_equals_the_direct_window(spark, stored):
     rows = funding.with_maturity(synthetic.liabilities(spark, 5000, 7)).withColumns(
         {
             "branch_id": F.when(F.rand(1) > 0.05, F.col("branch_id")),
@@ -174,8 +226,9 @@ def test_ladder_equals_the_direct_window(spark, checked):
         }
     )
     names = ["liability_id", "projected_outflow", "rolling_30d_outflow"]
-    checked_ladder = funding.checked_ladder(rows) if checked else None
-    ladder = funding.rolling_outflow(rows, ladder=checked_ladder).select(*names)
+    rows = rows.checkpoint()
+    kept = funding.rolling_ladder(funding.outflow_ladder(rows)).checkpoint() if stored else None
+    ladder = funding.rolling_outflow(rows, ladder=kept).select(*names)
     direct = direct_window(rows).select(*names)
     assert ladder.count() == 5000
     assert sorted(ladder.collect(), key=repr) == sorted(direct.collect(), key=repr)

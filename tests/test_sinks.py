@@ -118,11 +118,44 @@ def test_monthly_run_equals_the_staged_path(spark, database, tmp_path):
     run("rolling", *common, "--out", str(tmp_path / "rolled"))
     assert spark.read.parquet(str(tmp_path / "rolled")).count() == 3000
     run("worst-branches", *common)
-    run("check", *common)
+    run("check", *common, "--out", str(tmp_path / "checked"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "checked/assets_duplicate_keys"), schema="asset_id STRING, copies LONG").count() == 0
     run("report", "--database", database)
     run("create-tables", "--database", database)
 
 
+def test_checks_are_written_whole(spark, tmp_path, capsys):
+    names = [f"asset-with-a-very-long-identifier-{i:04d}" for i in range(100)]
+    rows = [(name, None, "Crypto", D(1), None, None, "N/A") for name in names for _ in range(2)]
+    sheet = {"assets": spark.createDataFrame(rows, schemas.ASSETS)}
+    for table, ddl in schemas.INPUTS.items():
+        sheet.setdefault(table, spark.createDataFrame([], ddl))
+    files.write_inputs(sheet, str(tmp_path / "data"))
+    command_line.main(["check", "--data", str(tmp_path / "data"), "--out", str(tmp_path / "out")], spark)
+    found = spark.read.option("header", True).csv(str(tmp_path / "out/assets_duplicate_keys")).collect()
+    assert sorted(r.asset_id for r in found) == names
+    printed = capsys.readouterr().out
+    assert "assets_duplicate_keys: 100" in printed and "assets_unmapped_types: 1" in printed
+    assert "assets_null_keys: 1" in printed
+
+
+def test_the_audit_row_can_be_added_after_a_failure(spark, database, monkeypatch):
+    def failing(*words):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, "append_audit", failing)
+        with pytest.raises(OSError):
+            monthly.store(snapshot(spark, "r1"), "r1", database)
+    audit = spark.table(f"{database}.audit_log")
+    assert audit.count() == 0 and spark.table(f"{database}.regulatory_metrics").count() == 3
+    for _ in range(2):
+        command_line.main(["audit", "--run-id", "r1", "--database", database], spark)
+        spark.catalog.refreshTable(f"{database}.audit_log")
+    assert [(r.run_id, r.status) for r in spark.table(f"{database}.audit_log").collect()] == [("r1", "SUCCESS")]
+    assert spark.sql(f"SHOW TABLES IN {database}").count() == 3
+
+
 def test_loading_with_a_metric_not_staged(spark, database, tmp_path):
     files.stage_metric(spark.createDataFrame([("CAR", 0.5)], schemas.STAGED_METRIC), str(tmp_path), "CAR")
     empty = spark.createDataFrame([("LCR", None)], schemas.STAGED_METRIC)

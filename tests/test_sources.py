@@ -83,7 +83,7 @@ ENTRIES = (
 
 def test_financials_document(spark, tmp_path):
     (tmp_path / "one.json").write_text(json.dumps(financials_json(*ENTRIES), indent=1))
-    financials = read_financials(spark, str(tmp_path / "one.json"))
+    financials = read_financials(spark, str(tmp_path / "one.json"), multi_line=True)
     assert financials.columns == ["REPDTE", "CERT", "NAME", "EQVWCOR", "ASSET"]
     row = benchmarks.average_of(benchmarks.observations(financials)).first()
     assert (row.CAR, row.institutions) == (11.25, 2)
@@ -92,7 +92,7 @@ def test_financials_document(spark, tmp_path):
 def test_financials_lines(spark, tmp_path):
     lines = [json.dumps(financials_json(entry)) for entry in ENTRIES]
     (tmp_path / "many.json").write_text("\n".join(lines))
-    financials = read_financials(spark, str(tmp_path / "many.json"), multi_line=False)
+    financials = read_financials(spark, str(tmp_path / "many.json"))
     assert financials.agg(F.count("*"), F.sum("CERT")).first()[:] == (5, 15)
 
 
