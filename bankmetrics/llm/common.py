@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -41,6 +43,19 @@ def forget(spark: SparkSession, folder: str, name: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def held_by_worker(key: tuple, make):
+    """make(), or what an earlier task of this Python worker made for the same key.
+
+    A worker holds one such thing at a time: what another operator left in it goes first.
+    """
+    held = sys.modules.setdefault("_bankmetrics_worker", types.ModuleType("_bankmetrics_worker")).__dict__
+    if held.get("key") != key:
+        held["thing"] = None
+        give_back()
+        held["thing"], held["key"] = make(), key
+    return held["thing"]
+
+
 def give_back() -> None:
     """Returns freed memory of this Python worker to the system: it stays for tasks of other operators."""
     import ctypes

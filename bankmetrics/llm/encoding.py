@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import sys
-import types
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from bankmetrics.llm.common import held_by_worker
+
 #: A space or line end before anything but a printable ASCII sign, a letter or a digit, or other white space before a
 #: line end: white space may then form one token with it, so the text is encoded as a whole.
 UNSAFE = r"[ \n](?:[^!-~\p{L}\p{N}]|$)|[^!-~\p{L}\p{N}]\n"
@@ -26,10 +26,7 @@ WORDS = 600_000
 
 def worker_encoder(path: str, words: int = WORDS) -> Encoder:
     """The encoder of this Python worker, which later tasks of the worker find with all it remembers."""
-    held = sys.modules.setdefault("_bankmetrics_worker", types.ModuleType("_bankmetrics_worker")).__dict__
-    if (path, words) not in held:
-        held[path, words] = Encoder(path, words)
-    return held[path, words]
+    return held_by_worker(("encoder", path, words), lambda: Encoder(path, words))
 
 
 def byte_signs() -> list[str]:

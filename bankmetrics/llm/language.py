@@ -7,6 +7,7 @@ fits, then anew from its start. Phrases per character estimate the cross-entropy
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bankmetrics.llm.common import slices
+from bankmetrics.llm.common import held_by_worker, slices
 
 #: Bound of the sample: texts of a language, and code points taken of each.
 SAMPLE_TEXTS = 128
@@ -178,9 +179,10 @@ def with_language(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
         return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "lang_score": F.lit(0.0), "lang_rate": F.lit(0.0)})
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(samples)
+    key = "parser", zlib.crc32(repr(sorted(samples.items())).encode())
 
     def judged(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        parser = Parser(shared.value)
+        parser = held_by_worker(key, lambda: Parser(shared.value))
         for part in parts:
             names, scores, rates = [], [], []
             batch = pa.RecordBatch.from_arrays([pa.array(part)], ["text"])

@@ -24,14 +24,14 @@ from bankmetrics.llm.encoding import worker_encoder
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2048) -> DataFrame:
-    """Pieces of at most ``window`` ids: doc_id, start, length, doc_tokens, ids (little-endian u32).
+    """Pieces of at most ``window`` ids: doc_id, start, length, doc_tokens, ids (little-endian u32), part, rank.
 
-    Null or empty text: one piece with the end id. Rows are taken one by one, so repeated rows and null doc_ids stay.
+    part and rank, the number of the task and the piece's number among those of its length in it, serve assign(). Null or empty text: one piece with the end id. Rows are taken one by one, so repeated rows and null doc_ids stay.
     Other columns are not read.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(tokenizer)
+        encoder, ranks = worker_encoder(tokenizer), Ranks(window)
         for batch in slices(batches, "text"):
             ids, starts = encoder.encode(batch.column("text"), end_id)
             sizes = np.diff(starts)
@@ -39,19 +39,39 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = 204
             row = np.repeat(np.arange(len(sizes)), pieces)
             at = (np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * window
             bounds = np.append(starts[row] + at, starts[-1])
+            length = np.diff(bounds)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(row)),
                     pa.array(at),
-                    pa.array(np.diff(bounds)),
+                    pa.array(length),
                     pa.array(sizes[row]),
                     flat_binary(ids.astype("<u4", copy=False), bounds * 4),
+                    *ranks.of(length),
                 ],
-                ["doc_id", "start", "length", "doc_tokens", "ids"],
+                ["doc_id", "start", "length", "doc_tokens", "ids", "part", "rank"],
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(cut, "doc_id long, start long, length long, doc_tokens long, ids binary")
+    kind = "doc_id long, start long, length long, doc_tokens long, ids binary, part int, rank long"
+    return rows.mapInArrow(cut, kind)
+
+
+class Ranks:
+    """Numbers the pieces of each length within a task."""
+
+    def __init__(self, window: int):
+        self.seen = np.zeros(window + 1, np.int64)
+        self.part = TaskContext.get().partitionId()
+
+    def of(self, length: np.ndarray) -> list[pa.Array]:
+        """The task's number, and each piece's number among those of its length so far."""
+        order = np.argsort(length, kind="stable")
+        own = length[order]
+        rank = np.empty(len(own), np.int64)
+        rank[order] = self.seen[own] + np.arange(len(own)) - np.searchsorted(own, own)
+        self.seen += np.bincount(length, minlength=len(self.seen))
+        return [pa.array(np.full(len(own), self.part, np.int32)), pa.array(rank)]
 
 
 def fill(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -104,31 +124,32 @@ def plan(counts: dict[int, int], window: int) -> list[tuple[int, int, int, int,
     return rows
 
 
-def assign(pieces: DataFrame, window: int = 2048) -> DataFrame:
+def assign(pieces: DataFrame, window: int = 2048, ranked: bool = False) -> DataFrame:
     """Adds sequence_id and offset to pieces with a ``length`` from 1 to ``window``; other columns stay as they are.
 
     Offsets of a sequence run without a gap from 0. Pieces of equal length are exchangeable. An empty table stays empty.
     The plan that is broadcast has a bound by the window alone (a few rows per length), whatever the number of pieces.
+    ``ranked`` says that part and rank are there, as token_pieces() gives them; they then go.
     """
     spark, folder = pieces.sparkSession, work_folder(pieces.sparkSession, "packing")
-    names = pieces.columns
-    plain = pieces.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)), F.col("length").alias("_length"))
-    kind = f"{', '.join(f'c{i} {t}' for i, (_, t) in enumerate(pieces.dtypes))}, _length long, _part int, _rank long"
+    names = [c for c in pieces.columns if not ranked or c not in ("part", "rank")]
+    types = dict(pieces.dtypes)
+    plain = pieces.select(
+        *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)),
+        F.col("length").cast("long").alias("_length"),
+        *((F.col("part").alias("_part"), F.col("rank").alias("_rank")) if ranked else ()),
+    )
 
-    def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, part = np.zeros(window + 1, np.int64), TaskContext.get().partitionId()
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = Ranks(window)
         for batch in batches:
-            length = batch.column("_length").to_numpy(zero_copy_only=False).astype(np.int64)
-            order = np.argsort(length, kind="stable")
-            own = length[order]
-            run = np.arange(len(own)) - np.searchsorted(own, own)
-            rank = np.empty(len(own), np.int64)
-            rank[order] = seen[own] + run
-            seen += np.bincount(length, minlength=window + 1)
-            columns = [*batch.columns[:-1], pa.array(length), pa.array(np.full(len(own), part, np.int32)), pa.array(rank)]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "_part", "_rank"])
-
-    table = kept(plain.mapInArrow(ranked, kind), folder, "pieces")
+            found = ranks.of(batch.column("_length").to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, "_part", "_rank"])
+
+    if not ranked:
+        kind = f"{', '.join(f'c{i} {types[c]}' for i, c in enumerate(names))}, _length long, _part int, _rank long"
+        plain = plain.mapInArrow(number, kind)
+    table = kept(plain, folder, "pieces")
     counts = table.groupBy("_length", "_part").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("_length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     bases = kept(counts.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))), folder, "counts")
@@ -149,4 +170,4 @@ def assign(pieces: DataFrame, window: int = 2048) -> DataFrame:
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2048) -> DataFrame:
     """token_pieces() of the documents with their sequence_id and offset, ids included."""
-    return assign(token_pieces(docs, tokenizer, end_id, window), window)
+    return assign(token_pieces(docs, tokenizer, end_id, window), window, ranked=True)

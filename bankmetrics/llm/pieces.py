@@ -9,8 +9,6 @@ compared with the sentencepiece library's.
 from __future__ import annotations
 
 import struct
-import sys
-import types
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -21,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bankmetrics.llm.common import slices
+from bankmetrics.llm.common import held_by_worker, slices
 
 # Fixed values of the model format: kinds of pieces, model types, field numbers.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -224,11 +222,7 @@ def worker_encoder(raw: bytes, threads: int) -> Encoder:
 
     os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
     os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
-    held = sys.modules.setdefault("_bankmetrics_worker", types.ModuleType("_bankmetrics_worker")).__dict__
-    key = "pieces", zlib.crc32(raw), len(raw)
-    if key not in held:
-        held[key] = Encoder(Model(raw))
-    return held[key]
+    return held_by_worker(("pieces", zlib.crc32(raw), len(raw)), lambda: Encoder(Model(raw)))
 
 
 def encoded(docs: DataFrame, model_path: str, threads: int = 2, verify: bool = True) -> DataFrame:

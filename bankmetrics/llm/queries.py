@@ -34,7 +34,7 @@ def op2_metric_search(spark: SparkSession, folder: str) -> DataFrame:
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Packs all documents into windows of 2048 ids; the ids of a piece are told by their checksum."""
     pieces = packing.token_pieces(table(spark, folder, "documents"), BYTE_BPE, end_id=1, window=2048)
-    return packing.assign(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), window=2048)
+    return packing.assign(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), window=2048, ranked=True)
 
 
 def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from bankmetrics.llm.common import slices
+from bankmetrics.llm.common import SLICE_BYTES, slices
 from bankmetrics.llm.encoding import worker_encoder
 
 HEAD = "<4sIIIQIIII"
@@ -176,7 +176,7 @@ def write(
             raw = segment(shard, number, waiting, np.concatenate(held or [np.zeros(0, np.uint32)]), percentile)
             return pa.RecordBatch.from_arrays([pa.array([raw], pa.binary())], ["value"])
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 * SLICE_BYTES):
             ids, starts = encoder.encode(batch.column("text"), end_id)
             for i, doc in enumerate(batch.column("doc_id").to_pylist()):
                 a, b = int(starts[i]), int(starts[i + 1])
