@@ -165,9 +165,8 @@ def limits(docs: DataFrame, false_share: float = FALSE_SHARE) -> dict[int, int]:
     words = F.sum(F.col("word").cast("long")).alias("words")
     counts = found.groupBy("level", "step").agg(words, F.sum((~F.col("word")).cast("long")).alias("others"))
     # A class's null distribution is that of the words of its length or shorter, which look more random than its own.
-    grid = counts.select("step").distinct().join(
-        counts.sparkSession.range(len(CLASSES)).select(F.col("id").cast("int").alias("level")), F.lit(True)
-    )
+    levels = F.explode(F.sequence(F.lit(0), F.lit(len(CLASSES) - 1)))
+    grid = counts.select("step").distinct().withColumn("level", levels)
     every = grid.join(counts, ["level", "step"], "left").fillna(0, ["words", "others"])
     upto = Window.partitionBy("level").orderBy("step")
     below = Window.partitionBy("step").orderBy("level")
