@@ -26,10 +26,9 @@ def null_keys_through(rows: DataFrame, lookup: DataFrame, key: str, found: str,
     """
     counts = [F.count_if(test).alias(name) for name, test in tests.items()]
     per_key = rows.groupBy(key).agg(*counts, F.count(F.lit(1)).alias("_rows")).join(lookup, key, "left")
-    unknown = F.sum(F.when(F.col(found).isNull(), F.col("_rows")))
-    totals = per_key.agg(*[F.coalesce(total, F.lit(0)).alias(name) for name, total in [
-        *((name, F.sum(name)) for name in tests), (found, unknown)
-    ]])
+    sums = {name: F.sum(name) for name in tests}
+    sums[found] = F.sum(F.when(F.col(found).isNull(), F.col("_rows")))
+    totals = per_key.agg(*[F.coalesce(total, F.lit(0)).alias(name) for name, total in sums.items()])
     return totals.unpivot([], [*tests, found], "column_name", "null_rows")
 
 
