@@ -20,7 +20,7 @@ MARKS = ".,;:!?"
 #: Letters up to here are letters in every version of Unicode that a tokenizer may follow.
 LATIN = "\u024f"
 
-#: Words a worker remembers at most; it then starts anew.
+#: Words a worker remembers for good at most; those of one slice of texts come on top.
 WORDS = 600_000
 
 
@@ -92,6 +92,8 @@ class Encoder:
         #: Words with a space before them, and the first words of lines, which have none.
         self.known: dict[str, int] = {}
         self.first: dict[str, int] = {}
+        #: Words of the last slice that were too many to keep, with the number and the ids kept before them.
+        self.passing: tuple[list[str], list[str], int] | None = None
         self.used = 0
         self.flat = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 14, np.int32)
@@ -130,12 +132,26 @@ class Encoder:
         known.update(zip(words, range(old, old + len(words))))
 
     def _codes(self, words: list[str], first: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The places in the memory of different words, and of different first words."""
+        """The places in the memory of different words, and of different first words.
+
+        Frequent words come early. So when the memory is full, other words are only kept for one slice, unless most
+        words of a slice are new: then the texts are of another kind, and the memory starts anew.
+        """
+        if self.passing:
+            gone, gone_first, self.used = self.passing
+            for x in gone:
+                del self.known[x]
+            for x in gone_first:
+                del self.first[x]
+            self.passing = None
         new, new_first = [x for x in words if x not in self.known], [x for x in first if x not in self.first]
         held = len(self.known) + len(self.first)
         if held and held + len(new) + len(new_first) > self.words:
-            self._clear()
-            new, new_first = words, first
+            if 2 * len(new) > len(words):
+                self._clear()
+                new, new_first = words, first
+            else:
+                self.passing = new, new_first, self.used
         if new:
             self._learn(self.known, new, " ")
         if new_first:

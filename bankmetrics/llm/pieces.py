@@ -31,7 +31,7 @@ CHARSMAP, DUMMY_PREFIX, REMOVE_EXTRA, ESCAPE = 2, 3, 4, 5
 
 SPACE = "▁"
 
-#: Words a worker remembers at most; it then starts anew.
+#: Words a worker remembers for good at most; those of one slice of texts come on top.
 WORDS = 600_000
 
 
@@ -158,15 +158,24 @@ class Encoder:
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
+        #: Words of the last slice that were too many to keep, with the number of ids kept before them.
+        self.passing: tuple[list[str], int] = ([], 0)
         self.flat, self.ends, self.used = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64), 0
         #: Whether the library decodes the word's ids to the word.
         self.exact = np.zeros(1 << 14, bool)
 
     def _codes(self, words: list[str]) -> np.ndarray:
+        if self.passing[0]:
+            for x in self.passing[0]:
+                del self.known[x]
+            self.used, self.passing = self.passing[1], ([], 0)
         new = [x for x in words if x not in self.known]
         if self.known and len(self.known) + len(new) > self.words:
-            self._clear()
-            new = words
+            if 2 * len(new) > len(words):  # texts of another kind
+                self._clear()
+                new = words
+            else:
+                self.passing = new, self.used
         ids = [[x.id for x in self.model.tokenize(SPACE + w)] for w in new]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         old, total = len(self.known), int(sizes.sum())
