@@ -451,15 +451,17 @@ def first_of_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     """The rows of docs, all columns as they are, without near duplicates: of each component the smallest doc_id stays.
 
     Of rows with one doc_id the one with the smallest hash of all its columns stays. Rows without a doc_id stay all.
-    What goes is joined to the rows, not what stays, so that rows move only if Spark can't send out the smaller side.
+    The rows move once, by doc_id, to leave out what goes and what is repeated; the latter is then added once each.
     """
     folder = work_folder(docs.sparkSession, "groups")
     found = kept(linked_components(docs, words, percent), folder, "found").where("doc_id is not null")
-    gone = found.where("component_id != doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept_rows = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    repeated = kept(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_gone")), folder, "repeated")
-    single = kept_rows.join(repeated, F.col("doc_id") == F.col("_gone"), "left_anti")
-    several = kept_rows.join(repeated, F.col("doc_id") == F.col("_gone"), "left_semi")
+    each = found.groupBy(F.col("doc_id").alias("_id")).agg(
+        F.max(F.col("component_id") != F.col("doc_id")).alias("goes"), F.count("*").alias("copies")
+    )
+    each = kept(each.where("goes or copies > 1"), folder, "each")
+    single = docs.join(each.select("_id").hint("merge"), F.col("doc_id") == F.col("_id"), "left_anti")
+    repeated = kept(each.where("not goes").select("_id"), folder, "repeated")
+    several = docs.join(repeated, F.col("doc_id") == F.col("_id"), "left_semi")
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     first = several.groupBy("doc_id").agg(F.min_by(row, F.xxhash64(row)).alias("_row"))
     return single.unionByName(first.select(*(F.col(f"_row.`{c}`").alias(c) for c in docs.columns)))
