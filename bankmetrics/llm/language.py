@@ -20,7 +20,7 @@ from bankmetrics.llm.common import held_by_worker, slices
 
 #: Bound of the sample: texts of a language, and code points taken of each.
 SAMPLE_TEXTS = 128
-SAMPLE_CHARS = 160
+SAMPLE_CHARS = 256
 
 #: Languages that may be learned; more is an error, as all automata are held at once.
 LANGUAGES = 200
@@ -68,9 +68,10 @@ def automaton(text: str) -> list[dict[str, int]]:
 
 
 class Parser:
-    """The automata of all languages as one table: state and sign to state, -1 where no phrase goes on.
+    """The automata of all languages as one hash table: state and sign to state, -1 where no phrase goes on.
 
-    The texts of a sample are closed by a NUL, so that phrases don't run from one into the next.
+    Only transitions that exist take room, some two for each code point of a sample, however many signs all languages
+    have together. The texts of a sample are closed by a NUL, so that phrases don't run from one into the next.
     """
 
     def __init__(self, samples: dict[str, str]):
@@ -78,35 +79,69 @@ class Parser:
         signs = sorted(set("".join(samples.values())))
         #: Sign 0 is any code point that no sample has.
         self.code = {ord(c): i + 1 for i, c in enumerate(signs)}
-        roots, tables = [0], []
+        self.width = len(signs) + 1
+        roots, keys, targets = [0], [], []
         for name in self.languages:
             states = automaton(samples[name])
-            table = np.full((len(states), len(signs) + 1), -1, np.int32)
-            for at, moves in enumerate(states):
-                for sign, to in moves.items():
-                    table[at, self.code[ord(sign)]] = roots[-1] + to
-            tables.append(table)
+            fan = np.fromiter(map(len, states), np.int64, len(states))
+            origin = roots[-1] + np.repeat(np.arange(len(states)), fan)
+            sign = np.fromiter((self.code[ord(c)] for moves in states for c in moves), np.int64, len(origin))
+            keys.append(origin * self.width + sign)
+            to = np.fromiter((x for moves in states for x in moves.values()), np.int64, len(origin))
+            targets.append((roots[-1] + to).astype(np.int32))
             roots.append(roots[-1] + len(states))
-        self.roots, self.table = np.array(roots[:-1], np.int32), np.concatenate(tables)
-        self.codes = np.zeros(0x110000, np.uint8 if len(signs) < 255 else np.uint16)
+        self.roots = np.array(roots[:-1], np.int32)
+        self._fill(np.concatenate([np.zeros(0, np.int64), *keys]), np.concatenate([np.zeros(0, np.int32), *targets]))
+        self.codes = np.zeros(0x110000, np.min_scalar_type(self.width))
         for point, code in self.code.items():
             self.codes[point] = code
 
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def _fill(self, keys: np.ndarray, targets: np.ndarray) -> None:
+        """The table, at most half full; a key whose slot is taken lies in the next free one after it."""
+        bits = max(4, int(2 * len(keys)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.targets = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
+        left, at = np.arange(len(keys)), self._slots(keys)
+        while len(left):
+            free = np.flatnonzero(self.keys[at] < 0)
+            self.keys[at[free]] = keys[left[free]]  # of several keys one stays
+            held = self.keys[at] == keys[left]
+            self.targets[at[held]] = targets[left[held]]
+            left, at = left[~held], (at[~held] + 1) & self.last
+
+    def _next(self, state: np.ndarray, sign: np.ndarray) -> np.ndarray:
+        """The state after each state and sign, or -1."""
+        keys = (state.astype(np.int64) * self.width + sign).reshape(-1)
+        at = self._slots(keys)
+        found = self.keys[at]
+        to = self.targets[at]  # -1 in a free slot
+        left = np.flatnonzero((found != keys) & (found >= 0))
+        at = at[left]
+        while len(left):
+            at = (at + 1) & self.last
+            found = self.keys[at]
+            to[left] = self.targets[at]
+            more = (found != keys[left]) & (found >= 0)
+            left, at = left[more], at[more]
+        return to.reshape(np.broadcast(state, sign).shape)
+
     def _phrases(self, lanes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Phrases of each lane in each language. lanes: a row for each place, a column for each lane, longest first."""
         found = np.zeros((len(self.roots), lanes.shape[1]), np.int32)
-        flat, width = self.table.reshape(-1), self.table.shape[1]
         state = np.repeat(self.roots[:, None], lanes.shape[1], axis=1)
         for k in range(int(sizes[0])):
             n = int(np.searchsorted(-sizes, -k))  # lanes longer than k
             sign = lanes[k, :n].astype(np.int64)
-            to = flat[state[:, :n].astype(np.int64) * width + sign]
+            to = self._next(state[:, :n], sign)
             stuck = to < 0
             if stuck.any():
                 language, lane = np.nonzero(stuck)
                 root = self.roots[language]
                 # An open phrase ends before this sign, which opens the next, or is one by itself if the sample lacks it.
-                fresh = flat[root.astype(np.int64) * width + sign[lane]]
+                fresh = self._next(root, sign[lane])
                 found[language, lane] += (state[language, lane] != root).astype(np.int32) + (fresh < 0)
                 to[language, lane] = np.where(fresh < 0, root, fresh)
             state[:, :n] = to

@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -40,6 +41,16 @@ def test_chunks_cover_the_whole_text():
     assert parser.phrases([text, "", "q"]).shape == (3, 2)
 
 
+def test_table_grows_with_the_samples_and_not_with_the_signs_of_all_languages():
+    draw = random.Random(3)
+    samples = {f"l{i}": "".join(chr(0x4E00 + 200 * i + draw.randrange(200)) for _ in range(1000)) for i in range(20)}
+    parser = language.Parser(samples)
+    held = sum(x.nbytes for x in vars(parser).values() if isinstance(x, np.ndarray))
+    assert held - parser.codes.nbytes <= 150 * 20 * 1000
+    assert parser.predict([samples["l7"][300:400], samples["l13"][:50]])[0] == ["l7", "l13"]
+    assert language.SAMPLE_TEXTS * language.SAMPLE_CHARS >= 128 * 256
+
+
 def test_held_out_accuracy(spark):
     rows = [(i, prose("aa" if i % 2 else "bb", 15, i), "aa" if i % 2 else "bb") for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
