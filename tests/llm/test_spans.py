@@ -136,6 +136,21 @@ def test_shares_are_those_of_the_formula(spark):
     assert pairs["email:ann@x.org", "common"] == pytest.approx((math.log2(4 / 64) + content) / content)
 
 
+def test_terms_disclose_from_afar_and_with_one_mention(spark):
+    far = "and so on " * 40
+    rows = [(i, f"common words of text number{i} and so on") for i in range(600)]
+    rows += [(1000, f"Xu of common {far} wrote to xu@x.org")]
+    rows += [(1010 + i, f"Wo{i} met oboist {far} call wo@y.org") for i in range(3)]
+    rows += [(1020, "the oboist alone"), (1030, "山田太郎と common 山 is jo@z.org"), (1031, "また山田 common jo@z.org")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["text"] for r in pii.sanitised(docs).collect()}
+    assert found[1000].startswith("[TERM] of common and so on")  # one mention, two letters, 400 signs away
+    assert found[1010].startswith("Wo0  [TERM] and so on")  # three of three, three of four
+    assert found[1020] == "the [TERM] alone"  # a document without the value
+    assert "山田" not in found[1030] and "山田" not in found[1031]
+    assert found[7] == "common words of text number7 and so on"
+
+
 def test_personal_data_of_odd_rows(spark, docs, empty):
     folder = work_folder(spark, "test")
     assert pii.with_personal_data(empty, folder).count() == 0
