@@ -25,8 +25,11 @@ WORDS = 600_000
 
 
 def worker_encoder(path: str, words: int = WORDS) -> Encoder:
-    """The encoder of this Python worker, which later tasks of the worker find with all it remembers."""
-    return held_by_worker(("encoder", path, words), lambda: Encoder(path, words))
+    """The encoder of this Python worker, which later tasks of the worker find with all it remembers.
+
+    Its ids are those of the library with add_special_tokens=False and nothing else set.
+    """
+    return held_by_worker(("encoder", path, words), lambda: Encoder(path, words, plain=False))
 
 
 def byte_signs() -> list[str]:
@@ -53,19 +56,21 @@ class Encoder:
     A byte-level tokenizer always starts a new pre-token at a space that a visible sign follows, so the ids of a text
     are those of its pieces between spaces, each but the first with its space. A single line end is one pre-token
     and the word after it has no space; a mark after Latin letters ends their pre-token. Each different word is encoded once and remembered (at most ``words`` of them). Words of Latin
-    letters go straight to the library's model; other pieces, texts with other white space after a space, and all
-    texts of tokenizers that are not byte-level, go through the whole tokenizer.
+    letters go straight to the library's model; other pieces, texts with other white space after a space, texts that
+    hold an added token (unless ``plain``, which takes special tokens for plain text), and all texts of tokenizers that
+    are not byte-level, go through the whole tokenizer.
     """
 
-    def __init__(self, path: str, words: int = WORDS):
+    def __init__(self, path: str, words: int = WORDS, plain: bool = True):
         import json
         import os
+        import re
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
         self.model = self.tokenizer.model
         form = json.loads(self.tokenizer.to_str())
         pre = form["pre_tokenizer"] or {}
@@ -75,6 +80,8 @@ class Encoder:
             and pre.get("use_regex", True)
             and not pre.get("add_prefix_space")
         )
+        added = [x["content"] for x in form["added_tokens"] if x["content"] and not (plain and x["special"])]
+        self.unsafe = "|".join([UNSAFE, *map(re.escape, added)])
         # A mark that is more than one id is no mark here.
         alone = {m: self.whole([m])[0] for m in MARKS}
         self.marks = "".join(m for m, ids in alone.items() if len(ids) == 1)
@@ -166,7 +173,7 @@ class Encoder:
         if not n:
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
         if self.by_word:
-            odd = pc.match_substring_regex(texts, UNSAFE).to_numpy(zero_copy_only=False)
+            odd = pc.match_substring_regex(texts, self.unsafe).to_numpy(zero_copy_only=False)
         else:
             odd = np.ones(n, bool)
         lines = pc.replace_substring(pc.if_else(pa.array(odd), "", texts), "\n", " \n")

@@ -55,6 +55,20 @@ def test_encoder_on_drawn_texts(texts):
 ENCODER = Encoder(BPE)
 
 
+def test_added_tokens_in_texts_are_the_library_s(spark):
+    made = Tokenizer.from_file(BPE)
+    texts = [*ODD, "end of one<|endoftext|>start", "<|endoftext|>", "a <|endoftext|>\n b", "<|endoftext", "plain words"]
+    check(Encoder(BPE, plain=False), lambda t: made.encode(t, add_special_tokens=False).ids, texts)
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    folder = f"{work_folder(spark, 'test')}/ids"
+    token_files.write(docs, folder, BPE, 2)
+    plain = lambda t: made.encode(t, add_special_tokens=False).ids
+    found = token_files.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("crc"))
+    assert sorted(tuple(r) for r in found.collect()) == expected_files(rows, plain)
+    packed_right(packing.pack(docs, BPE, 1, 16).collect(), rows, plain, 16)
+
+
 def test_encoder_with_other_tokenizers():
     path = public_tokenizers.path("word_bpe_49k.json")
     made = Tokenizer.from_file(path)
