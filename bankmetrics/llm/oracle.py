@@ -35,6 +35,34 @@ QUERIES = {
             SELECT doc_id, doc_id FROM documents UNION SELECT reached.doc_id, y FROM reached JOIN links ON x = other)
         SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id
         FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id""",
+    "op11_fill_middle": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+            FROM documents),
+        t AS (
+            SELECT doc_id, text,
+                regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tokens,
+                list_transform(range(0, 4), lambda i: CAST('0x' || substr(h, 8 * i + 1, 8) AS BIGINT)) AS h
+            FROM d),
+        f AS (
+            SELECT doc_id, text, tokens, CAST(len(tokens) AS BIGINT) AS n,
+                least(h[1] % (len(tokens) + 1), h[2] % (len(tokens) + 1)) AS a,
+                greatest(h[1] % (len(tokens) + 1), h[2] % (len(tokens) + 1)) AS b,
+                CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                    OR h[3] % 100 >= 50 THEN 'plain' WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+            FROM t),
+        p AS (
+            SELECT doc_id, text, n, form, coalesce(array_to_string(tokens[1:a], ''), '') AS prefix,
+                coalesce(array_to_string(tokens[a + 1:b], ''), '') AS middle,
+                coalesce(array_to_string(tokens[b + 1:], ''), '') AS suffix
+            FROM f)
+        SELECT doc_id, n, form,
+            CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+            sha256(text) AS restored_sha256
+        FROM p""",
 }
 
 

@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankmetrics.llm import jaccard, language, metric_search, packing, pieces, pii, prefix_hash, role_repair, secret_scan, spans, token_files
+from bankmetrics.llm import (
+    fill_middle,
+    jaccard,
+    language,
+    metric_search,
+    packing,
+    pieces,
+    pii,
+    prefix_hash,
+    role_repair,
+    secret_scan,
+    sharding,
+    spans,
+    token_files,
+    variants,
+)
 from bankmetrics.llm.common import work_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -101,6 +116,37 @@ def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Fill-in-middle texts of all documents, told by their hash, and the hash of the text rebuilt from each."""
+    found = fill_middle.with_fill_middle(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("fim", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("fim"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents, some damaged by a rule, with the spelling each is a variant of."""
+    counts = variants.word_counts(table(spark, folder, "documents"), min_chars=6, damage=199)
+    return variants.grouped(counts, min_count=5, ratio=5)
+
+
+def op13_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and slot of all documents; a text goes in as its size and checksum, so texts are read once and don't move."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    docs = table(spark, folder, "documents").select(
+        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
+    )
+    found = sharding.assigned(docs, shards=24, seed=42)
+    unset = F.lit(None).cast("int")
+    return found.select(*docs.columns, F.lit("rows").alias("law"), "shard", "slot", unset.alias("grown_shard"), "row_number")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: q for name, q in sorted(globals().items()) if name.startswith("op") and name[2].isdigit()

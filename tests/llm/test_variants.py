@@ -1,0 +1,140 @@
+"""Spelling variants, against a comparison of all words."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from bankmetrics.llm import variants
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def counted(rows, damage):
+    totals = Counter()
+    for doc_id, text in rows:
+        for run in RUN.findall(text or ""):
+            word = run.translate(UPPER)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+            if damage and h % damage == 0:
+                word = word[: h % len(word)] + word[h % len(word) + 1 :]
+            totals[word] += 1
+    return totals
+
+
+def near(a, b):
+    """Whether one inserted, deleted or replaced sign makes a of b."""
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def plain(counts, min_count=5, ratio=5):
+    words = {w: n for w, n in counts.items() if n >= min_count}
+    around = {w: [v for v in words if near(v, w)] for w in words}
+    best = {w: min(around[w], key=lambda v: (-words[v], v)) for w in words if around[w]}
+    form = {w: v for w, v in best.items() if words[v] >= ratio * words[w]}
+    rows = set()
+    for w, n in words.items():
+        root = w
+        while root in form:
+            root = form[root]
+        rows.add((w, n, form.get(w), root, len(around[w]), words[form[w]] if w in form else None))
+    return rows
+
+
+def found(spark, counts, **options):
+    rows = [(w, n - n // 2) for w, n in counts.items()] + [(w, n // 2) for w, n in counts.items()]
+    table = spark.createDataFrame([*rows, (None, 9)], "word string, n long").withColumns({"id": F.lit(1), "form": F.lit("x")})
+    got = variants.grouped(table.repartition(3), **options)
+    assert got.columns == ["word", "n", "form", "root", "n_near", "form_n"]
+    got = [tuple(r) for r in got.collect()]
+    assert len(got) == len(set(got))
+    return set(got)
+
+
+def family(draw, alphabet, words):
+    """Words of few signs, near each other, with runs of equal signs."""
+    return {"".join(draw.choice(alphabet) for _ in range(draw.randrange(3, 7))): draw.choice((1, 5, 7, 30, 200, 1000, 6000)) for _ in range(words)}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_same_as_comparing_all_words(spark, seed):
+    counts = family(random.Random(seed), ("ab", "abc", "aàÿ")[seed], 250)
+    assert found(spark, counts) == plain(counts)
+    assert found(spark, counts, min_count=1, ratio=2) == plain(counts, 1, 2)
+
+
+def test_runs_ties_chains_and_long_words(spark):
+    long = "x" * 3000 + "yz"
+    counts = {"aaaaaa": 5, "aaaaa": 25, "aaaaaaa": 25, "abaaaa": 125, "abaaab": 625, "abaabb": 3125, "bbaaaa": 25, long: 5, long[1:]: 25}
+    counts |= {long[:-1]: 25, "é" * 6: 5, "é" * 5 + "e": 25, "lonely": 7, "rare": 4}
+    rows = found(spark, counts)
+    assert rows == plain(counts)
+    forms = {r[0]: r[2:4] for r in rows}
+    assert forms["aaaaaa"] == ("abaaaa", "abaabb") and forms[long] == (min(long[1:], long[:-1]),) * 2
+    assert forms["lonely"] == (None, "lonely") and "rare" not in forms
+
+
+def test_a_common_word_with_many_neighbours(spark):
+    draw = random.Random(9)
+    hub = "international"
+    counts = {hub: 100_000}
+    for _ in range(400):
+        at, sign = draw.randrange(len(hub)), draw.choice("abcdefghijklmnopqrstuvwxyz")
+        counts.setdefault(draw.choice((hub[:at] + sign + hub[at:], hub[:at] + sign + hub[at + 1 :], hub[:at] + hub[at + 1 :])), draw.randrange(5, 50))
+    assert found(spark, counts) == plain(counts)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="abA é.×1À", max_size=80))
+def test_pieces_end_between_words(text):
+    lowered = text.encode().translate(variants.LOWER).decode()
+    assert lowered == text.translate(UPPER)
+    before, variants.SCAN_CHARS = variants.SCAN_CHARS, 3
+    try:
+        pieces = list(variants._pieces(lowered))
+    finally:
+        variants.SCAN_CHARS = before
+    assert "".join(pieces) == lowered
+    words = re.compile(f"[{variants.LETTERS}]+")
+    assert [w for p in pieces for w in words.findall(p)] == words.findall(lowered)
+
+
+@pytest.mark.parametrize("damage", [0, 3, 199])
+def test_counts_of_words(spark, docs, rows, damage):
+    given_rows = [(r[0], r[1]) for r in rows] + [(None, "Nobody knows NOBODY"), (5, "wordy " * 7 + "ÀÉÎÕÜŸ straße naïveté")] * 2
+    more = spark.createDataFrame(given_rows[len(rows) :], "doc_id long, text string")
+    table = docs.unionByName(more, allowMissingColumns=True)
+    got = variants.word_counts(table, 6, damage).groupBy("word").agg(F.sum("n")).collect()
+    assert dict(map(tuple, got)) == {w: n for w, n in counted(given_rows, damage).items() if len(w) >= 6}
+
+
+def test_counts_are_handed_on_when_many_words_are_held(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(variants, "HELD_WORDS", 5)
+    got = variants.word_counts(docs, 6, 7).groupBy("word").agg(F.sum("n")).collect()
+    assert dict(map(tuple, got)) == {w: n for w, n in counted([r[:2] for r in rows], 7).items() if len(w) >= 6}
+
+
+def test_nothing_to_group(spark, empty):
+    assert variants.grouped(variants.word_counts(empty)).collect() == []
+    with pytest.raises(ValueError):
+        variants.grouped(variants.word_counts(empty), ratio=1)
+
+
+def test_the_registered_query(spark, star_folder):
+    from bankmetrics.llm import queries
+
+    docs = spark.read.parquet(f"{star_folder}/documents.parquet").select("doc_id", "text").collect()
+    counts = {w: n for w, n in counted([tuple(r) for r in docs], 199).items() if len(w) >= 6}
+    got = queries.op12_spelling_variants(spark, star_folder).collect()
+    assert {tuple(r) for r in got} == plain(counts) and len(got) == sum(n >= 5 for n in counts.values())
