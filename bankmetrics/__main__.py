@@ -13,7 +13,7 @@ from bankmetrics.operators.reshape import one_metric
 from bankmetrics.plans import history, ratios
 from bankmetrics.plans.benchmarks import REPORT_DATE
 from bankmetrics.sinks import files, tables
-from bankmetrics.sources import synthetic
+from bankmetrics.sources import quarantine, synthetic
 from bankmetrics.sources.files import read_financials, read_input, read_staged_metrics
 
 
@@ -52,7 +52,12 @@ def _parser() -> argparse.ArgumentParser:
     industry.add_argument("--copy", help="folder for the CSV copy")
     industry.add_argument("--report-date", default=REPORT_DATE)
     industry.add_argument("--multi-line", action="store_true", help="each file is one document, not one per line")
-    command("run", "compute and store all metrics in one pass")
+    industry.add_argument("--keep-periods", action="store_true", help="keep the benchmarks of other report periods")
+    industry.add_argument("--rejected", help="folder for lines that are not JSON (default: the first one is an error)")
+    run = command("run", "compute and store all metrics in one pass")
+    run.add_argument("--run-id", help="id of the run (default: a new one)")
+    run.add_argument("--again", action="store_true", help="replace a run of that id")
+    run.add_argument("--rejected", help="shared folder for input rows that do not fit (default: their values are NULL)")
     command("report", "latest run against latest benchmarks", data=False)
     return parser
 
@@ -81,6 +86,8 @@ def _check(spark: SparkSession, args) -> None:
         rows = read_input(spark, args.data, name, args.format)
         found(f"{name}_null_keys", checks.null_keys(rows, *columns).where("null_rows > 0"))
         found(f"{name}_duplicate_keys", checks.duplicate_keys(rows, columns[0]))
+        marked = quarantine.read_marked(spark, args.data, name, args.format)
+        found(f"{name}_rejected", quarantine.split(marked, name).rejected)
     assets = read_input(spark, args.data, "assets", args.format)
     found("assets_unmapped_types", checks.unmapped_types(assets, rules.risk_config(spark)))
 
@@ -112,12 +119,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         staged = read_staged_metrics(spark, args.data)
         monthly.store(history.staged_snapshot(staged, run_id, missing=args.missing), run_id, args.database)
     elif args.command == "benchmarks":
-        financials = read_financials(spark, args.json, args.multi_line)
-        monthly.load_benchmarks(financials, args.report_date, args.copy, args.database)
+        if args.rejected:
+            checked = quarantine.read_checked_financials(spark, args.json, args.multi_line)
+            financials = checked.rows
+            checked.rejected.write.mode("overwrite").option("header", True).csv(args.rejected)
+        else:
+            financials = read_financials(spark, args.json, args.multi_line)
+        monthly.load_benchmarks(financials, args.report_date, args.copy, args.database, args.keep_periods)
     elif args.command == "audit":
         tables.append_audit(spark, args.run_id, args.database)
     elif args.command == "run":
-        monthly.run(spark, args.data, args.format, args.database, seed=args.seed)
+        monthly.run(spark, args.data, args.format, args.database, args.run_id, args.seed, args.again, args.rejected)
     else:
         monthly.report(spark, args.database).show(truncate=False)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankmetrics.functions import rules
-from bankmetrics.functions.seeded import draw
+from bankmetrics.functions.seeded import portable_pick
 from bankmetrics.schemas import RATE
 
 
@@ -50,9 +50,9 @@ def hashed_maturity(key: Column, seed: int, span: int = rules.MATURITY_SPAN_DAYS
     """Days to maturity, 0 to span - 1, for liabilities that carry none.
 
     The day follows from the key and the seed, so a recomputed task or a
-    second run gives the same ratio, and a filter on it can be pushed down.
+    second run gives the same ratio, and another engine can check it.
     """
-    return F.floor(draw(seed, "maturity", key) * span).cast("int")
+    return portable_pick(seed, "maturity", key, span)
 
 
 def within_horizon(maturity: Column, days: int = rules.HORIZON_DAYS) -> Column:

@@ -16,6 +16,15 @@ def draw(seed: int, purpose: str, key: Column) -> Column:
     return bits.cast("double") * F.lit(2.0**-53)
 
 
+def portable_pick(seed: int, purpose: str, key: Column, count: int) -> Column:
+    """Uniform INT in 0 to count - 1 from 60 bits of an MD5 hash, which any engine can compute again.
+
+    A NULL key draws like the empty one.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), F.lit(purpose), F.coalesce(key.cast("string"), F.lit("")))
+    return (F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long") % count).cast("int")
+
+
 def uniform_money(seed: int, purpose: str, key: Column, low: int, high: int) -> Column:
     """Uniform amount in [low, high], rounded to cents."""
     return F.round(F.lit(float(low)) + draw(seed, purpose, key) * F.lit(float(high - low)), 2).cast("decimal(18,2)")

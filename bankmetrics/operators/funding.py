@@ -46,6 +46,31 @@ def rolling_ladder(ladder: DataFrame, days: int = rules.HORIZON_DAYS) -> DataFra
     return ladder.withColumn("rolling_30d_outflow", F.sum("projected_outflow").over(ahead))
 
 
+def branch_ladders(rolling: DataFrame) -> DataFrame:
+    """One row per branch of a rolling ladder: a map of its days to rolling outflow, and that of rows without a day.
+
+    A branch has at most one entry per maturity day, 60 with the days of this library.
+    """
+    day, value = F.col("maturity_days"), F.col("rolling_30d_outflow")
+    entries = F.collect_list(F.when(day.isNotNull(), F.struct(day, value)))
+    return rolling.groupBy("branch_id").agg(
+        F.map_from_entries(entries).alias("by_day"), F.max(F.when(day.isNull(), value)).alias("undated")
+    )
+
+
+def with_rolling(liabilities: DataFrame, ladders: DataFrame) -> DataFrame:
+    """``rolling_outflow`` from stored ``branch_ladders``: one read of the liabilities and a join on branch alone.
+
+    A stored table's size is known, so Spark broadcasts it while it is under the session's threshold and the rows do not
+    move. Beyond it both sides are shuffled by branch, and adaptive execution splits a hot branch.
+    """
+    branch = ladders.select(F.col("branch_id").alias("_branch"), "by_day", "undated")
+    joined = with_outflow(liabilities).join(branch, F.col("branch_id").eqNullSafe(F.col("_branch")), "left")
+    day = F.col("maturity_days")
+    rolled = F.when(day.isNull(), F.col("undated")).otherwise(F.try_element_at("by_day", day))
+    return joined.withColumn("rolling_30d_outflow", rolled).drop("_branch", "by_day", "undated")
+
+
 def rolling_outflow(
     liabilities: DataFrame, days: int = rules.HORIZON_DAYS, ladder: DataFrame | None = None
 ) -> DataFrame:

@@ -132,6 +132,38 @@ def liabilities(spark: SparkSession, folder: str, placed: bool = True) -> DataFr
     )
 
 
+def liability_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Liabilities as a text source has them, with amounts and rates that are no numbers, or too large, by order key."""
+    rows = liabilities(spark, folder, placed=False)
+    number = F.col("liability_id").cast("long")
+    return rows.select(
+        "liability_id",
+        "liability_type",
+        F.when(number % 10 == 3, "n/a").when(number % 10 == 4, "").otherwise(F.col("balance").cast("string")).alias("balance"),
+        F.when(number % 7 == 2, "1000.00").otherwise(F.col("outflow_rate").cast("string")).alias("outflow_rate"),
+    )
+
+
+def envelopes(spark: SparkSession, folder: str) -> DataFrame:
+    """Purchases and views as ``line``, a JSON envelope with one institution each; those of views are cut short."""
+    rows = table(spark, folder, "events").where(F.col("event_type").isin("purchase", "view"))
+    props = F.coalesce("props", F.lit('{"j": 0}'))
+
+    def member(name, value):
+        return F.concat(F.lit(f',"{name}":'), F.coalesce(value, F.lit("null")))
+
+    line = F.concat(
+        F.lit('{"data":[{"data":'),
+        F.replace(F.substring(props, F.lit(1), F.length(props) - 1), F.lit('"k"'), F.lit('"EQVWCOR"')),
+        member("REPDTE", F.concat(F.lit('"'), F.date_format("ts", "yyyyMMdd"), F.lit('"'))),
+        member("CERT", F.col("user_id").cast("string")),
+        member("ASSET", F.col("value").cast("decimal(18,2)").cast("string")),
+        F.lit('}},{"data":null},null]}'),
+    )
+    whole = F.col("event_type") == "purchase"
+    return rows.select(F.when(whole, line).otherwise(F.substring(line, F.lit(1), F.length(line) - 2)).alias("line"))
+
+
 def capital(spark: SparkSession, folder: str) -> DataFrame:
     tier = F.when(F.col("c_mktsegment") == "BUILDING", rules.TIER_1).otherwise("Tier 2 Capital")
     return table(spark, folder, "customer").select(

@@ -55,6 +55,33 @@ VIEWS = {
         SELECT strftime(ts, '%Y%m%d') AS report_period, user_id AS cert, value AS asset_size,
                TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS eqvwcor
         FROM events WHERE event_type = 'purchase' AND value >= 10""",
+    "hashed": """
+        SELECT liability_id, balance, outflow_rate, CAST(CAST('0x' || substr(md5(
+            '7|maturity|' || coalesce(liability_id, '')), 1, 15) AS BIGINT) % 60 AS INTEGER) AS maturity_days
+        FROM liabilities""",
+    "liability_text": """
+        SELECT liability_id, liability_type,
+               CASE WHEN CAST(liability_id AS BIGINT) % 10 = 3 THEN 'n/a' WHEN CAST(liability_id AS BIGINT) % 10 = 4 THEN ''
+                    ELSE CAST(balance AS VARCHAR) END AS balance,
+               CASE WHEN CAST(liability_id AS BIGINT) % 7 = 2 THEN '1000.00' ELSE CAST(outflow_rate AS VARCHAR) END
+                    AS outflow_rate
+        FROM liabilities""",
+    "tried": """
+        SELECT *, TRY_CAST(balance AS DECIMAL(18,2)) AS amount, TRY_CAST(outflow_rate AS DECIMAL(5,2)) AS rate,
+               concat_ws(',', liability_id, liability_type, balance, outflow_rate) AS line,
+               concat_ws('; ', CASE WHEN balance IS NOT NULL AND TRY_CAST(balance AS DECIMAL(18,2)) IS NULL
+                       THEN 'balance: ' || balance || ' is no DECIMAL(18,2)' END,
+                   CASE WHEN outflow_rate IS NOT NULL AND TRY_CAST(outflow_rate AS DECIMAL(5,2)) IS NULL
+                       THEN 'outflow_rate: ' || outflow_rate || ' is no DECIMAL(5,2)' END) AS reasons
+        FROM liability_text""",
+    "whole_lines": """
+        SELECT event_type, '{"data":[{"data":' || replace(left(p, length(p) - 1), '"k"', '"EQVWCOR"') || ',"REPDTE":'
+               || coalesce('"' || strftime(ts, '%Y%m%d') || '"', 'null') || ',"CERT":'
+               || coalesce(CAST(user_id AS VARCHAR), 'null') || ',"ASSET":'
+               || coalesce(CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), 'null') || '}},{"data":null},null]}' AS line
+        FROM (SELECT *, coalesce(props, '{"j": 0}') AS p FROM events WHERE event_type IN ('purchase', 'view'))""",
+    "lines": """
+        SELECT CASE event_type WHEN 'purchase' THEN line ELSE left(line, length(line) - 2) END AS line FROM whole_lines""",
     "averages": """
         SELECT report_period, round(CAST(coalesce(avg(eqvwcor), 0.0) AS DECIMAL(18,9)), 2) AS car,
                count(eqvwcor) AS institutions
@@ -135,6 +162,10 @@ VIEWS = {
 NEEDS = {
     "short_config": ["risk_config"],
     "averages": ["financials"],
+    "hashed": ["liabilities"],
+    "liability_text": ["liabilities"],
+    "tried": ["liability_text"],
+    "lines": ["whole_lines"],
     "benchmarks": ["averages"],
     "last_benchmarks": ["benchmarks"],
     "tier1": ["capital"],
@@ -354,6 +385,76 @@ QUERIES = {
         """SELECT asset_type, count(*) AS positions, asset_type LIKE '%Loan%' OR asset_type LIKE '%Mortgage%' AS is_loan
         FROM assets GROUP BY asset_type""",
     ),
+    "screened_duplicate_keys": (
+        [],
+        """SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem
+        GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    ),
+    "limit_violations": (
+        ["assets"],
+        """SELECT asset_id, 'asset_id' AS column_name, asset_id AS value, 'VARCHAR(6) NOT NULL' AS column_limit FROM assets
+        WHERE asset_id IS NULL OR length(asset_id) > 6
+        UNION ALL SELECT asset_id, 'asset_type', asset_type, 'VARCHAR(14)' FROM assets WHERE length(asset_type) > 14
+        UNION ALL SELECT asset_id, 'balance', CAST(balance AS VARCHAR), 'DECIMAL(6,1)' FROM assets
+        WHERE balance IS NOT NULL AND abs(round(balance, 1)) >= 100000
+        UNION ALL SELECT asset_id, 'loan_status', loan_status, 'VARCHAR(10)' FROM assets WHERE length(loan_status) > 10""",
+    ),
+    "rejected_amounts": (
+        ["tried"],
+        "SELECT 'liabilities' AS table_name, line, reasons FROM tried WHERE reasons <> ''",
+    ),
+    "accepted_outflow": (
+        ["tried"],
+        """SELECT liability_type, CAST(sum(amount * rate) AS DOUBLE) AS projected_outflow, count(*) AS rows
+        FROM tried WHERE reasons = '' GROUP BY liability_type""",
+    ),
+    "envelope_averages": (
+        ["lines"],
+        """SELECT report_period, CAST(round(CAST(coalesce(avg(eqvwcor), 0.0) AS DECIMAL(18,9)), 2) AS DOUBLE) AS "CAR",
+               count(eqvwcor) AS institutions
+        FROM (SELECT json_extract_string(line, '$.data[0].data.REPDTE') AS report_period,
+                  TRY_CAST(json_extract_string(line, '$.data[0].data.EQVWCOR') AS DOUBLE) AS eqvwcor,
+                  TRY_CAST(json_extract_string(line, '$.data[0].data.ASSET') AS DOUBLE) AS asset_size
+              FROM lines WHERE json_valid(line))
+        WHERE asset_size >= 10 GROUP BY report_period""",
+    ),
+    "rejected_envelopes": (["lines"], "SELECT line FROM lines WHERE NOT json_valid(line)"),
+    "hashed_maturity_days": (["hashed"], "SELECT liability_id, maturity_days FROM hashed"),
+    "hashed_lcr": (
+        ["bank", "hashed", "assets"],
+        """SELECT CAST(total_hqla AS DOUBLE) AS total_hqla, CAST(net_outflow AS DOUBLE) AS net_outflow,
+               round(CAST(total_hqla AS DOUBLE) / CAST(net_outflow AS DOUBLE) * 100, 6) AS "LCR"
+        FROM bank CROSS JOIN (SELECT sum(balance * outflow_rate) AS net_outflow FROM hashed WHERE maturity_days <= 30)""",
+    ),
+    "stored_rolling_outflow": (
+        ["liabilities"],
+        """SELECT liability_id, branch_id, CAST(balance AS DOUBLE) AS balance, maturity_days,
+               CAST(balance * outflow_rate AS DOUBLE) AS projected_outflow,
+               CAST(sum(balance * outflow_rate) OVER (PARTITION BY branch_id ORDER BY maturity_days
+                   RANGE BETWEEN CURRENT ROW AND 30 FOLLOWING) AS DOUBLE) AS rolling_30d_outflow
+        FROM liabilities""",
+    ),
+    "stored_latest_run": (
+        ["last_run"],
+        "SELECT metric_name, CAST(metric_value AS DOUBLE) AS metric_value FROM last_run",
+    ),
+    "stored_latest_benchmarks": (
+        ["last_benchmarks"],
+        "SELECT metric_name, CAST(industry_average AS DOUBLE) AS industry_average FROM last_benchmarks",
+    ),
+    "stored_comparison": (
+        ["compared"],
+        """SELECT metric_name, CAST(bank_metric AS DOUBLE) AS bank_metric, CAST(benchmark AS DOUBLE) AS benchmark,
+               CAST(bank_metric - benchmark AS DOUBLE) AS delta,
+               CASE WHEN bank_metric > benchmark THEN 'Above Benchmark'
+                    WHEN bank_metric <= benchmark THEN 'Not Above Benchmark' END AS status FROM compared""",
+    ),
+    "stored_history": (
+        ["history"],
+        """SELECT run_id, strftime(computation_date, '%Y-%m-%d') AS computation_date,
+               CAST(metric_value AS DOUBLE) AS metric_value FROM history
+        WHERE metric_name = 'NPL' AND run_id BETWEEN '1996' AND '1999'""",
+    ),
     "staged_metrics": (
         ["current_run"],
         """SELECT 'run-0001' AS run_id, '2024-02-01' AS computation_date, metric_name,

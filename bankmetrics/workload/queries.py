@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bankmetrics.functions import measures, rules
-from bankmetrics.operators import checks, funding, positions, ranking
+from bankmetrics.operators import checks, funding, keys, limits, positions, ranking
 from bankmetrics.operators.reshape import one_metric
-from bankmetrics.plans import benchmarks, history, ratios
+from bankmetrics.plans import benchmarks, history, ratios, reports
 from bankmetrics.sinks import tables
-from bankmetrics.sources import star
+from bankmetrics.sinks.work import kept, work_folder
+from bankmetrics.sources import quarantine, star
 
 # Parameters of the registered queries.
 RATIO_DIGITS = 6
@@ -29,6 +30,14 @@ OBSERVED_DAY = dt.date(2024, 1, 15)
 SNAPSHOT_RUN = "run-0001"
 SNAPSHOT_TIME = dt.datetime(2024, 2, 1, 12)
 UNRULED_TYPE = "Consumer Loan"
+MATURITY_SEED = 7
+RATE_LIMIT = "DECIMAL(5,2)"
+ASSET_LIMITS = {
+    "asset_id": "VARCHAR(6) NOT NULL",
+    "asset_type": "VARCHAR(14)",
+    "balance": "DECIMAL(6,1)",
+    "loan_status": "VARCHAR(10)",
+}
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -323,6 +332,120 @@ def loan_types(spark, folder):
     return types.select("asset_type", "positions", measures.is_loan_type(F.col("asset_type")).alias("is_loan"))
 
 
+@query
+def screened_duplicate_keys(spark, folder):
+    """``duplicate_keys`` by a screen of hashes; it keeps the hashes that repeat."""
+    return keys.screened_duplicate_keys(star.table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber")
+
+
+@query
+def limit_violations(spark, folder):
+    """Values of assets that columns of these limits could not hold."""
+    return limits.over_limits(star.assets(spark, folder, placed=False), ASSET_LIMITS, "asset_id")
+
+
+# Rejected input
+
+
+@query
+def rejected_amounts(spark, folder):
+    """Liabilities as text rows, some with an amount or a rate that is none: those put aside, and why."""
+    raw = star.liability_text(spark, folder)
+    line = F.concat_ws(",", *raw.columns)
+    kinds = {"liability_id": "STRING", "liability_type": "STRING", "balance": "DECIMAL(18,2)", "outflow_rate": RATE_LIMIT}
+    marked = quarantine.typed(raw, kinds, line, F.lit(None).cast("string"), F.lit(False))
+    return quarantine.split(marked, "liabilities").rejected.select("table_name", "line", "reasons")
+
+
+@query
+def accepted_outflow(spark, folder):
+    """Outflow by liability type of the text rows that fit."""
+    raw = star.liability_text(spark, folder)
+    kinds = {"liability_id": "STRING", "liability_type": "STRING", "balance": "DECIMAL(18,2)", "outflow_rate": RATE_LIMIT}
+    marked = quarantine.typed(raw, kinds, F.lit(""), F.lit(""), F.lit(False))
+    rows = funding.with_outflow(quarantine.split(marked, "liabilities").rows)
+    return rows.groupBy("liability_type").agg(F.sum("projected_outflow").alias("projected_outflow"), F.count("*").alias("rows"))
+
+
+@query
+def envelope_averages(spark, folder):
+    """Benchmark averages from JSON envelopes, one a line, some of which are cut short."""
+    entries = quarantine.institutions(quarantine.opened(star.envelopes(spark, folder)))
+    return benchmarks.average_by_period(benchmarks.observations(entries, None, MIN_OBSERVED_ASSETS))
+
+
+@query
+def rejected_envelopes(spark, folder):
+    """The lines that are not JSON."""
+    found = quarantine.opened(star.envelopes(spark, folder))
+    return found.where(F.col("corrupt").isNotNull()).select(F.col("corrupt").alias("line"))
+
+
+# Maturity by a hash
+
+
+@query
+def hashed_maturity_days(spark, folder):
+    rows = star.liabilities(spark, folder, placed=False).drop("maturity_days")
+    return funding.with_maturity(rows, MATURITY_SEED).select("liability_id", "maturity_days")
+
+
+@query
+def hashed_lcr(spark, folder):
+    """LCR of liabilities that carry no maturity of their own."""
+    rows = star.liabilities(spark, folder, placed=False).drop("maturity_days")
+    return _rounded(ratios.lcr(star.assets(spark, folder, placed=False), funding.with_maturity(rows, MATURITY_SEED)), "LCR")
+
+
+# Stored tables
+
+
+@query
+def stored_rolling_outflow(spark, folder):
+    """``rolling_outflow`` from a stored ladder, joined on branch alone."""
+    rows = star.liabilities(spark, folder)
+    rolling = funding.rolling_ladder(funding.outflow_ladder(rows))
+    ladders = kept(funding.branch_ladders(rolling), work_folder(spark, "ladder"), "ladders")
+    names = ("liability_id", "branch_id", "balance", "maturity_days", "projected_outflow", "rolling_30d_outflow")
+    return funding.with_rolling(rows, ladders).select(*names)
+
+
+def _stored(spark, folder):
+    place = work_folder(spark, "reports")
+    return {
+        "metrics": reports.stored_runs(history.run_metrics(_runs(spark, folder)), place),
+        "benchmarks": reports.stored_benchmarks(_benchmarks(_observed(spark, folder)), place),
+    }
+
+
+@query
+def stored_latest_run(spark, folder):
+    """The newest run by SQL over a stored table of a partition for each run."""
+    return reports.report(spark, "latest_run", **_stored(spark, folder))
+
+
+@query
+def stored_latest_benchmarks(spark, folder):
+    return reports.report(spark, "latest_benchmarks", **_stored(spark, folder))
+
+
+@query
+def stored_comparison(spark, folder):
+    return reports.report(spark, "comparison", **_stored(spark, folder))
+
+
+@query
+def stored_history(spark, folder):
+    """One metric over a range of runs, by SQL with parameters."""
+    parameters = {"metric": "NPL", "first": "1996", "last": "1999"}
+    return reports.report(spark, "history", parameters, **_stored(spark, folder))
+
+
+#: Queries that keep a table of their own in the shared folder, and so run jobs while they are built.
+STORING = ("screened_duplicate_keys", "stored_rolling_outflow", "stored_latest_run", "stored_latest_benchmarks")
+STORING += ("stored_comparison", "stored_history")
+
+
 # Storing a run
 
 

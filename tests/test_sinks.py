@@ -92,6 +92,73 @@ def test_benchmarks_are_replaced(spark, database):
     assert spark.sql(f"SHOW TABLES IN {database}").count() == 3
 
 
+def test_a_rerun_replaces_its_run_alone(spark, database):
+    for run_id in ("r1", "r2"):
+        monthly.store(snapshot(spark, run_id), run_id, database)
+    files_of = lambda run_id: {
+        r[0] for r in spark.table(f"{database}.regulatory_metrics").where(F.col("run_id") == run_id).select("_metadata.file_path").collect()
+    }
+    untouched = files_of("r1")
+    monthly.store(snapshot(spark, "r2", car=9.0, npl=None), "r2", database, again=True)
+    rows = spark.table(f"{database}.regulatory_metrics").collect()
+    assert {(r.run_id, r.metric_name, r.metric_value) for r in rows} == {
+        ("r1", "CAR", D(1)), ("r1", "LCR", D(2)), ("r1", "NPL", D(3)), ("r2", "CAR", D(9)), ("r2", "LCR", D(2)),
+    }
+    assert files_of("r1") == untouched
+    audit = spark.table(f"{database}.audit_log").where("run_id = 'r2'").collect()
+    assert {(r.status, r.message) for r in audit} == {
+        ("SUCCESS", "Loaded CAR:1.0000, LCR:2.0000, NPL:3.0000"), ("FAILED", "Missing NPL"),
+    }
+    # A first run by the same way.
+    tables.replace_metrics(snapshot(spark, "r3"), database)
+    assert spark.table(f"{database}.regulatory_metrics").count() == 8
+
+
+def test_a_failed_rerun_leaves_the_old_rows(spark, database):
+    tables.append_metrics(snapshot(spark, "r1"), database)
+    mode = spark.conf.get(tables.OVERWRITE_MODE)
+    lost = snapshot(spark, "r1", car=5.0).withColumn("metric_value", F.raise_error(F.lit("lost")).cast("decimal(10,4)"))
+    with pytest.raises(PySparkException):
+        tables.replace_metrics(lost, database)
+    with pytest.raises(tables.DuplicateKey):
+        tables.replace_metrics(snapshot(spark, "r1").unionAll(snapshot(spark, "r1")), database)
+    with pytest.raises(tables.ColumnLimit):
+        tables.replace_metrics(snapshot(spark, "r1").withColumn("metric_value", F.lit(10**7)), database)
+    with pytest.raises(tables.EmptyRun):
+        tables.replace_metrics(snapshot(spark, "r1", None, None, None), database)
+    rows = spark.table(f"{database}.regulatory_metrics").collect()
+    assert {(r.metric_name, r.metric_value) for r in rows} == {("CAR", D(1)), ("LCR", D(2)), ("NPL", D(3))}
+    assert spark.conf.get(tables.OVERWRITE_MODE) == mode and spark.sql(f"SHOW TABLES IN {database}").count() == 3
+
+
+def test_all_values_over_a_limit_are_named(spark, database):
+    rows = snapshot(spark, "x" * 51).withColumn("metric_value", F.when(F.col("metric_name") == "NPL", 1e9).otherwise(1.0))
+    with pytest.raises(tables.ColumnLimit) as error:
+        tables.append_metrics(rows, database)
+    assert str(error.value).count("over VARCHAR(50)") == 3 and str(error.value).count("over DECIMAL(10,4)") == 1
+    assert spark.table(f"{database}.regulatory_metrics").count() == 0
+
+
+def test_a_period_of_benchmarks_is_replaced_and_old_folders_go(spark, database, tmp_path):
+    def rows(period, *values):
+        return spark.createDataFrame([(period, m, D(v), NOW) for m, v in zip(rules.METRICS, values)], BENCHMARK_ROWS)
+
+    folders = lambda: [p.name for p in (tmp_path / database).iterdir() if p.name.startswith("fdic_benchmarks-")]
+    for i in range(4):
+        tables.replace_benchmarks(rows("20230930", i, i, i), database)
+    assert len(folders()) == 2  # the one in use, and the one before for who still reads it
+    tables.replace_benchmarks(rows("20231231", 7, 8), database, other_periods=True)
+    tables.replace_benchmarks(rows("20231231", 9), database, other_periods=True)
+    stored = spark.table(f"{database}.fdic_benchmarks").collect()
+    assert {(r.report_period, r.metric_name, r.industry_average) for r in stored} == {
+        ("20230930", "CAR", D(3)), ("20230930", "LCR", D(3)), ("20230930", "NPL", D(3)), ("20231231", "CAR", D(9)),
+    }
+    before = folders()
+    with pytest.raises(tables.ColumnLimit):
+        tables.replace_benchmarks(rows("9" * 21, 1), database, other_periods=True)
+    assert folders() == before and spark.table(f"{database}.fdic_benchmarks").count() == 4
+
+
 def test_monthly_run_equals_the_staged_path(spark, database, tmp_path):
     data = str(tmp_path / "data")
     common = ["--data", data, "--database", database]
