@@ -77,15 +77,19 @@ def apart(spans: Column, others: Column) -> Column:
     )
 
 
-def replaced(text: Column, spans: Column, by: dict[str, str]) -> Column:
-    """The text with each span, in order, replaced by what ``by`` has for its kind.
+def replaced(text: Column, spans: Column, by: dict[str, str], own: dict | None = None) -> Column:
+    """The text with each span, in order, replaced by what ``by`` has for its kind, or ``own``, from the span itself.
 
     A span that starts within one replaced before it goes with that one.
     """
     marks = F.create_map(*(x for k, v in by.items() for x in (F.lit(k), F.lit(v))))
 
+    def mark(s: Column) -> Column:
+        plain = F.try_element_at(marks, s["kind"])
+        return F.coalesce(*(F.when(s["kind"] == k, f(s)) for k, f in (own or {}).items()), plain)
+
     def add(state: Column, s: Column) -> Column:
-        whole = F.concat(state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), marks[s["kind"]])
+        whole = F.concat(state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), mark(s))
         return (
             F.when(s["start"] >= state["at"], F.struct(s["end"].alias("at"), whole.alias("out")))
             .when(s["end"] > state["at"], F.struct(s["end"].alias("at"), state["out"].alias("out")))
