@@ -113,20 +113,21 @@ WORD = re.compile(r"[^\W\d_]+")
 
 
 def values(text):
-    """(entity, class) of the base spans of a text, and the text with blanks in their place."""
-    found, blanked = set(), text
+    """(entity, class) of the base spans of a text with what is around each, and the text with blanks in their place."""
+    found, blanked = {}, text
     for span in filter(None, personal(text).split(",")):
         kind, a, b = span.split(":")
         value = text[int(a) : int(b)]
         digits = re.sub("[^0-9]", "", value)
         name = digits if kind in ("card", "phone") else value.lower()
         general = {
-            "email": "@" + value.lower().rsplit("@", 1)[1] if kind == "email" else "",
+            "email": f"{value[0].lower()}*@{value.lower().rsplit('@', 1)[1]}" if kind == "email" else "",
             "ip": ".".join(value.split(".")[:2]),
             "card": digits[:6],
-            "phone": "+" + digits[:3],
+            "phone": "+" + digits[:4],
         }[kind]
-        found.add((f"{kind}:{name}", f"{kind.upper()} {general}"))
+        around = (text[max(int(a) - 32, 0) : int(a)], text[int(b) : int(b) + 32])
+        found.setdefault((f"{kind}:{name}", f"{kind.upper()} {general}"), around)
         blanked = blanked[: int(a)] + " " * (int(b) - int(a)) + blanked[int(b) :]
     return found, blanked
 
@@ -140,19 +141,21 @@ def disclosed(rows, alpha=pii.ALPHA):
     n_entity = Counter(e for found, _ in texts.values() for e in found)
     n_class = Counter(c for found, _ in texts.values() for c in {c for _, c in found})
     n_term = Counter(w for _, _, words in parsed for w in words)
-    together, both = Counter(), Counter()
+    together, both, contexts = Counter(), Counter(), {}
+    around = {e: {f[e] for f, _ in texts.values() if e in f} for e in n_entity}
     for text, (found, words) in texts.items():
         for e in found:
             for w in words:
                 together[e, w] += 1
                 both[e, w] += copies[text]
+                contexts.setdefault((e, w), set()).add(found[e])
     bound = math.log(max(sum(len(f) * len(w) for f, w in texts.values()), 1) / alpha)
     out = {}
     for (e, w), k in together.items():
         among = n_term[w] - both[e, w] + k
-        mean = n_entity[e] * among / len(rows)
-        tail = math.lgamma(k + 1) - k * math.log(mean) + mean + math.log(1 - mean / (k + 1)) if k > mean else 0
-        sure = k > mean and tail >= bound + 1 / (12 * k)  # Stirling's formula is that near
+        c, mean = len(contexts[e, w]), len(around[e]) * among / len(rows)
+        tail = math.lgamma(c + 1) - c * math.log(mean) + mean + math.log(1 - mean / (c + 1)) if c > mean else 0
+        sure = c > mean and tail >= bound + 1 / (12 * c)  # Stirling's formula is that near
         if sure and k * n_class[e[1]] >= n_entity[e] * among:
             mark = (k >= among, n_class[e[1]], e[1], "removed" if k >= among else "general")
             out[w] = max(out.get(w, mark), mark)
@@ -222,18 +225,27 @@ def test_candidates_may_be_too_many_to_broadcast(spark):
 def test_terms_disclose_from_afar_and_in_scripts_without_spaces(spark):
     far = "and so on " * 40
     rows = [(i, f"common words of text number{i} and so on") for i in range(900)]
-    rows += [(1010 + i, f"met oboist{i} Oboist {far} call wo@y.org") for i in range(6)]
+    rows += [(1010 + i, f"met oboist{i} Oboist {far} call number{i} wo@y.org") for i in range(6)]
     rows += [(1020, "the oboist alone"), (1040, "Xu of common wrote to xu@x.org")]
-    rows += [(1030 + i, f"また{i}山田太郎と common 山 is jo@z.org") for i in range(6)]
+    rows += [(1030 + i, f"また{i}山田太郎と common 山 is number{i} jo@z.org") for i in range(6)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r["doc_id"]: r["text"] for r in pii.sanitised(docs).collect()}
-    assert found[1010].startswith("met oboist0  and so on") or found[1010].startswith(" oboist0")
-    assert found[1020] in ("the oboist alone", "the  alone", "the [EMAIL @y.org] alone")
+    # "met" and "call" stand with the value alone, 400 signs apart; "oboist" stands without it once, and its class is no wider.
+    assert found[1010].startswith(" oboist0 Oboist and so on") and found[1010].endswith("and so on   number0 [EMAIL]")
+    assert found[1020] == "the oboist alone"
     assert "山田" not in found[1030] and "太郎" not in found[1031]
     assert found[1040] == "Xu of common wrote to [EMAIL]"  # one text: what stands in it may be chance
     assert found[7] == "common words of text number7 and so on"
 
 
+def test_a_passage_that_many_texts_share_is_one_context(spark):
+    passage = "a long passage of some words that stands in many texts, signed Ann Zweig, ann@x.org, as it was at first"
+    rows = [(i, f"common words of text number{i} and so on") for i in range(900)]
+    rows += [(1000 + i, f"text{i} before it {passage} and after it more{i}") for i in range(40)]
+    found = {r["doc_id"]: r["text"] for r in pii.sanitised(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(found[i] == text.replace("ann@x.org", "[EMAIL]") for i, text in rows)
+
+
 def test_one_mention_is_evidence_where_few_pairs_stand_in_many_texts():
     assert pii.least_support(500, 30) == 2 and pii.least_support(10**6, 30) == 1
     assert pii.least_support(0, 0) == 1 and pii.least_support(3, 10) == 3
