@@ -3,6 +3,10 @@
 Training keeps, for each language, the suffix automaton of a bounded sample of its labelled text. A text is parsed from
 left to right into the longest phrases that occur in the sample: one walk through the automaton until no transition
 fits, then anew from its start. Phrases per character estimate the cross-entropy; the language with fewest wins.
+
+Texts are walked through in chunks side by side, each from the automaton's start, and then mended: the phrase that is open
+where a chunk ends goes on into the next, until a phrase of the true parse starts where one of the chunk's own does. From
+there both are the same, so the phrases are those of one walk through the whole text.
 """
 
 from __future__ import annotations
@@ -13,30 +17,30 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankmetrics.llm.common import held_by_worker, slices
+from bankmetrics.llm.common import forget, held_by_worker, kept, slices, work_folder
 
 #: Bound of the sample: texts of a language, and code points taken of each.
 SAMPLE_TEXTS = 128
 SAMPLE_CHARS = 256
 
-#: Languages that may be learned; more is an error, as all automata are held at once.
+#: Languages whose automata a worker holds at once; more take several passes over the texts.
 LANGUAGES = 200
 
-#: Code points that are parsed in one go. Longer texts are parsed in several and their phrases added up.
+#: Code points of a text that are walked through in one go; the phrases do not depend on it.
 CHUNK = 256
 
-#: Parses that run side by side in a task.
-LANES = 1 << 13
+#: Parses, of a chunk in a language, that run side by side in a task.
+LANES = 1 << 15
 
 UNKNOWN = "und"
 
-#: Phrases per character beyond which a text of LEAST_CHARS code points or more is in no learned language. Prose needs
-#: under 0.3, random letters 0.57, random digits and letters more.
-MOST_PHRASES = 0.7
-LEAST_CHARS = 200
+#: A text is in no learned language beyond so many times the spread of labelled texts that were not learned from.
+REACH = 4.0
+#: The spread is the excess over the median that so large a share of those texts stays under.
+SPREAD_SHARE = 0.99
 
 
 def automaton(text: str) -> list[dict[str, int]]:
@@ -128,24 +132,59 @@ class Parser:
             left, at = left[more], at[more]
         return to.reshape(np.broadcast(state, sign).shape)
 
-    def _phrases(self, lanes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Phrases of each lane in each language. lanes: a row for each place, a column for each lane, longest first."""
-        found = np.zeros((len(self.roots), lanes.shape[1]), np.int32)
-        state = np.repeat(self.roots[:, None], lanes.shape[1], axis=1)
-        for k in range(int(sizes[0])):
-            n = int(np.searchsorted(-sizes, -k))  # lanes longer than k
-            sign = lanes[k, :n].astype(np.int64)
-            to = self._next(state[:, :n], sign)
-            stuck = to < 0
-            if stuck.any():
-                language, lane = np.nonzero(stuck)
-                root = self.roots[language]
-                # An open phrase ends before this sign, which opens the next, or is one by itself if the sample lacks it.
-                fresh = self._next(root, sign[lane])
-                found[language, lane] += (state[language, lane] != root).astype(np.int32) + (fresh < 0)
-                to[language, lane] = np.where(fresh < 0, root, fresh)
-            state[:, :n] = to
-        return found + (state != self.roots[:, None])
+    def _step(self, state: np.ndarray, sign: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after the signs, and whether a phrase starts with each.
+
+        A sign that fits no transition ends the open phrase and opens the next, or is one by itself if the sample lacks it.
+        """
+        to = self._next(state, sign)
+        starts = (state == root) | (to < 0)
+        stuck = np.nonzero(to < 0)
+        if len(stuck[0]):
+            at = np.broadcast_to(root, to.shape)[stuck]
+            fresh = self._next(at, np.broadcast_to(sign, to.shape)[stuck])
+            to[stuck] = np.where(fresh < 0, at, fresh)
+        return to, starts
+
+    def _walked(self, signs: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each chunk (begin, size in signs) walked through from the start: starts by place, phrases, last states.
+
+        The latter two have a row for each language and a column for each chunk.
+        """
+        order = np.argsort(-size, kind="stable")
+        longest, root = int(size[order[0]]), self.roots[:, None]
+        starts = np.zeros((longest, len(self.roots), len(size)), bool)
+        state = np.repeat(root, len(size), axis=1)
+        for k in range(longest):
+            n = int(np.searchsorted(-size[order], -k))  # chunks longer than k
+            state[:, :n], starts[k, :, :n] = self._step(state[:, :n], signs[begin[order[:n]] + k].astype(np.int64), root)
+        back = np.argsort(order, kind="stable")
+        return starts[:, :, back], starts.sum(axis=0, dtype=np.int64)[:, back], state[:, back]
+
+    def _carry(self, signs, begin, size, starts, own_last, found, chunk, entry) -> np.ndarray:
+        """Goes on with the phrases open before the chunks of ``chunk`` (states ``entry``, by language and chunk).
+
+        Counts in ``found`` become the true ones. Returns the chunks' true last states: their own, but where a phrase of the
+        true parse never starts with one of the chunk's own.
+        """
+        language, at = np.nonzero(np.ones(entry.shape, bool))
+        state, lane = entry[language, at], chunk[at]
+        found[:, chunk] = starts[:, :, chunk].sum(axis=0)
+        last, k = own_last[:, chunk], 0
+        while len(lane):
+            ends = size[lane] == k
+            if ends.any():
+                last[language[ends], at[ends]] = state[ends]
+                language, at, lane, state = (x[~ends] for x in (language, at, lane, state))
+                if not len(lane):
+                    break
+            to, opens = self._step(state, signs[begin[lane] + k].astype(np.int64), self.roots[language])
+            own = starts[k, language, lane]
+            np.add.at(found, (language, lane), opens.astype(np.int64) - own)
+            on = ~(opens & own)
+            language, at, lane, state = (x[on] for x in (language, at, lane, to))
+            k += 1
+        return last
 
     def phrases(self, texts: list[str]) -> np.ndarray:
         """Phrases of each text (row) in each language (column)."""
@@ -158,27 +197,39 @@ class Parser:
         begin = np.repeat(np.cumsum(sizes) - sizes, chunks) + within
         length = np.minimum(CHUNK, sizes[owner] - within)
         out = np.zeros((len(texts), len(self.languages)), np.int64)
-        for a in range(0, len(owner), LANES):
-            part = a + np.argsort(-length[a : a + LANES], kind="stable")
-            place = np.minimum(begin[part].astype(np.int32)[None, :] + np.arange(CHUNK, dtype=np.int32)[:, None], len(signs) - 1)
-            found = self._phrases(signs[place], length[part])
-            np.add.at(out, owner[part], found.T)
+        lanes = max(1, LANES // max(len(self.languages), 1))
+        before = None  # the true state at the end of the last chunk of the lanes before
+        for a in range(0, len(owner), lanes):
+            part = slice(a, a + lanes)
+            size, own, first = length[part], owner[part], within[part] == 0
+            starts, found, own_last = self._walked(signs, begin[part], size)
+            last, entry = own_last.copy(), np.roll(own_last, 1, axis=1)
+            if before is not None:
+                entry[:, 0] = before
+            chunk = np.flatnonzero(~first)
+            while len(chunk):
+                mended = self._carry(signs, begin[part], size, starts, own_last, found, chunk, entry[:, chunk])
+                # Chunks after one that ends otherwise than it did are mended again.
+                after = chunk[(mended != last[:, chunk]).any(axis=0)] + 1
+                last[:, chunk] = mended
+                chunk = after[after < len(size)]
+                chunk = chunk[~first[chunk]]
+                entry[:, chunk] = last[:, chunk - 1]
+            before = last[:, -1]
+            np.add.at(out, own, found.T)
         return out
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Language, score and phrases per character of each text; ties go to the language first in the alphabet.
+    def judge(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, weight and phrases per character of each text; ties go to the language first in the alphabet.
 
         A phrase costs about the bits that name its place in the sample, which makes phrase counts code lengths and
-        their differences likelihoods. The score is the language's share of them, each character weighing the less
-        the longer the text, as the characters of a text are not independent of each other.
+        their differences likelihoods. The weight is the sum of all languages' likelihoods in units of the best one's,
+        each character weighing the less the longer the text, as the characters of a text are not independent.
         """
-        counts = self.phrases(texts).astype(np.float64)
-        rate = counts / np.maximum(np.array([[len(x)] for x in texts], float).reshape(-1, 1), 1)
-        best = rate.argmin(axis=1) if len(self.languages) else np.zeros(len(texts), int)
-        weight = np.sqrt(np.array([len(x) for x in texts], float))[:, None] * 8
-        share = np.exp(-(rate - rate.min(axis=1, keepdims=True)) * weight)
-        score = share.max(axis=1) / share.sum(axis=1)
-        return [self.languages[i] for i in best], score, rate.min(axis=1)
+        size = np.array([len(x) for x in texts], float).reshape(-1, 1)
+        rate = self.phrases(texts) / np.maximum(size, 1)
+        weight = np.exp(-(rate - rate.min(axis=1, keepdims=True)) * np.sqrt(size) * 8).sum(axis=1)
+        return [self.languages[i] for i in rate.argmin(axis=1)], weight, rate.min(axis=1)
 
 
 def sample(labelled: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> dict[str, str]:
@@ -199,55 +250,113 @@ def sample(labelled: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_C
     found: dict[str, list[str]] = {}
     for r in taken.distinct().orderBy("lang", "mark", "text").collect():
         found.setdefault(r["lang"], []).append(r["text"])
-    if len(found) > LANGUAGES:
-        raise ValueError(f"{len(found)} languages; at most {LANGUAGES} are held at once")
     return {k: "".join(x + "\0" for x in v) for k, v in found.items()}
 
 
-def with_language(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
-    """Adds lang_pred, lang_score and lang_rate to docs, whose other columns stay (columns of these names are replaced).
-
-    ``und``, score 0 and rate 0: null text, text without a letter, or nothing learned. lang_rate is the number of phrases
-    per character in the language predicted. Each row is judged by its text alone.
-    """
-    if not samples:
-        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "lang_score": F.lit(0.0), "lang_rate": F.lit(0.0)})
-    spark = docs.sparkSession
+def _judge(spark: SparkSession, samples: dict[str, str]):
+    """A function of text columns: struct<lang, weight, rate> by the languages of ``samples``."""
     shared = spark.sparkContext.broadcast(samples)
     key = "parser", zlib.crc32(repr(sorted(samples.items())).encode())
 
     def judged(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         parser = held_by_worker(key, lambda: Parser(shared.value))
         for part in parts:
-            names, scores, rates = [], [], []
+            names, weights, rates = [], [], []
             batch = pa.RecordBatch.from_arrays([pa.array(part)], ["text"])
             for piece in slices(iter([batch]), "text"):
-                a, b, c = parser.predict([x.lower() for x in piece.column("text").to_pylist()])
-                names, scores, rates = names + a, scores + b.tolist(), rates + c.tolist()
-            columns = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())]
-            yield pa.StructArray.from_arrays(columns, ["lang", "score", "rate"])
+                a, b, c = parser.judge([x.lower() for x in piece.column("text").to_pylist()])
+                names, weights, rates = names + a, weights + b.tolist(), rates + c.tolist()
+            columns = [pa.array(names, pa.string()), pa.array(weights, pa.float64()), pa.array(rates, pa.float64())]
+            yield pa.StructArray.from_arrays(columns, ["lang", "weight", "rate"])
+
+    return F.arrow_udf(judged, "lang string, weight double, rate double")
+
+
+def with_language(docs: DataFrame, samples: dict[str, str], held: int = LANGUAGES) -> DataFrame:
+    """Adds lang_pred, lang_score and lang_rate to docs, whose other columns stay (columns of these names are replaced).
 
-    judge = F.arrow_udf(judged, "lang string, score double, rate double")
+    ``und``, score 0 and rate 0: null text, text without a letter, or nothing learned. lang_rate is the number of phrases
+    per character in the language predicted, lang_score its share of all languages' likelihoods. Each row is judged by its
+    text alone. With more than ``held`` languages the rows are kept in the shared folder between passes of so many each.
+    """
+    names = [c for c in docs.columns if c not in ("lang_pred", "lang_score", "lang_rate")]
+    row = [F.col(f"row.`{c}`").alias(c) for c in names]
     text = F.col("text").cast("string")
     known: Column = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
-    found = docs.withColumn("_judged", judge(F.when(known, text).otherwise(F.lit(""))))
-    return found.withColumns(
-        {
-            "lang_pred": F.when(known, F.col("_judged.lang")).otherwise(UNKNOWN),
-            "lang_score": F.when(known, F.col("_judged.score")).otherwise(0.0),
-            "lang_rate": F.when(known, F.col("_judged.rate")).otherwise(0.0),
-        }
-    ).drop("_judged")
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.when(known, text).otherwise(F.lit("")).alias("text"), known.alias("known")
+    )
+    spark, languages, judged = docs.sparkSession, sorted(samples), []
+    groups = [languages[i : i + held] for i in range(0, len(languages), held)]
+    folder = work_folder(spark, "language") if len(groups) > 1 else ""
+    for i, group in enumerate(groups):
+        if i:
+            rows = kept(rows, folder, f"pass-{i}")
+            if i > 1:
+                forget(spark, folder, f"pass-{i - 1}")
+        judge = _judge(spark, {k: samples[k] for k in group})
+        rows = rows.withColumn(f"judged{i}", judge(F.col("text")))
+        judged.append(F.col(f"judged{i}"))
+    if not judged:
+        return rows.select(*row, F.lit(UNKNOWN).alias("lang_pred"), *(F.lit(0.0).alias(c) for c in ("lang_score", "lang_rate")))
+    best = F.least(*(F.struct(j["rate"], j["lang"]) for j in judged)) if len(judged) > 1 else F.struct(judged[0]["rate"], judged[0]["lang"])
+    rows = rows.withColumn("best", best)
+    scale = F.sqrt(F.length(F.lower("text")).cast("double")) * 8
+    total = sum((j["weight"] * F.exp((F.col("best.rate") - j["rate"]) * scale) for j in judged), F.lit(0.0))
+    return rows.select(
+        *row,
+        F.when(F.col("known"), F.col("best.lang")).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(F.col("known"), 1 / total).otherwise(0.0).alias("lang_score"),
+        F.when(F.col("known"), F.col("best.rate")).otherwise(0.0).alias("lang_rate"),
+    )
+
 
+def spreads(judged: DataFrame, share: float = SPREAD_SHARE) -> DataFrame:
+    """language, median, even and by_root of rows (lang, lang_pred, lang_rate, size) with labels that were not learned from.
+
+    For each predicted language: the median rate, and the excess over it that ``share`` of the rows stays under, as it is
+    and times the root of the text's size, for what evens out along a text. Rows whose label is another language take no
+    part, nor do null ones. A language of -null- is all of them together, for those without labelled rows left.
+    """
+    rows = judged.where((F.col("lang") == F.col("lang_pred")) & (F.col("size") > 0))
+    rows = rows.select(F.explode(F.array("lang_pred", F.lit(None).cast("string"))).alias("language"), "lang_rate", "size")
+    median = rows.groupBy("language").agg(F.percentile_approx("lang_rate", F.lit(0.5), F.lit(1000)).alias("median"))
+    same = F.col("language").eqNullSafe(F.col("of"))
+    # One row for each language.
+    over = rows.join(F.broadcast(median.withColumnRenamed("language", "of")), same).drop("of")
+    over = over.withColumn("over", F.col("lang_rate") - F.col("median"))
+    at = F.lit(share), F.lit(1000)
+    return over.groupBy("language", "median").agg(
+        F.percentile_approx("over", *at).alias("even"), F.percentile_approx(F.col("over") * F.sqrt("size"), *at).alias("by_root")
+    )
 
-def accepted(docs: DataFrame, samples: dict[str, str], most: float = MOST_PHRASES, least: int = LEAST_CHARS) -> DataFrame:
-    """The rows of docs, all columns as they are, whose text is in one of the learned languages.
 
-    Rows go whose prediction is ``und``, and texts of at least ``least`` code points that need more than ``most`` phrases
-    per character, as random strings do in every language. Without samples only texts without a letter go.
+def accepted(docs: DataFrame, label: str = "lang", reach: float = REACH, held: int = LANGUAGES) -> DataFrame:
+    """The rows of docs, all columns as they are, whose text is in one of the languages learned from ``label``.
+
+    Rows go whose text is null or without a letter, and those that need more phrases than labelled texts of the language
+    predicted do: over its median by ``reach`` times the spread, which is the wider the shorter the text. Languages are
+    learned from one half of the labelled texts, by a hash of the text, and spreads come from the other, so copies of a
+    text are in one half. A language without texts in the other half has the spread of all; without any, only texts
+    without a letter go. Rows are judged one by one, so ties and repeated rows don't matter; an empty table stays empty.
     """
-    row = docs.select(F.col("text").cast("string").alias("text"), F.struct("*").alias("_row"))
-    judged = with_language(row, samples)
-    strange = (F.length("text") >= least) & (F.col("lang_rate") > most)
-    known = (F.col("lang_pred") != UNKNOWN) if samples else F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return judged.where(known & ~strange).select(*(F.col(f"_row.`{c}`").alias(c) for c in docs.columns))
+    text = F.col("text").cast("string")
+    half = F.shiftrightunsigned(F.xxhash64(text), 63)
+    rows = docs.select(
+        F.struct("*").alias("row"), text.alias("text"), F.col(f"`{label}`").cast("string").alias("lang"), half.alias("half")
+    )
+    samples = sample(rows.where("half = 0").select("text", "lang"))
+    judged = with_language(rows, samples, held).withColumn("size", F.length("text"))
+    folder = work_folder(docs.sparkSession, "accepted")
+    judged = kept(judged.drop("text"), folder, "judged")
+    found = kept(spreads(judged.where("half = 1")), folder, "spreads")
+    # One row for each learned language.
+    spread = F.broadcast(found.withColumnsRenamed({c: f"own_{c}" for c in found.columns}))
+    overall = {r["language"]: r for r in found.where("language is null").collect()}.get(None)
+    joined = judged.join(spread, F.col("lang_pred") == F.col("own_language"), "left")
+    own = lambda c: F.coalesce(F.col(f"own_{c}"), F.lit(overall[c] if overall else None).cast("double"))
+    most = own("median") + F.greatest(own("even"), own("by_root") / F.sqrt("size"), F.lit(0.0)) * reach
+    letters = F.coalesce(F.col("row.text").cast("string").rlike(r"\p{L}"), F.lit(False))
+    good = letters & ((F.col("lang_pred") != UNKNOWN) if samples else F.lit(True))
+    strange = F.coalesce(F.col("lang_rate") > most, F.lit(False))
+    return joined.where(good & ~strange).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))

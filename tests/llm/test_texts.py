@@ -20,24 +20,82 @@ from .conftest import prose
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
-@settings(max_examples=100, deadline=None)
-@given(st.text(st.sampled_from("abc"), max_size=14), st.text(st.sampled_from("abcd"), max_size=20))
-def test_phrases_are_longest_matches(sample, text):
-    # A sign that the sample lacks is a phrase of its own.
-    parser = language.Parser({"x": sample})
+def phrases(sample, text):
+    """Longest matches one after the other; a sign that the sample lacks is a phrase of its own."""
     count, at = 0, 0
     while at < len(text):
         size = 1
         while at + size < len(text) and text[at : at + size + 1] in sample and text[at] in sample:
             size += 1
         count, at = count + 1, at + size
-    assert int(parser.phrases([text])[0, 0]) == count
+    return count
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(st.sampled_from("abc"), max_size=14), st.text(st.sampled_from("abcd"), max_size=20))
+def test_phrases_are_longest_matches(sample, text):
+    assert int(language.Parser({"x": sample}).phrases([text])[0, 0]) == phrases(sample, text)
+
+
+@pytest.mark.parametrize("chunk, lanes", [(1, 1), (2, 6), (3, 4), (5, 1 << 15), (7, 9)])
+def test_phrases_do_not_depend_on_chunks(monkeypatch, chunk, lanes):
+    monkeypatch.setattr(language, "CHUNK", chunk)
+    monkeypatch.setattr(language, "LANES", lanes)
+    draw = random.Random(chunk)
+    for _ in range(150):
+        samples = {k: "".join(draw.choice("abcd"[: 2 + i]) for _ in range(draw.randrange(25))) for i, k in enumerate("xyz")}
+        # Phrases over several chunks, which need to be carried through more than one.
+        parts = [draw.choice(("e", "a", "ab", samples["x"], samples["z"], samples["y"][:9])) for _ in range(40)]
+        texts = ["".join(draw.choice(parts) for _ in range(draw.randrange(8))) for _ in range(5)]
+        found = language.Parser(samples).phrases(texts)
+        assert found.tolist() == [[phrases(samples[k], t) for k in "xyz"] for t in texts]
+
+
+def test_more_languages_than_are_held_at_once(spark):
+    draw = random.Random(11)
+    words = {f"l{i:03}": ["".join(chr(0x61 + (i * 7 + draw.randrange(9)) % 26) for _ in range(draw.randrange(2, 7))) for _ in range(30)] for i in range(250)}
+    rows = [(k, " ".join(draw.choice(v) for _ in range(60))) for k, v in words.items() for _ in range(3)]
+    docs = spark.createDataFrame([(i, t, k, 1) for i, (k, t) in enumerate(rows)], "doc_id long, text string, lang string, judged0 int")
+    samples = language.sample(docs)
+    assert len(samples) == 250
+    once = language.with_language(docs, samples, held=250).collect()
+    several = language.with_language(docs, samples, held=60)
+    assert several.columns == [*docs.columns, "lang_pred", "lang_score", "lang_rate"]
+    keyed = {r["doc_id"]: r for r in several.collect()}
+    for r in once:
+        other = keyed[r["doc_id"]]
+        assert (other["lang_pred"], other["lang_rate"]) == (r["lang_pred"], r["lang_rate"])
+        assert other["lang_score"] == pytest.approx(r["lang_score"], rel=1e-9)
+
+
+@pytest.mark.parametrize("size", [90, 150, 190, 210, 250, 4000])
+def test_junk_goes_and_prose_stays_whatever_its_length(spark, size):
+    draw = random.Random(size)
+    rows = [(i, prose("aa" if i % 2 else "bb", draw.randrange(2, 120), i), "aa" if i % 2 else "bb") for i in range(600)]
+    rows += [(1000 + i, prose("aa" if i % 2 else "bb", size // 6, 5000 + i), None) for i in range(30)]
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    rows += [(2000 + i, "".join(draw.choice(signs) for _ in range(size)), None) for i in range(30)]
+    rows += [(3000, "word password = 0641917ea4e9feb9cda83477b57ac2654884f485 " + prose("aa", 60, 1), None), (3001, None, "aa"), (3002, "123 ...", "aa")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    left = {r["doc_id"] for r in language.accepted(docs.withColumns({"row": F.lit(1), "half": F.lit("x"), "size": F.lit(0)})).collect()}
+    assert left == {i for i, *_ in rows if i < 2000 or i == 3000}
+
+
+def test_accepted_rows_without_labels_or_rows(spark, docs, empty):
+    assert language.accepted(empty).count() == 0 and language.accepted(empty).columns == docs.columns
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r["doc_id"] for r in language.accepted(unlabelled).collect()} == {
+        r["doc_id"] for r in docs.where(F.col("text").rlike(r"\p{L}")).collect()
+    }
+    # Labelled texts of one half alone: nothing to take a limit from.
+    few = spark.createDataFrame([(1, "some words of one text", "aa"), (2, "some words of one text", "aa")], "doc_id long, text string, lang string")
+    assert language.accepted(few).count() in (0, 2)
 
 
 def test_chunks_cover_the_whole_text():
     parser = language.Parser({"x": "ab" * 200, "y": "cd" * 200})
     text = "ab" * 5000 + "cd" * 6000
-    assert parser.predict([text])[0] == ["y"]
+    assert parser.judge([text])[0] == ["y"]
     assert parser.phrases([text, "", "q"]).shape == (3, 2)
 
 
@@ -47,7 +105,7 @@ def test_table_grows_with_the_samples_and_not_with_the_signs_of_all_languages():
     parser = language.Parser(samples)
     held = sum(x.nbytes for x in vars(parser).values() if isinstance(x, np.ndarray))
     assert held - parser.codes.nbytes <= 150 * 20 * 1000
-    assert parser.predict([samples["l7"][300:400], samples["l13"][:50]])[0] == ["l7", "l13"]
+    assert parser.judge([samples["l7"][300:400], samples["l13"][:50]])[0] == ["l7", "l13"]
     assert language.SAMPLE_TEXTS * language.SAMPLE_CHARS >= 128 * 256
 
 
