@@ -48,6 +48,13 @@ MANY = 0xFFFF
 MAP = 4
 MAPS = [f"map{i}" for i in range(MAP)]
 
+#: Two sums of hashes of a set's tokens; with its size they name the set.
+SUMS = ["sum_a", "sum_b"]
+SEEDS = (0x1234567, 0x7654321)
+
+#: Rounds of the search for components; chains of links at least halve in each, so more mean a fault.
+ROUNDS = 99
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads all bits."""
@@ -90,6 +97,15 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.nd
     return value, np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
 
 
+def set_sums(values: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """The SUMS of each set of shingle_sets()."""
+    sums = []
+    for seed in SEEDS:
+        total = np.concatenate([[np.uint64(0)], np.cumsum(mix(values ^ np.uint64(seed)))])
+        sums.append(total[bounds[1:]] - total[bounds[:-1]])
+    return sums
+
+
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
     """Batches of bounded text and fewer than MANY rows, each with a number that no other of the scan has."""
     number = TaskContext.get().partitionId() << 32
@@ -120,10 +136,7 @@ def _scan_sets(docs: DataFrame, words: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, batch in _batches(batches):
             values, bounds = shingle_sets(batch.column("text"), words)
-            sums = []
-            for seed in (0x1234567, 0x7654321):
-                total = np.concatenate([[np.uint64(0)], np.cumsum(mix(values ^ np.uint64(seed)))])
-                sums.append(total[bounds[1:]] - total[bounds[:-1]])
+            sums = set_sums(values, bounds)
             token, who, (start, count) = _once(values, bounds)
             owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[np.argsort(values, kind="stable")]
             several = count > 1
@@ -212,13 +225,14 @@ def _shared_tokens(tokens: DataFrame, bits: int) -> DataFrame:
 
 
 def _linkable(scanned: DataFrame, shared: DataFrame, bits: int, percent: int) -> DataFrame:
-    """Documents with enough shared tokens for a link: doc_id, n, unique (tokens no other has), bitmaps, tokens.
+    """Documents with enough shared tokens for a link: doc_id, n, sums, unique (tokens no other has), bitmaps, tokens.
 
     Tokens come rarest first; they and the bitmaps leave out those that no other document has.
     """
     empty = F.lit(None).cast("binary")
-    docs = scanned.select("batch", "ids", "no_id", "n", "shared", "times", "texts", *(empty.alias(c) for c in ("token", "seen", "who")))
-    back = shared.select("batch", *(empty.alias(c) for c in ("ids", "no_id", "n", "shared", "times", "texts")), "token", "seen", "who")
+    own = ("ids", "no_id", "n", "sum_a", "sum_b", "shared", "times", "texts")
+    docs = scanned.select("batch", *own, *(empty.alias(c) for c in ("token", "seen", "who")))
+    back = shared.select("batch", *(empty.alias(c) for c in own), "token", "seen", "who")
 
     def order(table: pa.Table) -> pa.Table:
         def joined(name: str, kind: str) -> np.ndarray:
@@ -253,14 +267,15 @@ def _linkable(scanned: DataFrame, shared: DataFrame, bits: int, percent: int) ->
             [
                 pa.array(ids[rows]),
                 pa.array(n[rows]),
+                *(pa.array(joined(c, "<i8")[rows]) for c in SUMS),
                 pa.array((n - have)[rows]),
                 *(pa.array(maps[:, i]) for i in range(MAP)),
                 flat_binary(tokens.astype("<u8").tobytes(), ends * 8),
             ],
-            ["doc_id", "n", "unique", *MAPS, "tokens"],
+            ["doc_id", "n", *SUMS, "unique", *MAPS, "tokens"],
         )
 
-    kind = f"doc_id long, n long, unique long, {', '.join(f'{m} long' for m in MAPS)}, tokens binary"
+    kind = f"doc_id long, n long, sum_a long, sum_b long, unique long, {', '.join(f'{m} long' for m in MAPS)}, tokens binary"
     return docs.unionByName(back).groupBy("batch").applyInArrow(order, kind)
 
 
@@ -324,7 +339,7 @@ def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), folder, f"{name}-0"
     )
     state = None
-    for step in range(1, 100):
+    for step in range(1, ROUNDS + 1):
         # Larger neighbours of a node, and it, go to its smallest neighbour; then smaller ones likewise. What joins the
         # links of a node to its smallest neighbour is kept, so that a frequent node's links are split among tasks.
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -348,18 +363,13 @@ def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
             forget(edges.sparkSession, folder, old)
         if state == before:
             break
+    else:
+        raise RuntimeError(f"links still change after {ROUNDS} rounds")
     return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
-def linked_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of docs (doc_id, text; other columns are not read).
-
-    Words are lower-cased (A-Z) and end at ASCII white space. A text of fewer words than a shingle has one shingle, of
-    all its words; null texts and texts without words have none and link with nothing. component_id is the smallest
-    doc_id that links reach, the row's own included; doc_id is taken to be a key, and rows that repeat one share its
-    component. A row without doc_id links with nothing and has no component. An empty table gives an empty result.
-    """
-    spark, folder = docs.sparkSession, work_folder(docs.sparkSession, "jaccard")
+def _links(docs: DataFrame, words: int, percent: int, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, n, sums) of docs, nodes (sets with their number and smallest doc_id) and links (a, b) of nodes."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scanned = kept(_scan_sets(rows, words), folder, "scanned")
     total = scanned.agg(F.sum("tokens")).first()[0] or 0
@@ -384,10 +394,12 @@ def linked_components(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
         unpacked, "doc_id long, n long, sum_a long, sum_b long"
     )
     each = kept(each, folder, "each")
-    # Documents of one set are one node, named by their smallest doc_id.
-    nodes = kept(each.where("n > 0").groupBy("n", "sum_a", "sum_b").agg(F.min("doc_id").alias("node")), folder, "nodes")
-    sets = linkable.join(nodes.select(F.col("node")).distinct(), linkable["doc_id"] == F.col("node"), "left_semi")
-    sets = kept(sets.withColumnRenamed("doc_id", "node").dropDuplicates(["node"]), folder, "sets")
+    # Documents of one set are one node, numbered in the stored table; the one with the smallest doc_id stands for it.
+    known = each.where("n > 0 and doc_id is not null")
+    nodes = known.groupBy("n", *SUMS).agg(F.min("doc_id").alias("least"))
+    nodes = kept(nodes.withColumn("node", F.monotonically_increasing_id()), folder, "nodes")
+    sets = linkable.join(nodes.withColumnRenamed("least", "doc_id"), ["doc_id", "n", *SUMS]).drop("doc_id", *SUMS)
+    sets = kept(sets.dropDuplicates(["node"]), folder, "sets")
 
     posts = kept(_prefixes(sets, percent), folder, "posts")
     first = F.min(F.struct("place", "n", "node")).alias("c")
@@ -439,29 +451,88 @@ def linked_components(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     ).distinct()
     rest = _overlaps(pairs, sets)
     rest = kept(rest.where(100 * F.col("overlap") >= percent * (F.col("n_both") - F.col("overlap"))).select("a", "b"), folder, "rest")
-    final = components(near.unionByName(rest), folder, "last")
+    return each, nodes, near.unionByName(rest)
+
+
+def _placed(each: DataFrame, nodes: DataFrame, edges: DataFrame, folder: str) -> DataFrame:
+    """each with group, a node of the sets that edges reach from the row's, and component_id, their smallest doc_id or its own."""
+    final = components(edges, folder, "last")
+    # Of a component its smallest node is no row of final.
+    whole = final.unionByName(final.select(F.col("component").alias("node"), "component").distinct())
+    least = whole.join(nodes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("component_id"))
+    whole = kept(whole.join(least, "component").select("node", "component", "component_id"), folder, "whole")
+    named = nodes.join(whole, "node", "left").select(
+        "n", *SUMS, F.coalesce("component", "node").alias("group"), F.coalesce("component_id", "least").alias("component_id")
+    )
+    # Rows without words, and those without doc_id, link with nothing.
+    place = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return each.join(named, ["n", *SUMS], "left").withColumn("component_id", place)
 
-    found = each.join(nodes, ["n", "sum_a", "sum_b"], "left").join(final, "node", "left")
-    # Rows of one doc_id are one document.
-    place = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "node", "doc_id"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), place.alias("component_id"))
+
+def linked_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of docs (doc_id, text; other columns are not read).
+
+    Words are lower-cased (A-Z) and end at ASCII white space. A text of fewer words than a shingle has one shingle, of
+    all its words; null texts and texts without words have none and link with nothing. component_id is the smallest
+    doc_id that links reach, the row's own included. Rows that repeat a doc_id are one document: the links of all its
+    texts are its links, and its rows share a component, n_shingles being that of the row. A row without doc_id links
+    with nothing and has no component. An empty table gives an empty result. A task holds one batch of texts, or one
+    longer text, at a time.
+    """
+    folder = work_folder(docs.sparkSession, "jaccard")
+    each, nodes, links = _links(docs, words, percent, folder)
+    # Sets of one document hold together: those that are not its first link with it.
+    own = F.struct("n", *SUMS)
+    mixed = each.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min(own).alias("first"), F.max(own).alias("last"))
+    mixed = kept(mixed.where("first <> last").select("doc_id", "first.*"), folder, "mixed")
+    first = mixed.join(nodes, ["n", *SUMS]).select("doc_id", F.col("node").alias("a"))
+    others = each.join(first, "doc_id").join(nodes.drop("least"), ["n", *SUMS]).select("a", F.col("node").alias("b")).where("a <> b")
+    found = _placed(each, nodes, links.unionByName(others.distinct()), folder)
+    if not mixed.isEmpty():
+        # A text without words goes with the document's others.
+        least = found.groupBy("doc_id").agg(F.min("component_id").alias("least"))
+        found = found.join(least, "doc_id", "left").withColumn("component_id", F.coalesce("least", "component_id"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _own_sets(rows: DataFrame, words: int) -> DataFrame:
+    """rows (id, row, text) with n and the sums of each row's set."""
+
+    def named(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in parts:
+            columns = [[], [], []]
+            for piece in slices(iter([pa.RecordBatch.from_arrays([pa.array(part)], ["text"])]), "text"):
+                values, bounds = shingle_sets(piece.column("text"), words)
+                for column, found in zip(columns, (np.diff(bounds), *set_sums(values, bounds))):
+                    column.append(found.astype(np.uint64).view(np.int64))
+            arrays = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64)) for c in columns]
+            yield pa.StructArray.from_arrays(arrays, ["n", *SUMS])
+
+    own = F.arrow_udf(named, "n long, sum_a long, sum_b long")
+    return rows.withColumn("own", own("text")).select("id", "row", "text", "own.*")
 
 
 def first_of_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of docs, all columns as they are, without near duplicates: of each component the smallest doc_id stays.
 
-    Of rows with one doc_id the one with the smallest hash of all its columns stays. Rows without a doc_id stay all.
-    The rows move once, by doc_id, to leave out what goes and what is repeated; the latter is then added once each.
+    Texts of one doc_id are apart here unless links join them: each is kept or not by its own component. Of rows of one
+    doc_id in one component, or with one text without words, that with the smallest hash of its columns stays. Rows
+    without a doc_id stay all. An empty table stays empty. The rows move once, by doc_id, to leave out what goes and what
+    is repeated; the latter is judged row by row and added.
     """
     folder = work_folder(docs.sparkSession, "groups")
-    found = kept(linked_components(docs, words, percent), folder, "found").where("doc_id is not null")
-    each = found.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.max(F.col("component_id") != F.col("doc_id")).alias("goes"), F.count("*").alias("copies")
-    )
-    each = kept(each.where("goes or copies > 1"), folder, "each")
-    single = docs.join(each.select("_id").hint("merge"), F.col("doc_id") == F.col("_id"), "left_anti")
-    repeated = kept(each.where("not goes").select("_id"), folder, "repeated")
-    several = docs.join(repeated, F.col("doc_id") == F.col("_id"), "left_semi")
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    first = several.groupBy("doc_id").agg(F.min_by(row, F.xxhash64(row)).alias("_row"))
-    return single.unionByName(first.select(*(F.col(f"_row.`{c}`").alias(c) for c in docs.columns)))
+    each, nodes, links = _links(docs, words, percent, folder)
+    found = kept(_placed(each, nodes, links, folder).where("doc_id is not null"), folder, "found")
+    goes = F.col("component_id") != F.col("doc_id")
+    by_id = found.groupBy(F.col("doc_id").alias("gone")).agg(F.max(goes).alias("goes"), F.count("*").alias("copies"))
+    by_id = kept(by_id.where("goes or copies > 1"), folder, "by_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"), F.struct("*").alias("row"))
+    single = rows.join(by_id.select("gone").hint("merge"), F.col("id") == F.col("gone"), "left_anti")
+    repeated = kept(by_id.where("copies > 1").select("gone"), folder, "repeated")
+    several = _own_sets(rows.join(repeated, F.col("id") == F.col("gone"), "left_semi"), words)
+    stay = found.where(~goes).select(F.col("doc_id").alias("id"), "n", *SUMS, "group").distinct()
+    several = several.join(stay, ["id", "n", *SUMS])
+    blank = F.when(F.col("n") == 0, F.xxhash64("text"))
+    hashed = F.xxhash64(*(F.to_json(f"row.`{c}`") if "map<" in k else F.col(f"row.`{c}`") for c, k in docs.dtypes))
+    first = several.groupBy("id", "group", blank.alias("blank")).agg(F.min_by("row", hashed).alias("row"))
+    return single.select("row").unionByName(first.select("row")).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))

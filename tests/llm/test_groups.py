@@ -95,6 +95,50 @@ def test_rows_without_or_with_equal_ids(spark, tmp_path):
     assert left == [0, 0, 5, 7, 8]
 
 
+def test_documents_of_several_texts(spark, tmp_path):
+    """Brute force over rows that repeat a doc_id with other texts."""
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, a), (1, b), (2, a + " z"), (3, b + " z"), (4, ""), (4, a), (5, None), (6, "lone words of a text"), (6, "lone words of a text")]
+    draw = random.Random(8)
+    for i, text in near_texts(4):
+        rows += [(1000 + i, text)] + [(1000 + draw.randrange(60), text + " more")] * (draw.random() < 0.4)
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(5).write.parquet(str(tmp_path / "t"))
+    docs = spark.read.parquet(str(tmp_path / "t"))
+    alone = components([(i, t) for i, (_, t) in enumerate(rows)])  # each row a document of its own
+    parent = {k: k for k, _ in rows}
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for i, (_, c) in alone.items():
+        x, y = sorted((root(rows[i][0]), root(rows[c][0])))
+        parent[y] = x
+    found = jaccard.linked_components(docs).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == sorted(
+        (k, alone[i][0], root(k)) for i, (k, _) in enumerate(rows)
+    )
+    assert {root(k) for k in (1, 2, 3, 4)} == {1}
+    # Of each component of texts, the smallest doc_id; texts that nothing links stay, whatever their doc_id.
+    groups = {}
+    for i, (_, c) in alone.items():
+        key = c if alone[i][0] else (rows[i][0], rows[i][1])
+        groups.setdefault(key, []).append(rows[i])
+    left = jaccard.first_of_groups(docs.withColumns({c: F.lit(1) for c in ("_id", "id", "row", "n", "sum_a", "own", "gone")}))
+    kept = left.collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(min(k for k, _ in g) for g in groups.values())
+    assert {(r["doc_id"], r["text"]) for r in kept} <= set(rows) and left.columns[2:] == ["_id", "id", "row", "n", "sum_a", "own", "gone"]
+    assert {(1, a), (1, b), (4, "")} <= {(r["doc_id"], r["text"]) for r in kept}
+
+
+def test_unfinished_components_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "ROUNDS", 2)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(200)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        jaccard.components(edges, work_folder(spark, "test"), "c")
+
+
 def test_a_large_group_makes_few_pairs(spark, tmp_path, monkeypatch):
     """Rows of all joins grow with the group, not with its square."""
     draw = random.Random(3)
