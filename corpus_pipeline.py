@@ -17,18 +17,27 @@ from bankmetrics.llm.common import forget, kept, work_folder
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns the languages from the labelled documents and drops those in none of them.
 
-    Dropped: null texts, texts without a letter, long texts that no language explains. All else stays as it is.
+    Dropped: null texts, texts without a letter, texts that no language explains by the limits of language.accepted(). All
+    else stays as it is, repeated rows included; an empty table stays empty, and without labels only the former two go.
     """
-    return language.accepted(docs, language.sample(docs))
+    return language.accepted(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each component of near duplicates (5 words, likeness 0.75)."""
+    """Keeps the document with the smallest doc_id of each component of near duplicates (5 words, likeness 0.75).
+
+    Texts without words and rows without doc_id are near nothing and stay; of rows that repeat a doc_id with a near or
+    equal text one stays, by a hash of its columns, other texts of that doc_id stay too. An empty table stays empty.
+    """
     return jaccard.first_of_groups(docs, words=5, percent=75)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Puts marks in place of secrets; every document stays. n_chars follows the text where there is one."""
+    """Puts marks in place of secrets; every document stays. n_chars follows the text where there is one.
+
+    Null texts and null n_chars stay null. Rows are judged one by one, so ties and repeated rows don't matter; an empty
+    table stays empty.
+    """
     clean = secret_scan.redacted(docs, secret_scan.limits(docs))
     if "n_chars" not in docs.columns:
         return clean
@@ -37,7 +46,11 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of windows of 2048 ids with their ids: doc_id, start, length, doc_tokens, ids, sequence_id, offset."""
+    """Pieces of windows of 2048 ids with their ids: doc_id, start, length, doc_tokens, ids, sequence_id, offset.
+
+    A null or empty text is one piece with the end id, a longer one is cut every 2048 ids. Repeated rows are packed each.
+    Pieces of equal length may change places. An empty table gives an empty result.
+    """
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, window=2048)
 
 
