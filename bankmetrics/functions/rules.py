@@ -52,21 +52,25 @@ FIXED_BENCHMARKS = (
 
 METRICS = ("CAR", "LCR", "NPL")
 
+#: Pairs of a risk-weight table that is broadcast without a look at the session's threshold.
+MOST_RULES = 10_000
+
 
 def risk_config(spark: SparkSession, rows=None) -> DataFrame:
     """The risk-weight table, one row per asset type.
 
     ``rows`` replaces the standard list with other (type, weight) pairs. The
     rows travel as an Arrow table, so the plan holds a local relation. It is
-    broadcast whatever the session's threshold, as a list of codes that is
-    written out in a program is small: a shuffled join on asset type would put
-    all rows into a handful of tasks.
+    broadcast whatever the session's threshold, as a list of codes is small: a
+    shuffled join on asset type would put all rows into a handful of tasks.
+    More than MOST_RULES pairs carry no hint, and Catalyst decides by size.
     """
-    pairs = rows if rows is not None else [(kind, weight) for kind, weight, _ in ASSET_RULES]
+    pairs = list(rows) if rows is not None else [(kind, weight) for kind, weight, _ in ASSET_RULES]
     weights = pa.table(
         {
             "asset_type": pa.array([kind for kind, _ in pairs], pa.string()),
             "rule_weight": pa.array([Decimal(str(weight)) for _, weight in pairs], pa.decimal128(5, 2)),
         }
     )
-    return F.broadcast(spark.createDataFrame(weights))
+    config = spark.createDataFrame(weights)
+    return F.broadcast(config) if len(pairs) <= MOST_RULES else config
