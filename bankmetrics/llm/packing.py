@@ -20,18 +20,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from bankmetrics.llm.common import flat_binary, kept, slices, work_folder
-from bankmetrics.llm.encoding import worker_encoder
+from bankmetrics.llm.encoding import WORDS, worker_encoder
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2048) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2048, words: int = WORDS) -> DataFrame:
     """Pieces of at most ``window`` ids: doc_id, start, length, doc_tokens, ids (little-endian u32), part, rank.
 
     part and rank, the number of the task and the piece's number among those of its length in it, serve assign(). Null or empty text: one piece with the end id. Rows are taken one by one, so repeated rows and null doc_ids stay.
-    Other columns are not read.
+    Other columns are not read. A worker remembers the ids of ``words`` different words.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, ranks = worker_encoder(tokenizer), Ranks(window)
+        encoder, ranks = worker_encoder(tokenizer, words), Ranks(window)
         for batch in slices(batches, "text"):
             ids, starts = encoder.encode(batch.column("text"), end_id)
             sizes = np.diff(starts)
@@ -168,6 +168,6 @@ def assign(pieces: DataFrame, window: int = 2048, ranked: bool = False) -> DataF
     )
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2048) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2048, words: int = WORDS) -> DataFrame:
     """token_pieces() of the documents with their sequence_id and offset, ids included."""
-    return assign(token_pieces(docs, tokenizer, end_id, window), window, ranked=True)
+    return assign(token_pieces(docs, tokenizer, end_id, window, words), window, ranked=True)
