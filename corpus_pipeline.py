@@ -14,6 +14,11 @@ from bankmetrics.llm import jaccard, language, packing, secret_scan
 from bankmetrics.llm.common import forget, kept, work_folder
 
 
+#: Different words that a worker remembers while packing: fewer than by itself, as executors still hold what the stages
+#: before have left.
+WORDS = 200_000
+
+
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns the languages from the labelled documents and drops those in none of them.
 
@@ -51,7 +56,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null or empty text is one piece with the end id, a longer one is cut every 2048 ids. Repeated rows are packed each.
     Pieces of equal length may change places. An empty table gives an empty result.
     """
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, window=2048)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, window=2048, words=WORDS)
 
 
 STAGES = [
