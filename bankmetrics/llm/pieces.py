@@ -275,5 +275,6 @@ def encoded(docs: DataFrame, model_path: str, threads: int = 2, verify: bool = T
 
     udf = F.arrow_udf(encode, "pieces array<int>, decoded string, parity boolean")
     names = [c for c in docs.columns if c not in ("pieces", "decoded", "parity")]
-    found = docs.withColumn("_encoded", udf(F.col("text").cast("string")))
-    return found.select(*(F.col(f"`{c}`") for c in names), "_encoded.*")
+    row = F.struct(*(F.col(f"`{c}`") for c in names))
+    found = docs.select(row.alias("row"), udf(F.col("text").cast("string")).alias("encoded"))
+    return found.select(*(F.col(f"row.`{c}`").alias(c) for c in names), "encoded.*")

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 #: Words of two invented languages.
 WORDS = {
@@ -41,6 +42,8 @@ def docs(spark, rows, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("docs") / "documents.parquet")
     kind = "doc_id long, text string, lang string, source string, base string, node int, length double, _row string"
     made = spark.createDataFrame([(*r, "b", 7, 1.5, None) for r in rows], kind)
+    inner = ("_id", "_mark", "_spans", "_judged", "_encoded")
+    made = made.withColumns({c: F.lit(c) for c in inner})
     made.repartition(3).write.parquet(path)
     return spark.read.parquet(path)
 
