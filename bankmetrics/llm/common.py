@@ -4,43 +4,22 @@ from __future__ import annotations
 
 import sys
 import types
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+
+from bankmetrics.sinks.work import kept, removed, work_folder  # noqa: F401
 
 #: Bytes of text that a task holds at once, besides one whole text.
 SLICE_BYTES = 2 << 20
 
 
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder that the driver and all executors share; it goes when the driver's JVM ends.
-
-    It lies in ``spark.checkpoint.dir``, or in the warehouse where that is unset.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
-    folder = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    store.mkdirs(path)
-    store.deleteOnExit(path)
-    return folder
-
-
-def kept(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """Writes df as a Parquet table of the work folder and returns the table, which cuts the lineage."""
-    path = f"{folder}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def forget(spark: SparkSession, folder: str, name: str) -> None:
     """Removes a table of the work folder that no later step reads."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    removed(spark, f"{folder}/{name}")
 
 
 def held_by_worker(key: tuple, make):
@@ -66,6 +45,16 @@ def give_back() -> None:
         trim(0)
 
 
+def give_back_at_once() -> None:
+    """From now on this Python worker returns arrays of over a MB to the system when they are freed, not later."""
+    import ctypes
+
+    mallopt = getattr(ctypes.CDLL(None), "mallopt", None)
+    if mallopt:
+        mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that each has at most ``most`` bytes of text, or one row."""
     for batch in batches:

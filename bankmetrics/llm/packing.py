@@ -129,6 +129,8 @@ def assign(pieces: DataFrame, window: int = 2048, ranked: bool = False) -> DataF
 
     Offsets of a sequence run without a gap from 0. Pieces of equal length are exchangeable. An empty table stays empty.
     The plan that is broadcast has a bound by the window alone (a few rows per length), whatever the number of pieces.
+    First ranks of a task are one row with an array; these rows meet the pieces by the task's number, broadcast while
+    their table is under the session's threshold, else in a shuffle in which every task's pieces stay together.
     ``ranked`` says that part and rank are there, as token_pieces() gives them; they then go.
     """
     spark, folder = pieces.sparkSession, work_folder(pieces.sparkSession, "packing")
@@ -157,10 +159,15 @@ def assign(pieces: DataFrame, window: int = 2048, ranked: bool = False) -> DataF
     rows = spark.createDataFrame(
         plan(total, window), "_size long, _from long, _to long, _each long, _first long, _offset long"
     )
-    rank = F.col("_rank") + F.col("_base")
-    place = rank - F.col("_from")
+    # One row for each task, with the bases of the lengths it has (at most ``window``).
+    own = F.sort_array(F.collect_list(F.struct(F.col("_length").cast("int").alias("_length"), "_base")))
+    starts = bases.groupBy("_part").agg(own.alias("_own"))
+    starts = kept(starts.select("_part", F.col("_own._length").alias("_lengths"), F.col("_own._base").alias("_bases")), folder, "starts")
+    slot = F.array_position(F.col("_lengths"), F.col("_length").cast("int")).cast("int")
+    rank = F.col("_rank") + F.element_at(F.col("_bases"), slot)
+    place = F.col("_at") - F.col("_from")
     near = (F.col("_length") == F.col("_size")) & (F.col("_at") >= F.col("_from")) & (F.col("_at") < F.col("_to"))
-    at = table.join(bases.drop("_n"), ["_length", "_part"]).withColumn("_at", rank)
+    at = table.join(starts, "_part").withColumn("_at", rank).drop("_lengths", "_bases")
     return at.join(F.broadcast(rows), near).select(
         *(F.col(f"c{i}").alias(c) for i, c in enumerate(names)),
         (F.col("_first") + F.floor(place / F.col("_each"))).cast("long").alias("sequence_id"),
