@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bankmetrics.llm.common import flat_binary, forget, held_by_worker, kept, slices, work_folder
+from bankmetrics.llm.common import flat_binary, forget, give_back_at_once, held_by_worker, kept, slices, work_folder
 
 WORDS = 5
 #: Likeness at least, in hundredths.
@@ -109,6 +109,7 @@ def set_sums(values: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
     """Batches of bounded text and fewer than MANY rows, each with a number that no other of the scan has."""
     held_by_worker(("jaccard",), dict)  # what another operator left in this worker goes
+    give_back_at_once()
     number = TaskContext.get().partitionId() << 32
     for batch in slices(batches, "text", BATCH_BYTES):
         for a in range(0, batch.num_rows, MANY - 1):
