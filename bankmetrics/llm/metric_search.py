@@ -34,8 +34,9 @@ TREE_ROWS = 8192
 GROUP_ROWS = 16384
 BLOCK_QUERIES = 2048
 
-#: Above the error of bounds that are computed in double precision.
-SLACK = 1e-3
+#: Above the error of bounds in double precision, in parts of the largest squared norms that go into them: distances are
+#: under twice their root, and a bound takes a few operations on them.
+SLACK = 1e-14
 
 
 def distances(rows: np.ndarray, norms: np.ndarray, q: np.ndarray, q_norm: float) -> np.ndarray:
@@ -49,6 +50,7 @@ class Tree:
         self.page = page
         self.norms = (vectors * vectors).sum(axis=1)
         self.all, self.all_ids = vectors, ids
+        self.most = float(self.norms.max(initial=0.0))
         #: Pages: (router, None, rows, distances to the router) of a leaf; inner pages have children and their data.
         self.pages: list[tuple] = []
         self.root = self._build(np.arange(len(ids)), None)
@@ -85,20 +87,20 @@ class Tree:
         ``least`` is a score that the k best reach anyhow. Vectors with the query's own id take no part.
         """
         norm = float(q @ q)
-        size = norm**0.5
+        size, slack = norm**0.5, SLACK * (norm + self.most)
         known = self.pages[self.root][1]
         first = 0.0 if known is None else float(self._from_query(q, norm, known))
         queue = [(-np.inf, self.root, first)]
         while queue:
             bound, page, to_router = heapq.heappop(queue)
             least = max(least, found[0][0]) if len(found) == k else least
-            if -bound < least - SLACK:
+            if -bound < least - slack:
                 return
             leaf, router, rows, parent, vectors, norms = self.pages[page][:6]
             # Vectors that the parent's distance excludes are not computed.
             gap = np.abs(to_router - parent) if router is not None else np.zeros(len(rows))
             if leaf:
-                open_rows = np.flatnonzero((norm + norms - gap * gap) / 2 >= least - SLACK)
+                open_rows = np.flatnonzero((norm + norms - gap * gap) / 2 >= least - slack)
                 scores = vectors[open_rows] @ q if len(open_rows) < len(rows) else vectors @ q
                 ids = self.pages[page][6][open_rows]
                 good = np.flatnonzero((scores >= least) & (ids != own))
@@ -112,12 +114,12 @@ class Tree:
                 continue
             radius, most = self.pages[page][6:]
             settled = np.maximum(gap - radius, 0)
-            open_rows = np.flatnonzero((norm + most - settled * settled) / 2 >= least - SLACK)
+            open_rows = np.flatnonzero((norm + most - settled * settled) / 2 >= least - slack)
             dots = vectors[open_rows] @ q
             to = np.sqrt(np.maximum(norms[open_rows] + norm - 2 * dots, 0))
             near = np.maximum(to - radius[open_rows], 0)
             top = np.minimum(dots + size * radius[open_rows], (norm + most[open_rows] - near * near) / 2)
-            for i in np.flatnonzero(top >= least - SLACK).tolist():
+            for i in np.flatnonzero(top >= least - slack).tolist():
                 heapq.heappush(queue, (-float(top[i]), int(rows[open_rows[i]]), float(to[i])))
 
     def _from_query(self, q: np.ndarray, norm: float, router: int) -> float:
@@ -177,7 +179,7 @@ def top_products(
     ``is_query`` tells the queries by their id, whose column is named ``id``. Ids are taken to be keys: rows of the
     query's own id are no candidates of it, and copies of another row are candidates each. Vectors of another length
     than the query's are no candidates either. Fewer than k candidates give fewer rows, an empty table none.
-    Products must stay under 2**53 in size. The pivots, PIVOTS for each length of vector, come to the driver.
+    Squared norms, scaled, must stay under 2**50, so that all sums are exact. The pivots, PIVOTS for each length of vector, come to the driver.
     """
     spark, folder = vectors.sparkSession, work_folder(vectors.sparkSession, "mtree")
     rows = whole(vectors, id_column, vector_column, scale)

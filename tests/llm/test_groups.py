@@ -271,3 +271,19 @@ def test_spans_and_extensions():
     expected = [len(os.path.commonprefix([text[i:], text[j:]])) for i, j in places]
     assert hashes.extension(a, b, most).tolist() == expected
     assert hashes.equal(a, b, np.array(expected)).all()
+
+
+@pytest.mark.parametrize("size", [1, 1000, 2**23])
+def test_search_is_exact_at_large_norms(size):
+    draw = np.random.default_rng(size)
+    # Groups whose members differ by little against their norms, so that bounds come close to the scores.
+    x = np.floor(np.repeat(draw.normal(0, size, (12, 5)), 40, axis=0) + draw.integers(-3, 4, (480, 5)))
+    ids = draw.permutation(480)
+    tree = metric_search.Tree(ids, x, page=8)
+    whole = [[int(v) for v in row] for row in x]
+    assert max(sum(v * v for v in row) for row in whole) < 2**50
+    for i in range(0, 480, 5):
+        found = []
+        tree.search(x[i], int(ids[i]), 10, found, -np.inf)
+        scores = ((sum(a * b for a, b in zip(whole[i], row)), -int(j)) for row, j in zip(whole, ids) if j != ids[i])
+        assert sorted(((int(s), int(j)) for s, j in found), reverse=True) == sorted(scores, reverse=True)[:10]
