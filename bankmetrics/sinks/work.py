@@ -25,7 +25,8 @@ def shared_folder(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     warehouse = spark.conf.get("spark.sql.warehouse.dir")
-    if warehouse.startswith("file:") and not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if warehouse.startswith("file:") and master != "local" and not master.startswith("local["):
         raise NoSharedFolder("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{warehouse.rstrip('/')}/_work"
 
