@@ -52,6 +52,8 @@ MAPS = [f"map{i}" for i in range(MAP)]
 SUMS = ["sum_a", "sum_b"]
 SEEDS = (0x1234567, 0x7654321)
 
+CHANGED = "the rows changed between two scans; write them to a table first"
+
 #: Rounds of the search for components; chains of links at least halve in each, so more mean a fault.
 ROUNDS = 99
 
@@ -117,6 +119,16 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Record
             number += 1
 
 
+def _mark(batch: pa.RecordBatch, values: np.ndarray, bounds: np.ndarray) -> int:
+    """A hash of a batch's ids and sets in their order: both scans must number the same rows alike."""
+    seen = xxhash.xxh64(np.ascontiguousarray(values))
+    seen.update(np.ascontiguousarray(bounds, np.int64))
+    ids = batch.column("doc_id")
+    seen.update(np.ascontiguousarray(pc.fill_null(ids, 0).to_numpy(zero_copy_only=False)))
+    seen.update(np.ascontiguousarray(np.asarray(ids.is_null())))
+    return seen.intdigest() >> 1
+
+
 def _once(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Different tokens of a batch, ascending; the text of each, or MANY; and all occurrences sorted alike."""
     owner = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))
@@ -155,11 +167,12 @@ def _scan_sets(docs: DataFrame, words: int) -> DataFrame:
                 texts,
             ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([number]), pa.array([len(values)]), *(pa.array([c.tobytes()], pa.binary()) for c in columns)],
-                ["batch", "tokens", "ids", "no_id", "n", "sum_a", "sum_b", "shared", "times", "texts"],
+                [pa.array([x]) for x in (number, _mark(batch, values, bounds), len(values))]
+                + [pa.array([c.tobytes()], pa.binary()) for c in columns],
+                ["batch", "mark", "tokens", "ids", "no_id", "n", "sum_a", "sum_b", "shared", "times", "texts"],
             )
 
-    kind = "batch long, tokens long, ids binary, no_id binary, n binary, sum_a binary, sum_b binary, shared binary, times binary, texts binary"
+    kind = "batch long, mark long, tokens long, ids binary, no_id binary, n binary, sum_a binary, sum_b binary, shared binary, times binary, texts binary"
     return docs.mapInArrow(scan, kind)
 
 
@@ -168,9 +181,11 @@ def _scan_tokens(docs: DataFrame, words: int, bits: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, batch in _batches(batches):
-            token, who, (_, count) = _once(*shingle_sets(batch.column("text"), words))
+            values, bounds = shingle_sets(batch.column("text"), words)
+            token, who, (_, count) = _once(values, bounds)
             if not len(token):
                 continue
+            mark = _mark(batch, values, bounds)
             bucket = (token >> np.uint64(64 - bits)).astype(np.int64)
             edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
             name = token >> np.uint64(24 - bits)
@@ -182,15 +197,16 @@ def _scan_tokens(docs: DataFrame, words: int, bits: int) -> DataFrame:
                 [
                     pa.array(bucket[edges[:-1]]),
                     pa.array(np.full(len(edges) - 1, number)),
+                    pa.array(np.full(len(edges) - 1, mark)),
                     flat_binary(low.tobytes(), edges * 4),
                     flat_binary(high.tobytes(), edges),
                     flat_binary(who.astype("<u2").tobytes(), edges * 2),
                     flat_binary(count[several].astype("<u2").tobytes(), counts * 2),
                 ],
-                ["bucket", "batch", "low", "high", "who", "times"],
+                ["bucket", "batch", "mark", "low", "high", "who", "times"],
             )
 
-    return docs.mapInArrow(scan, "bucket long, batch long, low binary, high binary, who binary, times binary")
+    return docs.mapInArrow(scan, "bucket long, batch long, mark long, low binary, high binary, who binary, times binary")
 
 
 def _shared_tokens(tokens: DataFrame, bits: int) -> DataFrame:
@@ -215,31 +231,35 @@ def _shared_tokens(tokens: DataFrame, bits: int) -> DataFrame:
         return pa.Table.from_arrays(
             [
                 table.column("batch"),
+                table.column("mark"),
                 flat_binary(full.astype("<u8").tobytes(), ends * 8),
                 flat_binary(seen[keep].astype("<u4").tobytes(), ends * 4),
                 flat_binary(rows[2][keep].astype("<u2").tobytes(), ends * 2),
             ],
-            ["batch", "token", "seen", "who"],
+            ["batch", "mark", "token", "seen", "who"],
         )
 
-    found = tokens.groupBy("bucket").applyInArrow(count, "batch long, token binary, seen binary, who binary")
+    found = tokens.groupBy("bucket").applyInArrow(count, "batch long, mark long, token binary, seen binary, who binary")
     return found.where(F.length("token") > 0)
 
 
 def _linkable(scanned: DataFrame, shared: DataFrame, bits: int, percent: int) -> DataFrame:
     """Documents with enough shared tokens for a link: doc_id, n, sums, unique (tokens no other has), bitmaps, tokens.
 
-    Tokens come rarest first; they and the bitmaps leave out those that no other document has.
+    Tokens come rarest first; they and the bitmaps leave out those that no other document has. A batch whose rows or
+    their order differ between the two scans ends the query with an error: its texts are known by their place only.
     """
     empty = F.lit(None).cast("binary")
     own = ("ids", "no_id", "n", "sum_a", "sum_b", "shared", "times", "texts")
-    docs = scanned.select("batch", *own, *(empty.alias(c) for c in ("token", "seen", "who")))
-    back = shared.select("batch", *(empty.alias(c) for c in own), "token", "seen", "who")
+    docs = scanned.select("batch", "mark", *own, *(empty.alias(c) for c in ("token", "seen", "who")))
+    back = shared.select("batch", "mark", *(empty.alias(c) for c in own), "token", "seen", "who")
 
     def order(table: pa.Table) -> pa.Table:
         def joined(name: str, kind: str) -> np.ndarray:
             return np.frombuffer(b"".join(x for x in table.column(name).to_pylist() if x), kind)
 
+        if len(pc.unique(table.column("mark"))) > 1 or table.column("ids").null_count == table.num_rows:
+            raise ValueError(CHANGED)
         ids, no_id, n = joined("ids", "<i8"), joined("no_id", "u1"), joined("n", "<u4").astype(np.int64)
         token, seen, who = joined("token", "<u8"), joined("seen", "<u4"), joined("who", "<u2")
         lone = who != MANY
@@ -249,7 +269,7 @@ def _linkable(scanned: DataFrame, shared: DataFrame, bits: int, percent: int) ->
         by = np.argsort(token[~lone])
         at = np.searchsorted(token[~lone], many, sorter=by)
         if len(many) and (at.max() == len(by) or (token[~lone][by[at]] != many).any()):
-            raise ValueError("the rows changed between two scans; write them to a table first")
+            raise ValueError(CHANGED)
         total = seen[~lone][by[at]] if len(many) else np.zeros(0, np.int64)
         tokens = np.concatenate([token[lone], np.repeat(many, times)])
         counts = np.concatenate([seen[lone].astype(np.int64), np.repeat(total, times)])

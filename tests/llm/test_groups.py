@@ -132,6 +132,20 @@ def test_documents_of_several_texts(spark, tmp_path):
     assert {(1, a), (1, b), (4, "")} <= {(r["doc_id"], r["text"]) for r in kept}
 
 
+def test_rows_that_change_places_between_scans_are_an_error(spark):
+    """Tokens of equal texts but for one word are all there in any order; only the marks of the batches tell."""
+    rows = [(i, f"lead{i % 7} " + " ".join(f"w{k}" for k in range(30))) for i in range(64)]
+
+    def dealt(batches):
+        for batch in batches:
+            yield batch.take(np.random.default_rng(int.from_bytes(os.urandom(8))).permutation(batch.num_rows))
+
+    kind = "doc_id long, text string"
+    docs = spark.createDataFrame(rows, kind).coalesce(1).mapInArrow(dealt, kind)
+    with pytest.raises(Exception, match="rows changed between two scans"):
+        jaccard.linked_components(docs).collect()
+
+
 def test_unfinished_components_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "ROUNDS", 2)
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)], "a long, b long")
