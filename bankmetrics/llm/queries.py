@@ -24,7 +24,7 @@ from bankmetrics.llm import (
     token_files,
     variants,
 )
-from bankmetrics.llm.common import work_folder
+from bankmetrics.llm.common import kept, work_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -36,9 +36,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Writes the ids of all documents to PFOR files and describes each document as read back."""
-    files = f"{work_folder(spark, 'op1')}/ids"
+    work = work_folder(spark, "op1")
+    files = f"{work}/ids"
     token_files.write(table(spark, folder, "documents"), files, BYTE_BPE, end_id=2)
-    return token_files.read(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    # Digests are small beside the files, so they are kept and added up in place of a second read.
+    digests = token_files.read_local(spark, files).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    digests = kept(digests, work, "digests")
+    found = token_files.with_start(digests, digests.groupBy("shard").agg(F.sum("n_tokens").alias("n")))
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op2_metric_search(spark: SparkSession, folder: str) -> DataFrame:

@@ -199,13 +199,18 @@ def write(
     lines.select(F.col("value").cast("string").alias("value")).write.text(folder)
 
 
+def contents(spark: SparkSession, folder: str) -> DataFrame:
+    """The files of ``write`` as rows (content); a file must fit one row."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("content")
+
+
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """The documents of the files: doc_id, shard, place in it, start (ids of all documents before), ids (binary, u32).
 
     ``start`` adds up the ids of the files before, which the heads of the segments tell, and those before in the file.
-    The sums, one number for each file and so one for each shuffle partition of the writer at most, are broadcast.
+    The heads cost a read of the files of their own; who keeps the rows of ``read_local`` anyway saves it by
+    ``with_start`` on the table kept. No files, or files without segments, give no rows.
     """
-    stored = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,6 +222,12 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 if shard is not None:
                     yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int64()), "n": [total]})
 
+    return with_start(read_local(spark, folder), contents(spark, folder).mapInArrow(heads, "shard long, n long"))
+
+
+def read_local(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents of the files by one read: doc_id, shard, place in it, local (ids before in it), n_tokens, ids."""
+
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for raw in batch.column("content"):
@@ -247,11 +258,17 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                         )
                     start, place = start + int(sizes.sum()), place + len(whole)
 
-    totals = stored.select("content").mapInArrow(heads, "shard long, n long")
+    kind = "doc_id long, shard long, place long, local long, n_tokens long, ids binary"
+    return contents(spark, folder).mapInArrow(documents, kind)
+
+
+def with_start(rows: DataFrame, totals: DataFrame) -> DataFrame:
+    """rows with start, the ids of the shards before, by ``totals`` (shard, n), and those of ``local``, which goes.
+
+    The sums, one number for each file and so one for each shuffle partition of the writer at most, are broadcast.
+    """
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    kind = "doc_id long, shard long, place long, local long, n_tokens long, ids binary"
-    found = stored.select("content").mapInArrow(documents, kind)
-    return found.join(F.broadcast(offsets), "shard").select(
-        "doc_id", "shard", "place", (F.col("before") + F.col("local")).alias("start"), "n_tokens", "ids"
-    )
+    start = (F.col("before") + F.col("local")).alias("start")
+    others = [c for c in rows.columns if c not in ("doc_id", "shard", "place", "local")]
+    return rows.join(F.broadcast(offsets), "shard").select("doc_id", "shard", "place", start, *others)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from bankmetrics.llm import packing, token_files
-from bankmetrics.llm.common import work_folder
+from bankmetrics.llm.common import kept, work_folder
 from bankmetrics.llm.encoding import Encoder
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -112,6 +112,11 @@ def test_files_return_all_documents(spark, docs, rows, library, segment_ids):
     token_files.write(docs, folder, BPE, 2, segment_ids=segment_ids)
     found = token_files.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("crc"))
     assert sorted(tuple(r) for r in found.collect()) == expected_files(rows, library)
+    # The same by one read of the files and sums over the rows kept.
+    local = kept(token_files.read_local(spark, folder), folder, "local")
+    assert sorted(r["doc_id"] for r in local.collect()) == sorted(r[0] for r in rows)
+    once = token_files.with_start(local, local.groupBy("shard").agg(F.sum("n_tokens").alias("n")))
+    assert sorted(tuple(r) for r in once.select(*found.columns[:3], F.crc32("ids")).collect()) == expected_files(rows, library)
 
 
 def test_files_keep_null_ids_and_repeated_rows(spark, library):
