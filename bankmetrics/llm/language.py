@@ -35,6 +35,13 @@ CHUNK = 256
 #: Parses, of a chunk in a language, that run side by side in a task.
 LANES = 1 << 15
 
+#: Bits of an entry that hold the sign; the rest is the next state.
+SIGN_BITS = 21
+SIGN_MASK = (1 << SIGN_BITS) - 1
+
+#: Share of the table that transitions fill, at most.
+FILL = 0.7
+
 UNKNOWN = "und"
 
 #: A text is in no learned language beyond so many times the spread of labelled texts that were not learned from. Prose
@@ -73,10 +80,13 @@ def automaton(text: str) -> list[dict[str, int]]:
 
 
 class Parser:
-    """The automata of all languages as one hash table: state and sign to state, -1 where no phrase goes on.
+    """The automata of all languages in one table, which tells the next state by a sum and one read.
 
-    Only transitions that exist take room, some two for each code point of a sample, however many signs all languages
-    have together. The texts of a sample are closed by a NUL, so that phrases don't run from one into the next.
+    A state is the number of its first place: the transition by a sign lies that many places on, beside the sign. The places
+    of several states mesh, and no two states have one number, so a place that holds the sign belongs to the state. Only
+    transitions that exist take room, some two for each code point of a sample, however many signs all languages have
+    together, and those of one language lie together. The texts of a sample are closed by a NUL, so that phrases don't run
+    from one into the next.
     """
 
     def __init__(self, samples: dict[str, str]):
@@ -85,106 +95,128 @@ class Parser:
         #: Sign 0 is any code point that no sample has.
         self.code = {ord(c): i + 1 for i, c in enumerate(signs)}
         self.width = len(signs) + 1
-        roots, keys, targets = [0], [], []
+        roots, tables, end, carry = [], [], 0, np.zeros(0, np.int64)
         for name in self.languages:
-            states = automaton(samples[name])
-            fan = np.fromiter(map(len, states), np.int64, len(states))
-            origin = roots[-1] + np.repeat(np.arange(len(states)), fan)
-            sign = np.fromiter((self.code[ord(c)] for moves in states for c in moves), np.int64, len(origin))
-            keys.append(origin * self.width + sign)
-            to = np.fromiter((x for moves in states for x in moves.values()), np.int64, len(origin))
-            targets.append((roots[-1] + to).astype(np.int32))
-            roots.append(roots[-1] + len(states))
-        self.roots = np.array(roots[:-1], np.int32)
-        self._fill(np.concatenate([np.zeros(0, np.int64), *keys]), np.concatenate([np.zeros(0, np.int32), *targets]))
+            root, table, carry = self._meshed(automaton(samples[name]), end, carry)
+            roots.append(root)
+            tables.append(table)
+            end += len(table)
+        self.roots = np.array(roots, np.int64)
+        # Places after the last, so that no sum leads out of the table.
+        after = np.full(self.width, -1)
+        after[: len(carry)] = carry
+        self.table = np.concatenate([*tables, after])
         self.codes = np.zeros(0x110000, np.min_scalar_type(self.width))
         for point, code in self.code.items():
             self.codes[point] = code
 
-    def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
-
-    def _fill(self, keys: np.ndarray, targets: np.ndarray) -> None:
-        """The table, at most half full; a key whose slot is taken lies in the next free one after it."""
-        bits = max(4, int(2 * len(keys)).bit_length())
-        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.targets = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
-        left, at = np.arange(len(keys)), self._slots(keys)
-        while len(left):
-            free = np.flatnonzero(self.keys[at] < 0)
-            self.keys[at[free]] = keys[left[free]]  # of several keys one stays
-            held = self.keys[at] == keys[left]
-            self.targets[at[held]] = targets[left[held]]
-            left, at = left[~held], (at[~held] + 1) & self.last
-
-    def _next(self, state: np.ndarray, sign: np.ndarray) -> np.ndarray:
-        """The state after each state and sign, or -1."""
-        keys = (state.astype(np.int64) * self.width + sign).reshape(-1)
-        at = self._slots(keys)
-        found = self.keys[at]
-        to = self.targets[at]  # -1 in a free slot
-        left = np.flatnonzero((found != keys) & (found >= 0))
-        at = at[left]
-        while len(left):
-            at = (at + 1) & self.last
-            found = self.keys[at]
-            to[left] = self.targets[at]
-            more = (found != keys[left]) & (found >= 0)
-            left, at = left[more], at[more]
-        return to.reshape(np.broadcast(state, sign).shape)
+    def _meshed(self, states: list[dict[str, int]], end: int, carry: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+        """Finds numbers from ``end`` on for all states, and fills the places: the start's number, the places of this
+        automaton's numbers, and those after them, as far as its signs reach.
+
+        ``carry`` is what the automaton before it holds from ``end`` on. States draw numbers, those of most signs first; one
+        that meets a taken number or place draws again, from more room if that goes on.
+        """
+        fan = np.fromiter(map(len, states), np.int64, len(states))
+        sign = np.fromiter((self.code[ord(c)] for moves in states for c in moves), np.int64, int(fan.sum()))
+        to = np.fromiter((x for moves in states for x in moves.values()), np.int64, len(sign))
+        first, number = np.cumsum(fan) - fan, np.zeros(len(states), np.int64)
+        draw, room, held = np.random.default_rng(0), 0, 0
+        table, used = carry.copy(), np.zeros(len(carry), bool)
+        claims = np.zeros((2, len(carry)), np.int32)
+        for size in np.unique(fan)[::-1]:
+            left, rounds = np.flatnonzero(fan == size), 0
+            held += len(left) * max(int(size), 1)
+            # States of many signs need free room about them: their places come first and lie apart.
+            room = max(room, min(int(held / min(FILL, 1.5 / max(size, 1))), int(len(sign) / FILL)) + 1)
+            while len(left):
+                if rounds >= 64:
+                    room += room // 64 + 1
+                rounds += 1
+                if (more := room + self.width - len(table)) > 0:
+                    more += len(table) // 4
+                    table = np.concatenate([table, np.full(more, -1)])
+                    used = np.concatenate([used, np.zeros(more, bool)])
+                    claims = np.concatenate([claims, np.zeros((2, more), np.int32)], axis=1)
+                tried = draw.integers(room, size=len(left))
+                places = tried[:, None] + sign[first[left][:, None] + np.arange(size)]
+                free = np.flatnonzero(~used[tried] & (table[places] < 0).all(axis=1))
+                tried, places = tried[free], places[free]
+                # Of states that draw the same, one that gets its number and all its places keeps them.
+                claims[0, tried], claims[1, places] = free, free[:, None]
+                won = (claims[0, tried] == free) & (claims[1, places] == free[:, None]).all(axis=1)
+                used[tried[won]], table[places[won]] = True, 0
+                number[left[free[won]]] = tried[won]
+                left = np.delete(left, free[won])
+        number += end
+        table[np.repeat(number, fan) - end + sign] = number[to] << SIGN_BITS | sign
+        return int(number[0]), table[:room], np.trim_zeros(table[room:] + 1, "b") - 1
+
+    def _next(self, state: np.ndarray, sign: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The state after each state and sign, and whether there is none; the state then means nothing."""
+        to = self.table.take(state + sign)
+        none = (to & SIGN_MASK) != sign
+        to >>= SIGN_BITS
+        return to, none
 
     def _step(self, state: np.ndarray, sign: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The states after the signs, and whether a phrase starts with each.
 
         A sign that fits no transition ends the open phrase and opens the next, or is one by itself if the sample lacks it.
         """
-        to = self._next(state, sign)
-        starts = (state == root) | (to < 0)
-        stuck = np.nonzero(to < 0)
+        to, starts = self._next(state, sign)
+        stuck = starts.nonzero()
         if len(stuck[0]):
-            at = np.broadcast_to(root, to.shape)[stuck]
-            fresh = self._next(at, np.broadcast_to(sign, to.shape)[stuck])
-            to[stuck] = np.where(fresh < 0, at, fresh)
+            # Of a table, roots differ by row and signs by column.
+            at, own = (root[stuck[0], 0], sign[stuck[1]]) if to.ndim > 1 else (root[stuck], sign[stuck])
+            fresh, none = self._next(at, own)
+            to[stuck] = np.where(none, at, fresh)
+        starts |= state == root
         return to, starts
 
     def _walked(self, signs: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Each chunk (begin, size in signs) walked through from the start: starts by place, phrases, last states.
+        """Each chunk (begin, size in signs; longest first) walked through from the start: starts by place, phrases, last states.
 
         The latter two have a row for each language and a column for each chunk.
         """
-        order = np.argsort(-size, kind="stable")
-        longest, root = int(size[order[0]]), self.roots[:, None]
-        starts = np.zeros((longest, len(self.roots), len(size)), bool)
+        root = self.roots[:, None]
+        starts = np.zeros((int(size[0]), len(self.roots), len(size)), bool)
+        found = np.zeros(starts.shape[1:], np.int64)
         state = np.repeat(root, len(size), axis=1)
-        for k in range(longest):
-            n = int(np.searchsorted(-size[order], -k))  # chunks longer than k
-            state[:, :n], starts[k, :, :n] = self._step(state[:, :n], signs[begin[order[:n]] + k].astype(np.int64), root)
-        back = np.argsort(order, kind="stable")
-        return starts[:, :, back], starts.sum(axis=0, dtype=np.int64)[:, back], state[:, back]
-
-    def _carry(self, signs, begin, size, starts, own_last, found, chunk, entry) -> np.ndarray:
+        longer = np.searchsorted(-size, -np.arange(len(starts)))  # chunks longer than each place
+        for k, n in enumerate(longer.tolist()):
+            state[:, :n], opens = self._step(state[:, :n], signs[begin[:n] + k].astype(np.int64), root)
+            starts[k, :, :n] = opens
+            found[:, :n] += opens
+        return starts, found, state
+
+    def _carry(self, signs, begin, size, starts, rank, own_last, found, chunk, entry) -> np.ndarray:
         """Goes on with the phrases open before the chunks of ``chunk`` (states ``entry``, by language and chunk).
 
-        Counts in ``found`` become the true ones. Returns the chunks' true last states: their own, but where a phrase of the
-        true parse never starts with one of the chunk's own.
+        Counts in ``found``, which are the chunks' own, become the true ones. Returns the chunks' true last states: their own,
+        but where a phrase of the true parse never starts with one of the chunk's own.
         """
-        language, at = np.nonzero(np.ones(entry.shape, bool))
-        state, lane = entry[language, at], chunk[at]
-        found[:, chunk] = starts[:, :, chunk].sum(axis=0)
+        language, at = (x.reshape(-1) for x in np.indices(entry.shape))
+        state, lane = entry.reshape(-1), chunk[at]
+        root, place, most, column = self.roots[language], begin[lane], size[lane], rank[lane]  # columns of starts
         last, k = own_last[:, chunk], 0
-        while len(lane):
-            ends = size[lane] == k
-            if ends.any():
+        change = np.zeros(entry.shape, np.int64)
+        shortest = int(most.min()) if len(most) else 0
+        while len(state):
+            if k >= shortest:
+                ends = most == k
                 last[language[ends], at[ends]] = state[ends]
-                language, at, lane, state = (x[~ends] for x in (language, at, lane, state))
-                if not len(lane):
+                language, at, column, state, root, place, most = (x[~ends] for x in (language, at, column, state, root, place, most))
+                if not len(state):
                     break
-            to, opens = self._step(state, signs[begin[lane] + k].astype(np.int64), self.roots[language])
-            own = starts[k, language, lane]
-            np.add.at(found, (language, lane), opens.astype(np.int64) - own)
+                shortest = int(most.min())
+            to, opens = self._step(state, signs[place + k].astype(np.int64), root)
+            own = starts[k, language, column]
+            change[language, at] += opens.astype(np.int64) - own
             on = ~(opens & own)
-            language, at, lane, state = (x[on] for x in (language, at, lane, to))
+            language, at, column, state, root, place, most = (x[on] for x in (language, at, column, to, root, place, most))
             k += 1
+        found[:, chunk] += change
         return last
 
     def phrases(self, texts: list[str]) -> np.ndarray:
@@ -203,13 +235,17 @@ class Parser:
         for a in range(0, len(owner), lanes):
             part = slice(a, a + lanes)
             size, own, first = length[part], owner[part], within[part] == 0
-            starts, found, own_last = self._walked(signs, begin[part], size)
-            last, entry = own_last.copy(), np.roll(own_last, 1, axis=1)
+            order = np.argsort(-size, kind="stable")
+            rank = np.argsort(order, kind="stable")
+            starts, by_rank, last_by_rank = self._walked(signs, begin[part][order], size[order])
+            plain, own_last = by_rank[:, rank], last_by_rank[:, rank]
+            found, last, entry = plain.copy(), own_last.copy(), np.roll(own_last, 1, axis=1)
             if before is not None:
                 entry[:, 0] = before
             chunk = np.flatnonzero(~first)
             while len(chunk):
-                mended = self._carry(signs, begin[part], size, starts, own_last, found, chunk, entry[:, chunk])
+                found[:, chunk] = plain[:, chunk]
+                mended = self._carry(signs, begin[part], size, starts, rank, own_last, found, chunk, entry[:, chunk])
                 # Chunks after one that ends otherwise than it did are mended again.
                 after = chunk[(mended != last[:, chunk]).any(axis=0)] + 1
                 last[:, chunk] = mended

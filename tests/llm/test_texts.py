@@ -109,6 +109,28 @@ def test_table_grows_with_the_samples_and_not_with_the_signs_of_all_languages():
     assert language.SAMPLE_TEXTS * language.SAMPLE_CHARS >= 128 * 256
 
 
+def test_states_mesh_in_a_table_of_few_more_places_than_transitions():
+    draw = random.Random(8)
+    samples = {f"l{i}": "".join(chr(0x61 + 700 * (i % 3) + draw.randrange(4 + 9 * i)) for _ in range(3000)) for i in range(6)}
+    parser = language.Parser(samples | {"": ""})
+    automata = [language.automaton(samples.get(name, "")) for name in parser.languages]
+    # A hash table, at most half full, of keys and states took 24 bytes for each transition at least.
+    held = sum(x.nbytes for x in vars(parser).values() if isinstance(x, np.ndarray)) - parser.codes.nbytes
+    assert held <= 16 * sum(len(m) for moves in automata for m in moves) + 16 * parser.width
+    signs = np.arange(parser.width)
+    for moves, root in zip(automata, parser.roots.tolist()):
+        number, left = {0: root}, [0]
+        while left:
+            state = left.pop()
+            to, none = parser._next(np.full(parser.width, number[state]), signs)
+            assert set(signs[~none].tolist()) == {parser.code[ord(c)] for c in moves[state]}
+            for c, other in moves[state].items():
+                if other not in number:
+                    left.append(other)
+                assert number.setdefault(other, int(to[parser.code[ord(c)]])) == to[parser.code[ord(c)]]
+        assert len(set(number.values())) == len(moves)
+
+
 def test_held_out_accuracy(spark):
     rows = [(i, prose("aa" if i % 2 else "bb", 15, i), "aa" if i % 2 else "bb") for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
