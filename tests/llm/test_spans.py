@@ -293,6 +293,24 @@ def test_disclosing_terms_are_those_of_a_count_of_all_pairs(spark, seed):
     assert clean == {(i, None if t is None else sanitised(t, marks)[1]) for i, t in rows}
 
 
+def test_only_words_that_disclose_are_looked_for_in_all_texts(spark):
+    # "site" stands with every mention of a value, and in most other texts too; "oboist" with the value alone.
+    own = [chr(97 + i % 26) + chr(97 + i // 26) for i in range(600)]
+    rows = [(i, f"site of text{w}" if i % 3 else f"a text{w}") for i, w in enumerate(own)]
+    rows += [(1000 + i, f"Site{w} of oboist at site call{w} wo@site.org") for i, w in enumerate(own[:12])]
+    rows += [(None, "site"), (2000, None), (1, "site jo@site.org site"), (1, "at jo@oboist.org")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    counts = {r["term"]: r["n_term"] for r in pii.frequencies(docs, pii.mentions(docs)).collect()}
+    words = Counter(w for _, t in rows for w in {m[0].lower() for m in WORD.finditer(values(t or "")[1])})
+    assert counts == words and counts["site"] == 400 + 12 + 2 and counts["oboist"] == 12
+    folder = work_folder(spark, "test")
+    personal = pii.with_personal_data(docs, folder).select("doc_id", spans.listed(F.col("personal")).alias("s"))
+    found = [r["s"] for r in personal.collect() if (r["doc_id"] or 0) // 100 == 10]
+    assert len(found) == 12 and all(s.startswith("removed:") and s.count(",") == 1 for s in found)
+    looked_for = Counter(r["term"] for r in spark.read.parquet(f"{folder}/hits").collect())
+    assert looked_for == {"oboist": 12}
+
+
 def test_candidates_may_be_too_many_to_broadcast(spark):
     docs = spark.createDataFrame(disclosure_corpus(1), "doc_id long, text string")
     found = pii.mentions(docs)
